@@ -158,10 +158,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Raw rows of a source."""
-    exprs = [f"{e} as {name}" for name, e in RAW[source].items()]
-    rows = read(spark, sf_dir, RAW_TABLE[source]).selectExpr(*exprs)
-    schema = SOURCES[source].raw_schema
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    types = {f.name: f.dataType.simpleString() for f in SOURCES[source].raw_schema.fields}
+    exprs = [f"cast({e} as {types[name]}) as {name}" for name, e in RAW[source].items()]
+    return read(spark, sf_dir, RAW_TABLE[source]).selectExpr(*exprs)
 
 
 def staged(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
@@ -222,9 +221,12 @@ def fact_strain(spark: SparkSession, sf_dir: str, with_limits: bool = False) ->
     )
 
 
-def metric(spark: SparkSession, sf_dir: str, name: str, with_limits: bool = True) -> DataFrame:
-    return pipeline.METRICS[name](
-        fact_recovery(spark, sf_dir),
-        fact_strain(spark, sf_dir, with_limits),
-        dims.dim_date(spark),
-    )
+def metric(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A metric from raw records, with the optimal strain limits filled."""
+    build, needs = pipeline.METRICS[name]
+    frames = {
+        pipeline.RECOVERY: lambda: fact_recovery(spark, sf_dir),
+        pipeline.STRAIN: lambda: fact_strain(spark, sf_dir, with_limits=True),
+        pipeline.DAYS: lambda: dims.dim_date(spark),
+    }
+    return build(*[frames[n]() for n in needs])

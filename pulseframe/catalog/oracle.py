@@ -1234,7 +1234,7 @@ def _functions(line: str) -> dict[str, str]:
         "fn_round",
         "l_quantity / 4 as q, l_extendedprice / 1000 as p",
         whole="round(q)",
-        two="round(p, 2)",
+        two="cast(round(cast(p as decimal(18, 6)), 2) as double)",
     )
     add(
         "fn_coalesce",

@@ -118,30 +118,25 @@ def build_fact_strain(
     _write_fact(fact, path, ["user_sk", "date_sk"], full_refresh)
 
 
-METRICS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
-    "recovery_momentum": lambda recovery, strain, days: metrics.recovery_momentum(recovery),
-    "recovery_volatility": lambda recovery, strain, days: metrics.recovery_volatility(recovery),
-    "autonomic_balance": lambda recovery, strain, days: metrics.autonomic_balance(recovery),
-    "strain_recovery_efficiency": lambda recovery, strain, days: (
-        metrics.strain_recovery_efficiency(strain, recovery)
-    ),
-    "strain_sustainability": lambda recovery, strain, days: metrics.strain_sustainability(strain),
-    "training_readiness_gap": lambda recovery, strain, days: (
-        metrics.training_readiness_gap(recovery, strain)
-    ),
-    "seasonal_adaptation": lambda recovery, strain, days: (
-        metrics.seasonal_adaptation(recovery, days)
-    ),
+RECOVERY, STRAIN, DAYS = "fact_daily_recovery", "fact_daily_strain", "dim_date"
+# Metric tables: the function and the tables it reads.
+METRICS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "recovery_momentum": (metrics.recovery_momentum, (RECOVERY,)),
+    "recovery_volatility": (metrics.recovery_volatility, (RECOVERY,)),
+    "autonomic_balance": (metrics.autonomic_balance, (RECOVERY,)),
+    "strain_recovery_efficiency": (metrics.strain_recovery_efficiency, (STRAIN, RECOVERY)),
+    "strain_sustainability": (metrics.strain_sustainability, (STRAIN,)),
+    "training_readiness_gap": (metrics.training_readiness_gap, (RECOVERY, STRAIN)),
+    "seasonal_adaptation": (metrics.seasonal_adaptation, (RECOVERY, DAYS)),
 }
 
 
 def build_metrics(spark: SparkSession, root: str, run_at: dt.datetime) -> None:
     """Rebuild the metric tables."""
-    names = ("fact_daily_recovery", "fact_daily_strain", "dim_date")
-    inputs = [_read(spark, root, n) for n in names]
     at = F.lit(run_at.isoformat(sep=" "))
-    for name, build in METRICS.items():
-        tables.replace(metrics.with_calculated_at(build(*inputs), at), f"{root}/{name}")
+    for name, (build, needs) in METRICS.items():
+        df = build(*[_read(spark, root, n) for n in needs])
+        tables.replace(metrics.with_calculated_at(df, at), f"{root}/{name}")
 
 
 def build_all(

@@ -35,6 +35,7 @@ MINUTES = (
     "zone_four_milli",
     "zone_five_milli",
 )
+_SHORT_NAMES = {"long": "bigint"}
 NEWEST_UPDATE = ("updated_at", "created_at", "ingested_at")
 NEWEST_INGEST = ("ingested_at", "updated_at", "created_at")
 
@@ -50,10 +51,13 @@ class StagingSpec:
 
 def project(df: DataFrame, casts: Mapping[str, str], overrides: Mapping[str, Column]) -> DataFrame:
     """One select from a column -> type table; an override replaces the cast."""
+    present = dict(df.dtypes)
 
     def column(name: str, type: str) -> Column:
         if name in overrides:
             return overrides[name]
+        if present[name] in (type, _SHORT_NAMES.get(type)):
+            return F.col(name)
         return round_to_long(name) if type == "long" else F.col(name).cast(type)
 
     return df.select(*[column(name, type).alias(name) for name, type in casts.items()])

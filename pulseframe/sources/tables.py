@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulseframe.operators.incremental import align_schema, fill_missing, merge_upsert
-from pulseframe.session import scratch_path
 
 # Fixed value: most partitions an upsert may rewrite; a monthly layout of the
 # default calendar has 132.
@@ -55,12 +54,14 @@ def rewrite(
 ) -> DataFrame:
     """Overwrite a table by a frame that may read it, through a staged copy.
 
-    Nothing is deleted before the staged copy is complete. With ``by_partition``
-    only the partitions present in ``df`` are replaced. Returns the staged copy.
+    The copy lies next to the table and is overwritten by the next call, so a
+    table never has more than one. Nothing is deleted before it is complete. With
+    ``by_partition`` only the partitions present in ``df`` are replaced. Returns
+    the staged copy.
     """
     spark = df.sparkSession
-    staged_path = scratch_path(spark, "staged")
-    df.write.partitionBy(*partition_by).parquet(staged_path)
+    staged_path = f"{path.rstrip('/')}__staged"
+    replace(df, staged_path, partition_by)
     staged = spark.read.schema(df.schema).parquet(staged_path)
     mode = "dynamic" if by_partition else "static"
     writer = staged.write.mode("overwrite").option("partitionOverwriteMode", mode)
@@ -135,6 +136,11 @@ def _merge_into(
     written = rewrite(merged, path, columns, by_partition=True)
     left = {row[0] for row in written.select(partition_by).distinct().collect()}
     if set(values) - left:
-        # A partition lost its last row; dynamic overwrite leaves it untouched.
-        rest = target.filter(~F.coalesce(scope, F.lit(False)))
-        rewrite(rest.unionByName(written), path, columns)
+        # A partition lost its last row. Dynamic overwrite keeps the old files of
+        # such a partition, so the table is rewritten without them, from what the
+        # other partitions hold now.
+        gone = F.col(partition_by).isin([v for v in set(values) - left if v is not None])
+        if None in set(values) - left:
+            gone = gone | F.col(partition_by).isNull()
+        now = spark.read.schema(target.schema).parquet(path)
+        rewrite(now.filter(~F.coalesce(gone, F.lit(False))), path, columns)
