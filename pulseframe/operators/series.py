@@ -11,7 +11,9 @@ All frames count rows, not days: gaps in a series are not filled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 USER = "user_sk"
@@ -51,3 +53,26 @@ def percent_rank(c: str, descending: bool = False, user: str = USER) -> Column:
 def rank_percentile(c: str, descending: bool = False, user: str = USER) -> Column:
     """Whole-number :func:`percent_rank`."""
     return F.round(percent_rank(c, descending, user)).cast("int")
+
+
+def beside(
+    left: DataFrame, right: DataFrame, columns: Sequence[str], user: str = USER, day: str = DAY
+) -> DataFrame:
+    """Left join of two daily series on user and day, laid out by user.
+
+    Adds ``columns`` of the right side and ``_matched`` (true or null). Both sides
+    hold at most one row per user and day, so the join is a union that is grouped
+    by user and day: every row is shuffled once, by user, and the per-user frames
+    that follow reuse this layout. A join on both keys would shuffle by both, and
+    its result again by user.
+    """
+    own = [c for c in left.columns if c not in (user, day)]
+    both = left.withColumn("_own", F.lit(True)).unionByName(
+        right.select(user, day, *columns, F.lit(True).alias("_matched")), allowMissingColumns=True
+    )
+    merged = (
+        both.repartition(user)
+        .groupBy(user, day)
+        .agg(*[F.max(c).alias(c) for c in ("_own", *own, *columns, "_matched")])
+    )
+    return merged.filter("_own").drop("_own")

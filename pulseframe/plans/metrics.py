@@ -1,8 +1,7 @@
 """The seven metric tables over the daily facts.
 
 All results are per user and day. A fact holds one row per user and day, so the
-per-user frames are bounded by the calendar. Where two facts are joined first,
-both are partitioned by user before the join, which the frames then reuse.
+per-user frames are bounded by the calendar. Every fact is shuffled once, by user.
 
 Measures are computed in double; labels test values rounded to six decimals.
 """
@@ -118,16 +117,6 @@ def autonomic_balance(fact_recovery: DataFrame) -> DataFrame:
     )
 
 
-def _joined_by_user(left: DataFrame, right: DataFrame, right_only: list[str]) -> DataFrame:
-    """Left join of two daily facts, both sides laid out by user.
-
-    Hashing both sides on the user alone satisfies the join on (user, day) and
-    the per-user frames after it, so the joined rows are not shuffled again.
-    """
-    extra = right.select(USER, DAY, *right_only, F.lit(True).alias("_matched"))
-    return left.repartition(USER).join(extra.repartition(USER), [USER, DAY], "left")
-
-
 def strain_recovery_efficiency(
     fact_strain: DataFrame, fact_recovery: DataFrame, calendar_days: bool = False
 ) -> DataFrame:
@@ -136,7 +125,7 @@ def strain_recovery_efficiency(
     The next recovery is that of the user's next strain row. ``calendar_days``
     accepts it only if that row is the next calendar day.
     """
-    pairs = _joined_by_user(
+    pairs = series.beside(
         fact_strain.select(USER, DAY, _double("day_strain").alias("day_strain")),
         fact_recovery,
         ["recovery_score"],
@@ -208,7 +197,7 @@ def strain_sustainability(fact_strain: DataFrame) -> DataFrame:
 
 def training_readiness_gap(fact_recovery: DataFrame, fact_strain: DataFrame) -> DataFrame:
     """Recovery score against the training load the optimal strain stands for."""
-    signals = _joined_by_user(
+    signals = series.beside(
         fact_recovery.select(USER, DAY, "recovery_score"),
         fact_strain,
         ["day_strain", "optimal_strain_min", "optimal_strain_max"],
@@ -274,11 +263,35 @@ def with_season(fact_recovery: DataFrame, dim_date: DataFrame) -> DataFrame:
 def seasonal_adaptation(fact_recovery: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Deviation from the user's own baseline of the season.
 
-    One shuffle by user serves both aggregation levels and the join back.
+    The baseline is that of :func:`season_baselines`, taken here as frames over
+    the user's rows: one shuffle by user and one sort serve both levels, and no
+    aggregate is joined back.
     """
     dated = with_season(fact_recovery, dim_date).repartition(USER)
-    usual = season_baselines(season_years(dated))
-    compared = dated.join(usual, [USER, "season"], "left")
+    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
+    in_year = Window.partitionBy(USER, "season", "year_number").orderBy(DAY)
+    in_season = Window.partitionBy(USER, "season").orderBy("year_number", DAY)
+    yearly = dated.select(
+        "*",
+        (F.row_number().over(in_year) == 1).alias("_first"),
+        *[
+            F.avg(_double(c)).over(in_year.rowsBetween(*everything)).alias(f"_avg_{name}")
+            for name, c in SEASON_MEASURES.items()
+        ],
+    )
+    # One row stands for each year, so that every year weighs the same.
+    compared = yearly.select(
+        USER,
+        DAY,
+        "season",
+        *SEASON_MEASURES.values(),
+        *[
+            F.avg(F.when(F.col("_first"), F.col(f"_avg_{name}")))
+            .over(in_season.rowsBetween(*everything))
+            .alias(f"seasonal_{name}_baseline")
+            for name in SEASON_MEASURES
+        ],
+    )
     deviations = {
         f"{name}_deviation": _double(c) - F.col(f"seasonal_{name}_baseline")
         for name, c in SEASON_MEASURES.items()
