@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.operators.dedup import latest_per_key
 from pulseframe.plans import dims, facts, pipeline, staging
+from pulseframe.session import spread
 from pulseframe.sources.specs import SOURCES
 
 _ID = "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string))"
@@ -160,7 +161,7 @@ def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Raw rows of a source."""
     types = {f.name: f.dataType.simpleString() for f in SOURCES[source].raw_schema.fields}
     exprs = [f"cast({e} as {types[name]}) as {name}" for name, e in RAW[source].items()]
-    return read(spark, sf_dir, RAW_TABLE[source]).selectExpr(*exprs)
+    return spread(read(spark, sf_dir, RAW_TABLE[source])).selectExpr(*exprs)
 
 
 def staged(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
@@ -174,7 +175,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lineitem rows as (not yet deduplicated) daily observations."""
     exprs = [f"{e} as {name}" for name, e in DAILY.items()]
-    return read(spark, sf_dir, "lineitem").selectExpr(*exprs)
+    return spread(read(spark, sf_dir, "lineitem")).selectExpr(*exprs)
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,12 +94,13 @@ def stage(
 
     With a ``target`` only rows created after its newest row are taken; without
     one this is the full refresh. Ties in the update time go to the row created,
-    then ingested last.
+    then ingested last. Conversions come after the reduction to one row per record:
+    they leave the key and the times as they are.
     """
     spec = staging_spec(SOURCES[source], keep_fractions)
     if target is not None:
         raw = after_target(raw, target, "created_at")
-    return latest_per_key(project(raw, spec.casts, spec.overrides), [spec.key], order)
+    return project(latest_per_key(raw, [spec.key], order), spec.casts, spec.overrides)
 
 
 def stage_user(raw_user: DataFrame) -> DataFrame:

@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# An input of fewer splits than this may be spread over the cores.
+FEW_SPLITS = 32
 
 
 def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -43,3 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other job uses."""
     return f"{shared_dir(spark)}/pulseframe/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input of very few splits, such as one file that cannot be split.
+
+    Otherwise the work before the first shuffle runs on as many cores as there
+    are splits. An input of ordinary size has more splits and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
