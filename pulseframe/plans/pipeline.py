@@ -29,6 +29,17 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}").drop(MONTH)
 
 
+def _newest_month(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Last partition of a table; it holds the newest creation time.
+
+    The month is read from the partition values, so finding a watermark touches
+    one partition however large the table is.
+    """
+    table = spark.read.parquet(f"{root}/{name}")
+    last = table.agg(F.max(MONTH)).first()[0]
+    return table.filter(F.col(MONTH).eqNullSafe(F.lit(last))).drop(MONTH)
+
+
 def _created_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, tables.month_of("created_at"))
 
@@ -45,7 +56,7 @@ def build_staging(
     if full_refresh or not tables.table_exists(spark, path):
         tables.replace(_created_month(staging.stage(raw, source)), path, [MONTH])
         return
-    batch = staging.stage(raw, source, target=_read(spark, root, f"stg_{source}"))
+    batch = staging.stage(raw, source, target=_newest_month(spark, root, f"stg_{source}"))
     tables.upsert(_created_month(batch), path, [SOURCES[source].key], MONTH)
 
 
@@ -59,7 +70,7 @@ def _write_fact(df: DataFrame, path: str, keys: list[str], full_refresh: bool) -
     """Facts lie by month of the day and sorted by user and day inside a file."""
     laid_out = _day_month(df)
     if full_refresh or not tables.table_exists(df.sparkSession, path):
-        tables.replace(laid_out.sortWithinPartitions("user_sk", "date_sk"), path, [MONTH])
+        tables.replace(laid_out, path, [MONTH], sort_by=["user_sk", "date_sk"])
     else:
         tables.upsert(
             laid_out,
@@ -98,7 +109,7 @@ def build_fact_recovery(spark: SparkSession, root: str, full_refresh: bool = Fal
             "stg_sleep",
         )
     ]
-    target = None if full_refresh else _read(spark, root, "fact_daily_recovery")
+    target = None if full_refresh else _newest_month(spark, root, "fact_daily_recovery")
     fact = facts.fact_daily_recovery(*inputs, target=target)
     _write_fact(fact, path, ["user_sk", "date_sk"], full_refresh)
 

@@ -39,14 +39,31 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def _laid_out(
+    df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of a partition gathered into few files of even size.
+
+    Without this every task would write a file into every partition it has rows
+    of. Adaptive execution splits large partitions over several tasks again.
+    """
+    if not partition_by:
+        return df.sortWithinPartitions(*sort_by) if sort_by else df
+    gathered = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    return gathered.sortWithinPartitions(*partition_by, *sort_by) if sort_by else gathered
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def replace(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> None:
     """Replace the whole table by a frame that does not read it."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).parquet(path)
+    writer = _laid_out(df, partition_by, sort_by).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+    writer.parquet(path)
 
 
 def rewrite(
