@@ -17,11 +17,15 @@ def latest_per_key(
 ) -> DataFrame:
     """First row of each key in ``order``; plain names sort newest first, nulls first.
 
+    Rows that tie in all of ``order`` are told apart by a hash of their content, so
+    a task that runs again keeps the same row.
+
     The rank filter directly above the window lets Spark keep one row per key in
     every map task before the shuffle (window group limit), so a key that holds a
     third of all rows still sends at most one row per task.
     """
-    by_key = Window.partitionBy(*keys).orderBy(*_newest_first(order))
+    content = F.xxhash64(*df.columns)
+    by_key = Window.partitionBy(*keys).orderBy(*_newest_first(order), content)
     ranked = df.withColumn("_rank", F.row_number().over(by_key))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 

@@ -33,6 +33,25 @@ def test_latest_per_key(spark, ts):
     )
 
 
+def test_full_ties_are_settled_by_content(spark, ts):
+    data = [("a", v, ts("2024-01-01")) for v in range(50)]
+    kept = set()
+    for parts in (1, 3, 7):
+        for rows_in in (data, data[::-1]):
+            df = spark.createDataFrame(rows_in, SCHEMA).repartition(parts)
+            kept |= {r.v for r in dedup.latest_per_key(df, ["id"], ["updated_at"]).collect()}
+    assert len(kept) == 1
+
+
+def test_a_hot_key_leaves_one_row_per_task(spark):
+    df = spark.range(0, 90_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), "id"
+    )
+    newest = dedup.latest_per_key(df, ["k"], ["id"])
+    assert newest.filter("k = 0").first()["id"] == 89_997
+    assert newest.count() == 60_001
+
+
 def test_latest_row(spark, ts):
     df = spark.createDataFrame([("a", 1, ts("2024-01-01")), ("a", 2, ts("2024-01-02"))], SCHEMA)
     assert rows(dedup.latest_row(df, ["id"], "updated_at", ["v"]), "id", "v") == [("a", 2)]
