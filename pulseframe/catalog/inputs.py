@@ -147,7 +147,7 @@ DAILY = {
 }
 DAILY_ORDER = ["l_partkey", "l_orderkey", "l_linenumber"]
 
-# The reference takes the optimal strain limits as nulls; these fill them.
+# Optimal strain limits, an optional input of the strain fact.
 OPTIMAL_MIN, OPTIMAL_MAX = 6.0, 14.0
 AS_OF = "2026-11-04"
 AS_OF_DAY = dt.date.fromisoformat(AS_OF)
