@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import decontaminate
+from pulseframe.llm import decontaminate, language, lm_score, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +71,45 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join hit_words using (row_no) left join hit_items using (row_no)
 """
+
+
+def crc_mod(column: str, n: int):
+    """Remainder of the CRC-32 of a value as text; null: null."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs).drop("text")
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    model = language.train(docs.filter(~held_out))
+    judged = language.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return judged.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every document, learnt from six sevenths of them."""
+    held_out = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", held_out.alias("held_out"), (~held_out).alias("train")
+    )
+    scored = lm_score.score(docs)
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences that an earlier run covers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.substring_dedup(docs).select("doc_id", "n_sentences", "n_removed", "text")
