@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import decontaminate, language, lm_score, substring_dedup, token_counts
+from pulseframe.llm import (
+    decontaminate,
+    language,
+    lm_score,
+    mixing,
+    multi_index,
+    near_dedup,
+    substring_dedup,
+    token_counts,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -100,7 +110,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model scores of every document, learnt from six sevenths of them."""
     held_out = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", held_out.alias("held_out"), (~held_out).alias("train")
+        "doc_id", "text", "lang", held_out.alias("held_out"), (~held_out).alias("train")
     )
     scored = lm_score.score(docs)
     return scored.select(
@@ -113,3 +123,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the sentences that an earlier run covers."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.substring_dedup(docs).select("doc_id", "n_sentences", "n_removed", "text")
+
+
+@query("op1_minhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.classes(docs).select(F.col("doc").alias("doc_id"), "class_id")
+
+
+@query("op8_nearest_neighbours")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multi_index.neighbours(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query("op3_url_filter")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for the url of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_source_mixing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and rate of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, table(spark, sf_dir, "labels"))
+    return mixed.select("doc_id", "source", "n_words", *[f"p_{d}" for d in mixing.DOMAINS], "rate")
