@@ -27,7 +27,8 @@ WORD_FEATURES = 1 << 16
 # Posteriors are taken to three decimals, so documents fall into a bounded number of cells.
 DIGITS = 3
 ROUNDS = 200
-# The fit ends when no domain is off its target by more than this part of all tokens.
+# The fit ends when no domain is off its target by more than this part of all tokens, or when a round
+# brings none nearer by more than a hundredth of that.
 TOLERANCE = 1e-4
 
 
@@ -124,14 +125,14 @@ def _rate(p: list[Column], steps: list[np.ndarray]) -> Column:
     return x
 
 
-def fit_rates(members: DataFrame, target: Mapping[str, float] = TARGET) -> Column:
+def fit_rates(members: DataFrame, target: Mapping[str, float] = TARGET, whole: bool = False) -> Column:
     """Nonnegative rates, as an expression over ``_p``, by projected gradient least squares.
 
     Minimises the squared differences between sum(rate * words * posterior) and each domain's part
     of all words, from rates of 1. A row's variable is scaled by the root of its words, so that a
     step moves long and short texts alike; a rate then depends on the posteriors only. Every round
     is one sum over the cells of equal posteriors. Steps are as long as the largest eigenvalue of
-    the problem allows.
+    the problem allows. With ``whole`` the wanted total grows until no wanted domain has to shrink.
     """
     spark = members.sparkSession
     path = scratch_path(spark, "cells")
@@ -146,12 +147,16 @@ def fit_rates(members: DataFrame, target: Mapping[str, float] = TARGET) -> Colum
         return F.lit(1.0)
     step = 1 / np.linalg.eigvalsh(np.array(row[: k * k]).reshape(k, k) / total)[-1]
     wanted = np.array([target.get(d, 0.0) for d in DOMAINS])
-    now, steps = cells.withColumn("x", F.lit(1.0)), []
+    now, steps, before = cells.withColumn("x", F.lit(1.0)), [], None
     for i in range(ROUNDS):
         sums = [F.sum(F.col("n") * F.col("x") * c) for c in p]
-        off = np.array(now.agg(*sums).first()) / total - wanted
-        if np.abs(off).max() <= TOLERANCE:
+        have = np.array(now.agg(*sums).first()) / total
+        if whole and not i:
+            wanted *= max([1.0, *(have[wanted > 0] / wanted[wanted > 0])])
+        off = have - wanted
+        if np.abs(off).max() <= TOLERANCE or before is not None and np.abs(off - before).max() <= TOLERANCE / 100:
             break
+        before = off
         steps.append(step * off)
         now = now.withColumn("x", _after("x", p, steps[-1]))
         if i % 10 == 9:
@@ -169,7 +174,12 @@ def _after(x: str, p: list[Column], s: np.ndarray) -> Column:
 
 
 def mix(
-    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", target: Mapping[str, float] = TARGET
+    docs: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    target: Mapping[str, float] = TARGET,
+    whole: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` with ``n_words``, posteriors ``p_<domain>`` and ``rate``.
 
@@ -184,6 +194,6 @@ def mix(
     path = scratch_path(spark, "memberships")
     memberships(docs, labels, text, doc_id).write.parquet(path)
     members = spark.read.parquet(path)
-    rate = fit_rates(members, target)
+    rate = fit_rates(members, target, whole)
     shares = {f"p_{d}": F.col("_p")[i] for i, d in enumerate(DOMAINS)}
     return members.withColumns({"n_words": F.col("_n"), **shares, "rate": rate}).drop("_n", "_p")

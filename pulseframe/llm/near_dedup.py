@@ -31,6 +31,10 @@ BANDS, ROWS = 9, 3
 # bounded: documents' mean number of shingles times the inverse, and FEWEST_SHINGLES whatever the mean.
 COMMON = 1 / 1000
 LEAST_COMMON = 10
+# What a shingle in every document would lose of its weight, at most. A copy of a text that very many
+# others copy shares only common shingles with them, but differs in rare ones: with a greater loss it
+# would fall below the similarity that it has by plain shingles.
+DAMPING = 0.25
 MOST_COMMON_SHINGLES = 1_000_000
 # While counting, shingles seen once are forgotten after so many documents or shingles.
 FORGET_DOCS, FORGET_SHINGLES = 4000, 4_000_000
@@ -86,13 +90,13 @@ class Shingles:
 
 @dataclass
 class Weights:
-    """Weight of one occurrence of each common shingle; every other has weight 1."""
+    """Damped idf of each common shingle; that of every other is 1. Term frequency counts as 1 + ln."""
 
     values: np.ndarray
     weights: np.ndarray
 
     def of(self, shingles: np.ndarray, times: np.ndarray) -> np.ndarray:
-        out = times.astype(float)
+        out = 1 + np.log(times)
         if len(self.values):
             at = np.minimum(np.searchsorted(self.values, shingles), len(self.values) - 1)
             out *= np.where(self.values[at] == shingles, self.weights[at], 1.0)
@@ -118,7 +122,7 @@ def idf_weights(texts: DataFrame) -> Weights:
     """Weights of the shingles of a ``text`` column by their inverse document frequency.
 
     ln(1 + documents / frequency), as part of its value at the bound below which a shingle is
-    rare. A first pass finds every shingle that can reach the bound (it counts each, forgets those
+    rare, damped. A first pass finds every shingle that can reach the bound (it counts each, forgets those
     seen once from time to time, and adds up how much that can hide), a second one counts these.
     """
     spark = texts.sparkSession
@@ -181,7 +185,8 @@ def idf_weights(texts: DataFrame) -> Weights:
     values = np.array([r["value"] for r in found], np.int64).view(np.uint64)
     order = np.argsort(values)
     frequency = np.array([r["n"] for r in found], float)[order]
-    return Weights(values[order], np.log1p(n_docs / frequency) / np.log1p(n_docs / bound))
+    idf = np.log1p(n_docs / frequency) / np.log1p(n_docs / bound)
+    return Weights(values[order], 1 - DAMPING * (1 - idf))
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
