@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.llm import (
     decontaminate,
+    html_text,
     language,
     lm_score,
     mixing,
@@ -152,3 +153,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.mix(docs, table(spark, sf_dir, "labels"))
     return mixed.select("doc_id", "source", "n_words", *[f"p_{d}" for d in mixing.DOMAINS], "rate")
+
+
+@query("op2_html_extraction")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", "n_chars")

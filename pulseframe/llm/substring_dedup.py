@@ -81,7 +81,10 @@ def _lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array
 def sentence_runs(
     docs: DataFrame, text: str, doc_id: str, sentences: int, least: int, long: int
 ) -> DataFrame:
-    """(doc, copy, hashes, sizes): a run's hash and sentences for each sentence of a text."""
+    """(doc, copy, hashes, sizes): a run's hash and sentences for each sentence of a text.
+
+    Documents are ordered by ``doc``, the id, then ``copy``, a hash of the text.
+    """
 
     def scan(batches):
         for block in blocks(batches, "text"):
@@ -95,18 +98,17 @@ def sentence_runs(
                 names=["doc", "copy", "hashes", "sizes"],
             )
 
-    keyed = _keyed(docs, text, doc_id).select("doc", "copy", F.col(f"`{text}`").cast("string").alias("text"))
+    keyed = docs.select(
+        F.col(f"`{doc_id}`").alias("doc"),
+        F.xxhash64(F.col(f"`{text}`")).alias("copy"),
+        F.col(f"`{text}`").cast("string").alias("text"),
+    )
     kind = keyed.schema["doc"].dataType.simpleString()
     return keyed.filter("text is not null").mapInArrow(
         scan, f"doc {kind}, copy long, hashes array<long>, sizes array<int>"
     )
 
 
-def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Documents with the key by which their runs are ordered: the id, then a hash of the text."""
-    return docs.withColumns({"doc": F.col(f"`{doc_id}`"), "copy": F.xxhash64(F.col(f"`{text}`"))})
-
-
 def repeated_runs(runs: DataFrame) -> DataFrame:
     """(doc, copy, cuts): sentences (pos, size) covered by a repeated run other than its first.
 
@@ -143,16 +145,16 @@ def substring_dedup(
     and get the same result. No row is dropped: a text that loses everything becomes empty.
     """
     spark = docs.sparkSession
-    new = ("n_sentences", "n_removed", "cuts", "doc", "copy")
+    new = ("n_sentences", "n_removed", "__cuts")
     names = [c for c in docs.columns if c not in new]
     docs = docs.select(*[F.col(f"`{c}`") for c in names])
     path = scratch_path(spark, "sentence-runs")
     sentence_runs(docs, text, doc_id, sentences, least, long).write.parquet(path)
     cuts = repeated_runs(spark.read.parquet(path))
-    keyed, cuts = _keyed(docs, text, doc_id), cuts.withColumnsRenamed({"doc": "cut_doc", "copy": "cut_copy"})
-    joined = keyed.join(cuts, keyed["doc"].eqNullSafe(cuts["cut_doc"]) & (keyed["copy"] == cuts["cut_copy"]), "left")
+    cuts = cuts.select(F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), F.col("cuts").alias("__cuts"))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__copy"))
     counts = {"n_sentences": F.lit(0), "n_removed": F.lit(0)}
-    joined = joined.select(*[F.col(f"`{c}`") for c in names], "cuts").withColumns(counts)
+    joined = docs.join(cuts, same, "left").drop("__doc", "__copy").withColumns(counts)
 
     def cut(batches):
         for block in blocks(batches, text):
@@ -160,7 +162,7 @@ def substring_dedup(
             found = Sentences(column)
             number = np.diff(found.first)
             removed, fixed = np.zeros(len(number), np.int64), {}
-            for d, spans in enumerate(block.column("cuts").to_pylist()):
+            for d, spans in enumerate(block.column("__cuts").to_pylist()):
                 if not spans:
                     continue
                 gone = np.zeros(int(number[d]), bool)
@@ -175,7 +177,7 @@ def substring_dedup(
             if fixed:
                 texts = pa.array([fixed.get(d, t) for d, t in enumerate(column.to_pylist())], column.type)
             more = {text: texts, "n_sentences": pa.array(number, pa.int32()), "n_removed": pa.array(removed, pa.int32())}
-            kept = [n for n in block.schema.names if n != "cuts"]
+            kept = [n for n in block.schema.names if n != "__cuts"]
             yield pa.RecordBatch.from_arrays([more.get(n, block.column(n)) for n in kept], names=kept)
 
-    return joined.mapInArrow(cut, joined.drop("cuts").schema)
+    return joined.mapInArrow(cut, joined.drop("__cuts").schema)

@@ -1,0 +1,153 @@
+"""Near-duplicate classes against brute force over all pairs."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import documents, prose, words
+
+from pulseframe.llm import near_dedup as nd
+from pulseframe.llm.components import components
+
+
+def shingles(text):
+    w = words(text)
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def mutate(rng, text, n):
+    w = text.split(" ")
+    for i in rng.sample(range(len(w)), n):
+        w[i] = f"changed{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(5)
+    base = [prose(rng, 20) for _ in range(8)]
+    texts = [*base, *(prose(rng, 12) for _ in range(20))]
+    texts += [mutate(rng, base[0], rng.choice([1, 2, 3])) for _ in range(60)]  # a large near group
+    texts += [mutate(rng, b, n) for b in base for n in (2, 40)]
+    texts += [base[2]] * 50 + [base[3].upper().replace(".", "!"), base[3]]  # copies, also in other dress
+    texts += [None, None, "", "", "!?", "one two", "One, two!", "one two three", "tie tie tie tie tie tie"]
+    return texts
+
+
+def brute(texts):
+    sets = [shingles(t) for t in texts]
+    label = list(range(len(texts)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = root(i), root(j)
+                label[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(texts))]
+
+
+def test_classes(spark, corpus):
+    found = nd.classes(documents(spark, corpus)).collect()
+    assert len(found) == len(corpus)
+    got = {r["doc"]: r["class_id"] for r in found}
+    assert [got[i] for i in range(len(corpus))] == brute(corpus)
+
+
+def test_one_row_of_each_class_stays(spark, corpus):
+    docs = documents(spark, corpus).selectExpr("*", "1 as key", "2 as `a.b`")
+    kept = sorted(r["doc_id"] for r in nd.dedup(docs.union(docs)).collect())
+    assert kept == sorted(set(brute(corpus)))
+    assert nd.dedup(docs).columns == docs.columns
+
+
+def test_null_ids_empty_tables_and_very_long_texts(spark):
+    long = " ".join(f"x{i}" for i in range(60_000))
+    docs = documents(spark, [long, long + " end", "other text"])
+    null = docs.selectExpr("cast(null as long) as doc_id", "text", "lang", "source", "n_chars")
+    got = [r["class_id"] for r in nd.classes(docs.union(null)).collect()]
+    assert got == [None] * 6  # a null id is the smallest of its class
+    assert len(nd.dedup(null).collect()) == 2
+    assert nd.classes(docs.limit(0)).count() == 0
+    assert nd.dedup(docs.limit(0)).count() == 0
+
+
+def test_samples_match_as_often_as_weights_overlap():
+    """The chance that two weighted sets draw the same sample is their weighted Jaccard similarity."""
+    one = nd.Shingles(pa.array([" ".join(f"a{i}" for i in range(14))]))
+    keys = one.values
+    for w_one, w_two in (
+        (np.ones(10), np.array([1.0] * 8 + [3.0, 0.5])),
+        (np.linspace(0.2, 4, 10), np.linspace(4, 0.2, 10)),
+        (np.array([1.0] * 5 + [2.0] * 5), np.array([1.0] * 10)),
+    ):
+        want = np.minimum(w_one, w_two).sum() / np.maximum(w_one, w_two).sum()
+        n = 4000
+        a, b = nd.samples(one, w_one, n), nd.samples(one, w_two, n)
+        assert (a == b).mean() == pytest.approx(want, abs=4 * np.sqrt(want * (1 - want) / n))
+    # and each is drawn in proportion to its weight
+    weight = np.array([1.0] * 9 + [6.0])
+    whole = nd.samples(one, weight, 4000)[0]
+    alone = one.__class__.__new__(nd.Shingles)
+    alone.values, alone.doc, alone.first = keys[9:], np.zeros(1, int), np.array([0, 1])
+    assert (whole == nd.samples(alone, weight[9:], 4000)[0]).mean() == pytest.approx(0.4, abs=0.04)
+
+
+def test_weights_are_exact_document_frequencies(spark, monkeypatch):
+    monkeypatch.setattr(nd, "FORGET_DOCS", 8)
+    rng = random.Random(6)
+    passage = "this very passage is in most of them"
+    texts = [prose(rng, 2) + (" " + passage if i % 3 else "") for i in range(90)]
+    found = nd.idf_weights(documents(spark, texts))
+    common = nd.Shingles(pa.array([passage])).values
+    assert set(common) <= set(found.values.tolist())
+    at = np.searchsorted(found.values, common)
+    want = 1 - nd.DAMPING * (1 - np.log1p(90 / 60) / np.log1p(90 / nd.LEAST_COMMON))
+    assert found.weights[at] == pytest.approx(want)
+
+
+def test_buckets_with_several_components_lose_no_link(spark, monkeypatch):
+    """A chain: each text is near the next only, and the first of a bucket is near few of them."""
+    monkeypatch.setattr(nd, "DOCUMENT_CHARS", nd.BLOCK_CHARS // 3)
+    rng = random.Random(7)
+    w = [f"v{i}" for i in range(400)]
+    texts = []
+    for _ in range(12):
+        texts.append(" ".join(w))
+        for i in rng.sample(range(400), 5):
+            w[i] = f"n{rng.randrange(10**6)}"
+    docs = documents(spark, texts[::-1])
+    got = {r["doc"]: r["class_id"] for r in nd.classes(docs).collect()}
+    assert [got[i] for i in range(12)] == brute(texts[::-1])
+
+
+def test_common_weight_by_matrices(monkeypatch):
+    monkeypatch.setattr(nd, "MATRIX_CELLS", 40)
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["a b c d e", "f g h i j", "k l m n o", "p q r"]) for _ in range(12)) for _ in range(9)]
+    found = nd.Shingles(pa.array(texts))
+    idf = 0.5 + (found.values % np.uint64(7)).astype(float)
+    rows = np.array([0, 3, 8])
+    got = nd._common(found, idf, rows, 9)
+    weight = [
+        dict(zip(found.values[a:b].tolist(), (idf * (1 + np.log(found.times)))[a:b], strict=True))
+        for a, b in zip(found.first[:-1], found.first[1:], strict=True)
+    ]
+    for i, r in enumerate(rows):
+        for d in range(9):
+            assert got[i, d] == pytest.approx(sum(min(w, weight[d].get(k, 0)) for k, w in weight[r].items())) or r == d
+
+
+def test_components(spark):
+    rng = random.Random(8)
+    links = [(i, i + 1) for i in range(30)] + [(100, 200 + i) for i in range(50)] + [(7, 7), (None, 3), (300, 100), (100, 300)]
+    rng.shuffle(links)
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {**dict.fromkeys(range(31), 0), **dict.fromkeys([100, 300, *range(200, 250)], 100)}
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -1,0 +1,96 @@
+"""Sentence runs against a plain pass over the documents in order."""
+
+import random
+import re
+
+import pytest
+from helpers import documents, prose, sentence, words
+
+from pulseframe.llm import substring_dedup as sd
+
+
+def cut(text):
+    """Sentences with their text; what has no word goes to the sentence before, or the first."""
+    parts = re.split(r"(?<=\n)|(?<=[.!?])(?=[ \t\r\x0b\x0c])", text)
+    out, lead = [], ""
+    for p in parts:
+        if words(p):
+            out.append(lead + p)
+            lead = ""
+        elif out:
+            out[-1] += p
+        else:
+            lead += p
+    return out
+
+
+def plain(texts):
+    first, result = {}, {}
+    runs = []
+    for d, text in enumerate(texts):
+        found = cut(text) if text else []
+        w = [words(s) for s in found]
+        for i in range(len(found)):
+            for j in range(i + 1, len(found) + 1):
+                n = sum(map(len, w[i:j]))
+                if len(w[i]) >= sd.LONG_SENTENCE or j - i >= sd.RUN_SENTENCES and n >= sd.RUN_WORDS:
+                    key = tuple(map(tuple, w[i:j]))
+                    first.setdefault(key, (d, i))
+                    runs.append((key, d, i, j))
+                    break
+        result[d] = (found, set())
+    for key, d, i, j in runs:
+        if first[key] != (d, i):
+            result[d][1].update(range(i, j))
+    return result
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(9)
+    passage = prose(rng, 7)
+    long = sentence(rng, 60)[:-1]
+    texts = [prose(rng, 6) for _ in range(10)]
+    texts += [prose(rng, 2) + " " + passage + "\n" + prose(rng, 3) for _ in range(25)]
+    texts += [prose(rng, 1) + " " + passage.upper().replace(" ", "  "), passage, passage + " " + passage]
+    texts += [f"{prose(rng, 2)}\n{long}\n{prose(rng, 2)}" for _ in range(3)]
+    texts += [None, "", "...", "! ? .", "Short one. All rights reserved.", "Short two. All rights reserved."]
+    texts += ["same line here now\n" * 40, "Tie. " * 3000, "no end", "É à la. Ça va? " * 20]
+    return texts
+
+
+def test_against_a_plain_pass(spark, corpus):
+    want = plain(corpus)
+    got = {r["doc_id"]: r for r in sd.substring_dedup(documents(spark, corpus)).collect()}
+    assert len(got) == len(corpus)
+    for d, text in enumerate(corpus):
+        found, gone = want[d]
+        assert (got[d]["n_sentences"], got[d]["n_removed"]) == (len(found), len(gone)), text
+        if not gone:
+            assert got[d]["text"] == text
+        else:
+            assert got[d]["text"].split() == "".join(s for i, s in enumerate(found) if i not in gone).split()
+    assert sum(len(g) for _, g in want.values()) > 150
+
+
+def test_a_passage_stays_once(spark):
+    rng = random.Random(10)
+    passage = prose(rng, 6)
+    texts = [prose(rng, 4) + " " + passage + " " + prose(rng, 4) for _ in range(30)]
+    kept = [r["text"] for r in sd.substring_dedup(documents(spark, texts)).collect()]
+    assert sum(passage in t for t in kept) == 1
+    assert all(len(words(t)) == 72 for t in kept if passage not in t)
+
+
+def test_repeated_rows_null_ids_clashes_and_empty_tables(spark):
+    rng = random.Random(11)
+    one = prose(rng, 5)
+    docs = documents(spark, [one, "x. " + one]).selectExpr("*", "1 as doc", "2 as copy", "3 as cuts", "4 as `a.b`")
+    twice = sd.substring_dedup(docs.union(docs))
+    assert [c for c in docs.columns if c not in twice.columns] == []
+    got = sorted((r["doc_id"], r["n_removed"], r["doc"], r["a.b"]) for r in twice.collect())
+    assert got == [(0, 0, 1, 4)] * 2 + [(1, 5, 1, 4)] * 2
+    null = docs.filter("doc_id = 1").selectExpr("cast(null as long) as doc_id", *docs.columns[1:5])
+    found = sd.substring_dedup(docs.select(*docs.columns[:5]).union(null)).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in found} == {None: 0, 0: 5, 1: 6}
+    assert sd.substring_dedup(docs.limit(0)).count() == 0

@@ -1,0 +1,113 @@
+"""Words, runs and the lattice against plain Python."""
+
+import random
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import log_sum, segmentations, words
+
+from pulseframe.llm.lattice import Lattice
+from pulseframe.llm.token_counts import UNKNOWN, Suffixes, trie_counts
+from pulseframe.llm.words import Words, blocks, runs
+
+TEXTS = [
+    "Hello, World 42", "", None, "a", "!!!", "ÉCOLE déjà-vu", "x" * 5000 + " y", "tail", "end.", "The the THE", "日本 語",
+]
+
+
+def test_words_of_a_block():
+    found = Words(pa.array(TEXTS))
+    got = [[found.text(i, i + 1).decode() for i in range(a, b)] for a, b in pairwise(found.first)]
+    assert got == [words(t) for t in TEXTS]
+    assert found.counts().tolist() == [len(words(t)) for t in TEXTS]
+
+
+def test_word_hashes_agree_with_equality():
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["ab", "ba", "a", "b", "abc", "é", "aab"]) for _ in range(50)) for _ in range(20)]
+    found = Words(pa.array(texts))
+    plain = [w for t in texts for w in words(t)]
+    by_hash = dict(zip(found.hashes().tolist(), plain, strict=True))
+    assert len(by_hash) == len(set(plain))
+    assert [by_hash[h] for h in found.hashes().tolist()] == plain
+
+
+def test_empty_blocks_and_slices():
+    assert Words(pa.array([], pa.string())).n == 0
+    assert Words(pa.array([None, ""], pa.string())).hashes().tolist() == []
+    sliced = pa.array(["one two", "three", "four five"]).slice(1, 2)
+    assert Words(sliced).text(0, 3) == b"three four five"
+
+
+def test_runs_depend_on_order():
+    h = Words(pa.array(["a b c b a b"])).hashes()
+    two = runs(h, 2)
+    assert len(two) == 5 and two[0] == two[4] and two[0] != two[2]
+    assert len(runs(h, 7)) == 0
+
+
+def test_blocks_keep_every_row():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 10, None, "y" * 100, "", "z"])], names=["t"])
+    parts = list(blocks([batch], "t", limit=20))
+    assert [t for p in parts for t in p.column("t").to_pylist()] == ["x" * 10, None, "y" * 100, "", "z"]
+    assert len(parts) > 1
+    assert list(blocks([batch.slice(0, 0)], "t")) == []
+
+
+PIECES = ["▁", "▁a", "a", "b", "ab", "▁ab", "abc", "c", "ca", "ß"]
+
+
+@pytest.fixture(scope="module")
+def model():
+    lattice = Lattice(PIECES)
+    counts = np.array([[1.0 + i, 2.0 * i] for i in range(len(PIECES) + 1)])
+    return lattice, lattice.log_p(counts)
+
+
+def _plain(lattice, log_p, word, g):
+    ids = {p: i for i, p in enumerate(PIECES)}
+    return log_sum([sum(log_p[ids.get(p, lattice.unknown), g] for p in s) for s in segmentations(word, ids)])
+
+
+@pytest.mark.parametrize("word", ["▁", "▁a", "▁abc", "▁abcabca", "▁zzz", "▁ßab日", "a"])
+def test_forward_sums_every_segmentation(model, word):
+    lattice, log_p = model
+    got = lattice.score([word, "▁ab", word], log_p)
+    for g in range(2):
+        assert got[0, g] == pytest.approx(_plain(lattice, log_p, word, g))
+        assert got[2, g] == got[0, g]
+
+
+def test_long_word(model):
+    lattice, log_p = model
+    assert np.isfinite(lattice.score(["▁" + "abc" * 3000], log_p)).all()
+
+
+def test_expected_counts_are_those_of_all_segmentations(model):
+    lattice, log_p = model
+    word, ids = "▁abcab", {p: i for i, p in enumerate(PIECES)}
+    total = _plain(lattice, log_p, word, 0)
+    want = np.zeros(len(PIECES) + 1)
+    for s in segmentations(word, ids):
+        share = np.exp(sum(log_p[ids[p], 0] for p in s) - total)
+        for p in s:
+            want[ids[p]] += 3 * share
+    got = lattice.expected([word], np.array([[3.0]]), log_p[:, :1])[:, 0]
+    assert got == pytest.approx(want)
+
+
+def test_trie_counts_are_those_of_the_best_segmentation():
+    scores = [-1.0, -1.5, -2.0, -2.5, -2.2, -3.0, -4.0, -2.1, -2.3, -5.0]
+    of = dict(zip(PIECES, scores, strict=True))
+    rng = random.Random(2)
+    some = ["▁" + "".join(rng.choice("abcßé") for _ in range(rng.randrange(7))) for _ in range(60)]
+    got = trie_counts(some, Suffixes(PIECES, scores))
+    for word in some:
+        ways = [
+            (-sum(of.get(p, UNKNOWN) for p in s), sum(1 if p in of else len(p.encode()) for p in s))
+            for s in segmentations(word, of)
+        ]
+        best = min(ways)[0]
+        assert got[word] == min(n for v, n in ways if v <= best + 1e-9)
