@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from pulseframe.operators.dedup import latest_per_key
 from pulseframe.plans import dims, facts, pipeline, staging
-from pulseframe.session import spread
 from pulseframe.sources.specs import SOURCES
 
 _ID = "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string))"
@@ -147,6 +146,8 @@ DAILY = {
 }
 DAILY_ORDER = ["l_partkey", "l_orderkey", "l_linenumber"]
 
+# Added to user ids where users without records, and the reverse, are wanted.
+MOVED_USERS = 10
 # Optimal strain limits, an optional input of the strain fact.
 OPTIMAL_MIN, OPTIMAL_MAX = 6.0, 14.0
 AS_OF = "2026-11-04"
@@ -161,21 +162,25 @@ def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Raw rows of a source."""
     types = {f.name: f.dataType.simpleString() for f in SOURCES[source].raw_schema.fields}
     exprs = [f"cast({e} as {types[name]}) as {name}" for name, e in RAW[source].items()]
-    return spread(read(spark, sf_dir, RAW_TABLE[source])).selectExpr(*exprs)
+    return read(spark, sf_dir, RAW_TABLE[source]).selectExpr(*exprs)
 
 
 def staged(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return staging.stage(raw(spark, sf_dir, source), source)
 
 
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_user(staging.stage_user(raw(spark, sf_dir, "user")))
+def users(spark: SparkSession, sf_dir: str, moved: int = 0) -> DataFrame:
+    """User dimension; ``moved`` is added to the ids, so some records have no user, some users no record."""
+    profiles = raw(spark, sf_dir, "user")
+    if moved:
+        profiles = profiles.withColumn("user_id", (F.col("user_id").cast("int") + moved).cast("string"))
+    return dims.dim_user(staging.stage_user(profiles))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lineitem rows as (not yet deduplicated) daily observations."""
     exprs = [f"{e} as {name}" for name, e in DAILY.items()]
-    return spread(read(spark, sf_dir, "lineitem")).selectExpr(*exprs)
+    return read(spark, sf_dir, "lineitem").selectExpr(*exprs)
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +189,12 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.withColumn("date_sk", dims.date_key("day"))
 
 
+def next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily series moved one day on: next to the series itself, days without a match occur."""
+    moved = daily(spark, sf_dir).withColumn("day", F.date_add("day", 1))
+    return moved.withColumn("date_sk", dims.date_key("day"))
+
+
 def percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.recovery_percentiles(
         staged(spark, sf_dir, "recovery"), users(spark, sf_dir), dims.dim_date(spark)

@@ -184,32 +184,30 @@ def _(spark, sf_dir):
     return _recovery_days(spark, sf_dir).join(days, "day").select("cycle_id", "date_sk")
 
 
-def _some_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days above a strain of 10: a series with gaps next to the daily one."""
-    return inputs.daily(spark, sf_dir).filter("day_strain > 10").select(*KEYS, "day_strain")
-
-
 @query("join_left_composite")
 def _(spark, sf_dir):
     left = inputs.daily(spark, sf_dir).select(*KEYS, "recovery_score")
-    return left.join(_some_days(spark, sf_dir), list(KEYS), "left")
+    right = inputs.next_day(spark, sf_dir).select(*KEYS, "day_strain")
+    return left.join(right, list(KEYS), "left")
 
 
 @query("join_left_sleep_fanout")
 def _(spark, sf_dir):
-    """Recovery and the one sleep kept of each user and day."""
+    """Recovery and the one sleep kept of each user and day before."""
     recovery = dedup.latest_per_key(
         _recovery_days(spark, sf_dir),
         ["user_id", "day"],
         ["updated_at", "created_at", "cycle_id"],
     ).select("user_id", "day", "cycle_id", "recovery_score")
-    nights = inputs.staged(spark, sf_dir, "sleep").filter("sleep_cycle_count <> 2")
+    nights = inputs.staged(spark, sf_dir, "sleep").withColumn(
+        "created_at", F.col("created_at") + F.expr("INTERVAL 1 DAY")
+    )
     return recovery.join(facts.daily_sleep(nights), ["user_id", "day"], "left")
 
 
 @query("join_left_to_inner")
 def _(spark, sf_dir):
-    users = inputs.users(spark, sf_dir).filter("last_name <> 'Nation 7'")
+    users = inputs.users(spark, sf_dir, moved=inputs.MOVED_USERS)
     rows = inputs.staged(spark, sf_dir, "cycle").select("id", "user_id", "strain")
     joined = rows.join(users.select("user_id", "user_sk"), "user_id", "left")
     return joined.filter(F.col("user_sk").isNotNull())
@@ -220,33 +218,33 @@ def _(spark, sf_dir):
     cycles = inputs.staged(spark, sf_dir, "cycle").select(
         "id", "user_id", F.to_date("created_at").alias("workout_date"), "strain"
     )
-    hard = inputs.staged(spark, sf_dir, "workout").filter("strain >= 10")
-    workouts = facts.daily_workouts(hard).select(
+    moved = inputs.staged(spark, sf_dir, "workout").withColumn(
+        "created_at", F.col("created_at") + F.expr("INTERVAL 1 DAY")
+    )
+    workouts = facts.daily_workouts(moved).select(
         "user_id", "workout_date", "total_workout_strain", "workout_count"
     )
     return cycles.join(workouts, ["user_id", "workout_date"], "left")
 
 
 def _strain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.daily(spark, sf_dir).filter("respiratory_rate is not null").select(
-        *KEYS, "day_strain"
-    )
+    return inputs.daily(spark, sf_dir).select(*KEYS, "day_strain")
 
 
 def _recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.daily(spark, sf_dir).filter("skin_temp_celsius is not null").select(
-        *KEYS, "recovery_score"
-    )
+    return inputs.next_day(spark, sf_dir).select(*KEYS, "recovery_score")
 
 
 @query("join_strain_recovery")
 def _(spark, sf_dir):
-    return _strain(spark, sf_dir).join(_recovery(spark, sf_dir), list(KEYS), "left")
+    pairs = series.beside(_strain(spark, sf_dir), _recovery(spark, sf_dir), ["recovery_score"])
+    return pairs.drop("_matched")
 
 
 @query("join_recovery_strain")
 def _(spark, sf_dir):
-    return _recovery(spark, sf_dir).join(_strain(spark, sf_dir), list(KEYS), "left")
+    pairs = series.beside(_recovery(spark, sf_dir), _strain(spark, sf_dir), ["day_strain"])
+    return pairs.drop("_matched")
 
 
 @query("join_fact_date")
@@ -279,11 +277,9 @@ def _(spark, sf_dir):
 
 @query("join_anti_fk")
 def _(spark, sf_dir):
-    parents = inputs.read(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
+    parents = inputs.read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("o_custkey"))
     orders = inputs.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return orders.join(
-        parents.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_anti"
-    )
+    return orders.join(parents, "o_custkey", "left_anti")
 
 
 # Aggregations
@@ -439,17 +435,15 @@ def _(spark, sf_dir):
 @query("win_avg_prev7_right")
 def _(spark, sf_dir):
     """Mean over the earlier matched rows, none for unmatched rows."""
-    right = _recovery(spark, sf_dir).withColumn("matched", F.lit(True))
-    pairs = _strain(spark, sf_dir).join(right, list(KEYS), "left")
-    before = series.previous_rows(7, "user_sk", "date_sk", "matched")
+    pairs = series.beside(_strain(spark, sf_dir), _recovery(spark, sf_dir), ["recovery_score"])
+    before = series.previous_rows(7, "user_sk", "date_sk", "_matched")
     return pairs.select(*KEYS, F.avg("recovery_score").over(before).alias("baseline"))
 
 
 @query("win_avg_prev6")
 def _(spark, sf_dir):
-    right = _strain(spark, sf_dir).withColumn("matched", F.lit(True))
-    pairs = _recovery(spark, sf_dir).join(right, list(KEYS), "left")
-    before = series.previous_rows(6, "user_sk", "date_sk", "matched")
+    pairs = series.beside(_recovery(spark, sf_dir), _strain(spark, sf_dir), ["day_strain"])
+    before = series.previous_rows(6, "user_sk", "date_sk", "_matched")
     return pairs.select(*KEYS, F.avg("day_strain").over(before).alias("recent_strain"))
 
 

@@ -180,6 +180,7 @@ def _named() -> dict[str, str]:
         f"select *, {DATE_SK.format('day')} as date_sk, hrv_rmssd_milli as hrv_rmssd "
         f"from ({latest('lines', 'user_sk, day', order)})"
     )
+    named["next_day"] = f"select * replace ({DATE_SK.format('day + 1')} as date_sk) from daily"
     named["day_recovery"] = latest(
         "(select *, cast(created_at as date) as day from stg_recovery "
         "where recovery_score is not null)",
@@ -447,9 +448,12 @@ def _models() -> dict[str, str]:
         "select user_sk, user_id, email, first_name, last_name, "
         f"{out('created_at:t updated_at:t')} from dim_user"
     )
-    in_use = "(select day, count(*) as n_rows from lines group by 1) l join dim_date d on d.date_day = l.day"
+    in_use = (
+        "(select d.*, coalesce(l.n, 0) as n_rows from dim_date d left join "
+        "(select day, count(*) as n from lines group by 1) l on l.day = d.date_day)"
+    )
     q["dim_date"] = (
-        f"select d.* replace (cast(date_day as varchar) as date_day), n_rows from {in_use}"
+        f"select * replace (cast(date_day as varchar) as date_day) from {in_use}"
     )
     q["doc_dim_date_weekend"] = (
         "select date_sk, cast(date_day as varchar) as date_day, n_rows, "
@@ -564,7 +568,7 @@ def _quality() -> dict[str, str]:
         "dq_unique_combo": "select user_sk, cast(day as varchar) as day, count(*) as n "
         "from lines group by 1, 2 having count(*) > 1",
         "dq_relationships": "select o_custkey, count(*) as n_rows from orders o where not exists "
-        "(select 1 from customer where c_acctbal > 0 and c_custkey = o.o_custkey) group by 1",
+        "(select 1 from supplier where s_suppkey = o.o_custkey) group by 1",
         "dq_accepted_range": "select o_orderkey, round(o_totalprice, 6) as o_totalprice "
         "from orders where o_orderstatus <> 'P' "
         "and (o_totalprice < 1000 or o_totalprice > 400000)",
@@ -577,7 +581,8 @@ def _quality() -> dict[str, str]:
         "when records > 1000 then 'warn' else 'ok' end as status from ("
         "select user_id as source, count(l.user_sk) as records from raw_user u "
         "left join lines l on l.user_sk = u.user_id group by 1 union all "
-        "select concat('new-', user_id), 0 from raw_user)",
+        "select concat('new-', user_id), 0 from raw_user) union all select 'user', count(*), "
+        "case when count(*) <> 1 then 'warn' else 'ok' end from raw_user",
         "agg_test_summary": "select 'not_null_skin_temp_celsius' as test, count(*) as failures, "
         "count(*) <> 0 as should_warn, count(*) <> 0 as should_error "
         "from raw_recovery where skin_temp_celsius is null",
@@ -620,7 +625,7 @@ def _quality() -> dict[str, str]:
     parts.append(duplicates("unique_user_sk_date_sk", "f", "user_sk, date_sk"))
     parts.append(
         "select 'relationships_user_sk' as test, count(*) as failures from f where user_sk not in "
-        "(select user_sk from dim_user where last_name <> 'Nation 7')"
+        "(select md5(cast(cast(user_id as int) + 10 as varchar)) from dim_user)"
     )
     parts.append(
         "select 'relationships_date_sk' as test, count(*) as failures from f "
@@ -806,11 +811,16 @@ def _sources() -> dict[str, str]:
         f"{out('created_at:t updated_at:t')}, '{now}' as ingested_at from raw_user"
     )
     first_load = source_queries.FIRST_LOAD_END
+    sports = (
+        "(select coalesce(sport_name, 'none') as known, "
+        "concat(substr(coalesce(sport_name, 'none'), 1, 1), 'F') as asked, "
+        "updated_at, ingested_at from raw_workout)"
+    )
     states = (
-        "(select score_state as table_name, max(updated_at) as last_processed_at from raw_cycle "
-        "where score_state <> 'PENDING' group by 1)"
+        "(select known as table_name, max(updated_at) as last_processed_at "
+        f"from {sports} group by 1)"
     )
-    names = "(select distinct score_state as table_name from raw_cycle)"
+    names = f"(select distinct asked as table_name from {sports})"
     known = (
         "select n.table_name, coalesce(s.last_processed_at, timestamp '2024-01-01') "
         f"as last_processed_at from {names} n left join {states} s on s.table_name = n.table_name"
@@ -818,15 +828,16 @@ def _sources() -> dict[str, str]:
     q["state_get"] = f"select table_name, {out('last_processed_at:t')} from ({known})"
     kept = (
         f"select table_name, {out('last_processed_at:t')}, 'success' as last_run_status, "
-        f"'{first_load}' as updated_at from {states} where table_name = 'SCORED'"
+        f"'{first_load}' as updated_at from {states} where table_name not in "
+        f"(select table_name from {names})"
     )
     q["state_upsert"] = (
-        f"{kept} union all select score_state, cast(max(ingested_at) as varchar), 'success', "
-        f"'{stamp}' from raw_cycle where score_state <> 'SCORED' group by 1"
+        f"{kept} union all select asked, cast(max(ingested_at) as varchar), 'success', "
+        f"'{stamp}' from {sports} group by 1"
     )
     q["state_failed"] = (
         f"{kept} union all select table_name, cast(last_processed_at as varchar), 'failed', "
-        f"'{stamp}' from ({known}) where table_name <> 'SCORED'"
+        f"'{stamp}' from ({known})"
     )
     q["scan_source"] = f"select id, user_id, nap, {out('created_at:t')} from raw_sleep"
     q["scan_ref"] = "select cycle_id, user_id, recovery_score from stg_recovery"
@@ -898,16 +909,15 @@ def _sources() -> dict[str, str]:
         + latest(f"(select * from raw_sleep where {in_2023})", "id", NEWEST)
         + ")"
     )
-    q["doc_scd2_user"] = """
-        with k as (select user_id, first_name, last_name from dim_user
-                   where last_name < 'Nation 2'),
-        m as (select user_id, first_name,
-                case when last_name < 'Nation 15' then 'Moved' else last_name end as last_name
-              from dim_user)
+    profile = f"email, first_name, last_name, {out('created_at:t updated_at:t')}"
+    q["doc_scd2_user"] = f"""
+        with m as (select user_sk, user_id, {profile} from dim_user),
+        k as (select md5(i) as user_sk, i as user_id, {profile}
+              from (select *, cast(cast(user_id as int) + 10 as varchar) as i from dim_user))
         select k.*, '2024-01-01' as effective_date,
             case when m.last_name <> k.last_name then '2025-01-01' end as expiry_date,
-            m.last_name = k.last_name as is_current
-        from k join m on m.user_id = k.user_id
+            coalesce(m.last_name = k.last_name, true) as is_current
+        from k left join m on m.user_id = k.user_id
         union all
         select m.*, '2025-01-01', null, true from m left join k on k.user_id = m.user_id
         where k.user_id is null or k.last_name <> m.last_name"""
@@ -989,6 +999,10 @@ def _operators() -> dict[str, str]:
 
 
 def _joins() -> dict[str, str]:
+    moved = (
+        "(select md5(i) as user_sk, i as user_id from "
+        "(select cast(cast(user_id as int) + 10 as varchar) as i from dim_user))"
+    )
     q = {
         "join_inner_user": "select r.user_id, cycle_id, recovery_score, user_sk "
         "from stg_recovery r join dim_user u on u.user_id = r.user_id",
@@ -996,23 +1010,23 @@ def _joins() -> dict[str, str]:
         "join dim_date d on d.date_day = cast(r.created_at as date)",
         "join_left_composite": "select a.user_sk, a.date_sk, "
         "round(a.recovery_score, 6) as recovery_score, round(b.day_strain, 6) as day_strain "
-        "from daily a left join (select * from daily where day_strain > 10) b "
+        "from daily a left join next_day b "
         "on b.user_sk = a.user_sk and b.date_sk = a.date_sk",
         "join_left_to_inner": "select c.user_id, c.id, c.strain, u.user_sk from stg_cycle c "
-        "join dim_user u on u.user_id = c.user_id where u.last_name <> 'Nation 7'",
+        f"join {moved} u on u.user_id = c.user_id",
         "join_left_preagg": "select c.user_id, cast(cast(c.created_at as date) as varchar) "
         "as workout_date, c.id, c.strain, w.total_workout_strain, w.workout_count "
-        "from stg_cycle c left join (select user_id, cast(created_at as date) as d, "
+        "from stg_cycle c left join (select user_id, cast(created_at as date) + 1 as d, "
         "cast(sum(strain) as bigint) as total_workout_strain, count(*) as workout_count "
-        "from stg_workout where strain >= 10 group by 1, 2) w "
+        "from stg_workout group by 1, 2) w "
         "on w.user_id = c.user_id and w.d = cast(c.created_at as date)",
         "join_fact_date": "select a.date_sk, user_sk, round(recovery_score, 6) as recovery_score, "
         "season, year_number from daily a join dim_date d on d.date_sk = a.date_sk",
         "join_anti_fk": "select o_custkey, o_orderkey from orders where o_custkey not in "
-        "(select c_custkey from customer where c_mktsegment = 'BUILDING')",
+        "(select s_suppkey from supplier)",
     }
     night = latest(
-        "(select *, cast(created_at as date) as day from stg_sleep where sleep_cycle_count <> 2)",
+        "(select *, cast(created_at as date) + 1 as day from stg_sleep)",
         "user_id, day",
         "nap asc nulls last, updated_at desc nulls first, id desc nulls first",
     )
@@ -1027,8 +1041,7 @@ def _joins() -> dict[str, str]:
         f"s.sleep_efficiency_percentage, s.respiratory_rate from ({recovery}) r "
         f"left join ({night}) s on s.user_id = r.user_id and s.day = r.day"
     )
-    strain = "(select * from daily where respiratory_rate is not null)"
-    scored = "(select * from daily where skin_temp_celsius is not null)"
+    strain, scored = "daily", "next_day"
     on = "on r.user_sk = s.user_sk and r.date_sk = s.date_sk"
     both = "round(day_strain, 6) as day_strain, round(recovery_score, 6) as recovery_score"
     both = both.replace("(day_strain", "(s.day_strain").replace("(recovery", "(r.recovery")

@@ -190,25 +190,29 @@ def _(spark, sf_dir):
     return spark.read.parquet(f"{root}/raw_user")
 
 
+def _workout_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two names of every workout row: its sport, and that with the last letter F."""
+    sport = F.coalesce("sport_name", F.lit("none"))
+    other = F.concat(F.substring(sport, 1, 1), F.lit("F"))
+    return inputs.raw(spark, sf_dir, "workout").select(
+        sport.alias("known"), other.alias("asked"), "updated_at", "ingested_at"
+    )
+
+
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run state per score state; one of the three has never run."""
-    return (
-        inputs.raw(spark, sf_dir, "cycle")
-        .filter("score_state <> 'PENDING'")
-        .groupBy(F.col("score_state").alias("table_name"))
-        .agg(F.max("updated_at").alias("last_processed_at"))
-        .select(
-            "table_name",
-            "last_processed_at",
-            F.lit("success").alias("last_run_status"),
-            F.lit(FIRST_LOAD_END).cast("timestamp_ntz").alias("updated_at"),
-        )
+    """Run state per sport."""
+    rows = _workout_names(spark, sf_dir).groupBy(F.col("known").alias("table_name"))
+    return rows.agg(F.max("updated_at").alias("last_processed_at")).select(
+        "table_name",
+        "last_processed_at",
+        F.lit("success").alias("last_run_status"),
+        F.lit(FIRST_LOAD_END).cast("timestamp_ntz").alias("updated_at"),
     )
 
 
 def _state_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = inputs.raw(spark, sf_dir, "cycle").select(F.col("score_state").alias("table_name"))
-    return names.distinct()
+    """Names that are asked for; one of them has never run."""
+    return _workout_names(spark, sf_dir).select(F.col("asked").alias("table_name")).distinct()
 
 
 @query("state_get")
@@ -218,19 +222,16 @@ def _(spark, sf_dir):
 
 @query("state_upsert")
 def _(spark, sf_dir):
-    updates = (
-        inputs.raw(spark, sf_dir, "cycle")
-        .filter("score_state <> 'SCORED'")
-        .groupBy(F.col("score_state").alias("table_name"))
-        .agg(F.max("ingested_at").alias("last_processed_at"))
-    )
+    rows = _workout_names(spark, sf_dir).groupBy(F.col("asked").alias("table_name"))
+    updates = rows.agg(F.max("ingested_at").alias("last_processed_at"))
     return state.upsert_state(_states(spark, sf_dir), updates, F.lit(BATCH_TIME))
 
 
 @query("state_failed")
 def _(spark, sf_dir):
-    failed = _state_names(spark, sf_dir).filter("table_name <> 'SCORED'")
-    return state.mark_failed(_states(spark, sf_dir), failed, F.lit(BATCH_TIME))
+    return state.mark_failed(
+        _states(spark, sf_dir), _state_names(spark, sf_dir), F.lit(BATCH_TIME)
+    )
 
 
 @query("scan_source")
@@ -360,20 +361,16 @@ def _(spark, sf_dir):
 
 @query("doc_scd2_user")
 def _(spark, sf_dir):
-    names = inputs.users(spark, sf_dir).select("user_id", "first_name", "last_name")
+    """All profiles, next to the same profiles known under other ids."""
     day_one, day_two = (F.lit(d).cast("date") for d in ("2024-01-01", "2025-01-01"))
-    known = names.filter("last_name < 'Nation 2'").select(
+    known = inputs.users(spark, sf_dir, moved=inputs.MOVED_USERS).select(
         "*",
         day_one.alias("effective_date"),
         F.lit(None).cast("date").alias("expiry_date"),
         F.lit(True).alias("is_current"),
     )
-    moved = names.withColumn(
-        "last_name",
-        F.when(F.col("last_name") < "Nation 15", "Moved").otherwise(F.col("last_name")),
-    )
     return incremental.merge_history(
-        known, moved, "user_id", ["first_name", "last_name"], day_two
+        known, inputs.users(spark, sf_dir), "user_id", ["last_name"], day_two
     )
 
 

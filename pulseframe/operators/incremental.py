@@ -129,10 +129,15 @@ def merge_history(
     """History dimension: close the current row of a changed key and open a new one.
 
     ``dim`` carries ``effective_date``, ``expiry_date`` and ``is_current``;
-    ``updates`` holds one row per key with the tracked columns.
+    ``updates`` holds one row per key with the tracked columns and others. Only
+    the tracked columns decide whether a key has changed, but every column of
+    the dimension is kept: a new row has the update's values, and the old row's
+    where the update lacks the column.
     """
+    history = ("effective_date", "expiry_date", "is_current")
+    names = [c for c in dim.columns if c not in history]
     current = dim.filter("is_current").alias("c")
-    new = updates.select(key, *tracked).alias("n")
+    new = updates.select(*[c for c in names if c in updates.columns]).alias("n")
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(f"c.{c}").eqNullSafe(F.col(f"n.{c}"))
@@ -140,15 +145,13 @@ def merge_history(
     is_old, is_new = F.col(f"c.{key}").isNotNull(), F.col(f"n.{key}").isNotNull()
     changed = is_old & is_new & ~same
     old_row = F.struct(
-        F.col(f"c.{key}").alias(key),
-        *[F.col(f"c.{c}").alias(c) for c in tracked],
+        *[F.col(f"c.{c}").alias(c) for c in names],
         F.col("c.effective_date").alias("effective_date"),
         F.when(changed, effective).otherwise(F.col("c.expiry_date")).alias("expiry_date"),
         (~changed).alias("is_current"),
     )
     new_row = F.struct(
-        F.col(f"n.{key}").alias(key),
-        *[F.col(f"n.{c}").alias(c) for c in tracked],
+        *[F.col(f"n.{c}" if c in updates.columns else f"c.{c}").alias(c) for c in names],
         effective.alias("effective_date"),
         F.lit(None).cast("date").alias("expiry_date"),
         F.lit(True).alias("is_current"),
@@ -156,7 +159,5 @@ def merge_history(
     rows = F.array_compact(
         F.array(F.when(is_old, old_row), F.when(changed | ~is_old, new_row))
     )
-    closed = dim.filter(~F.col("is_current")).select(
-        key, *tracked, "effective_date", "expiry_date", "is_current"
-    )
+    closed = dim.filter(~F.col("is_current")).select(*names, *history)
     return pairs.select(F.inline(rows)).unionByName(closed)

@@ -64,15 +64,23 @@ def beside(
     hold at most one row per user and day, so the join is a union that is grouped
     by user and day: every row is shuffled once, by user, and the per-user frames
     that follow reuse this layout. A join on both keys would shuffle by both, and
-    its result again by user.
+    its result again by user. A second row for a user and day, on either side,
+    is an error; right rows with a null key match nothing.
     """
     own = [c for c in left.columns if c not in (user, day)]
+    known = right.filter(F.col(user).isNotNull() & F.col(day).isNotNull())
     both = left.withColumn("_own", F.lit(True)).unionByName(
-        right.select(user, day, *columns, F.lit(True).alias("_matched")), allowMissingColumns=True
+        known.select(user, day, *columns, F.lit(True).alias("_matched")), allowMissingColumns=True
     )
     merged = (
         both.repartition(user)
         .groupBy(user, day)
-        .agg(*[F.max(c).alias(c) for c in ("_own", *own, *columns, "_matched")])
+        .agg(
+            *[F.max(c).alias(c) for c in (*own, *columns, "_matched")],
+            F.count("_own").alias("_own"),
+            F.count("_matched").alias("_others"),
+        )
     )
-    return merged.filter("_own").drop("_own")
+    repeated = F.raise_error(F.lit("more than one row for a user and day")).cast("boolean")
+    single = F.when((F.col("_own") > 1) | (F.col("_others") > 1), repeated)
+    return merged.filter(F.coalesce(single, F.col("_own") == 1)).drop("_own", "_others")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,17 +12,71 @@ from pulseframe.functions.compat import is_bad_timestamp, parse_timestamp, round
 from pulseframe.sources.specs import SourceSpec
 
 
+# Text of a page that the reader could not take as a whole.
+CORRUPT = "_corrupt_page"
+# One rejected page or record: why, and its text.
+REJECTED_SCHEMA = "reason string, content string"
+
+
+def _page_schema(spec: SourceSpec) -> T.StructType:
+    return T.StructType([*spec.page_schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def read_pages(
-    spark: SparkSession, path: str, spec: SourceSpec, one_page_per_line: bool = True
+    spark: SparkSession,
+    path: str | Sequence[str],
+    spec: SourceSpec,
+    one_page_per_line: bool = True,
 ) -> DataFrame:
-    """Read page files; one JSON value per line by default, else one per file."""
-    reader = spark.read.schema(spec.page_schema).option("multiLine", not one_page_per_line)
-    return reader.json(path)
+    """Read page files; one JSON value per line by default, else one per file.
+
+    What cannot be read, a page cut off or printed over several lines, is kept as text in the
+    column CORRUPT; see :func:`rejected_pages`.
+    """
+    reader = spark.read.schema(_page_schema(spec)).option("multiLine", not one_page_per_line)
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def parse_pages(texts: DataFrame, column: str, spec: SourceSpec) -> DataFrame:
     """Parse a text column that holds one page (or one bare record) per row."""
-    return texts.select(F.from_json(column, spec.page_schema).alias("p")).select("p.*")
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    return texts.select(F.from_json(column, _page_schema(spec), options).alias("p")).select("p.*")
+
+
+def is_rejected_page() -> Column:
+    """True for a page that was not read in full. Records that could be read are used all the same."""
+    # The reader wants another column than the text to be used as well.
+    return F.col(CORRUPT).isNotNull() & (F.coalesce(F.size("records"), F.lit(0)) >= -1)
+
+
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """Quarantine: (reason, content) of pages that could not be read in full."""
+    return pages.filter(is_rejected_page()).select(
+        F.lit("unreadable page").alias("reason"), F.col(CORRUPT).alias("content")
+    )
+
+
+def why_rejected(spec: SourceSpec) -> Column:
+    """Why a nested record cannot be loaded, or null: no key, or a time that cannot be read.
+
+    Of an incremental source the time that places the record has to be there.
+    """
+    paths = {name: path for name, path, _ in spec.fields}
+    reason = F.when(F.col(paths[spec.key]).isNull(), F.lit(f"no {spec.key}"))
+    if spec.time_field:
+        reason = reason.when(
+            parse_timestamp(paths[spec.time_field]).isNull(), F.lit(f"no readable {spec.time_field}")
+        )
+    for name, path, type in spec.fields:
+        if type == "timestamp":
+            reason = reason.when(is_bad_timestamp(path), F.lit(f"unreadable {name}"))
+    return reason
+
+
+def rejected_records(records: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Quarantine: (reason, content) of records that cannot be loaded, as JSON text."""
+    bad = records.withColumn("_reason", why_rejected(spec)).filter("_reason is not null")
+    return bad.select(F.col("_reason").alias("reason"), F.to_json(F.struct(*records.columns)).alias("content"))
 
 
 def explode_records(pages: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -43,12 +99,15 @@ def _raw_column(path: str, type: str) -> Column:
 
 
 def flatten_records(
-    records: DataFrame, spec: SourceSpec, ingested_at: Column | None = None
+    records: DataFrame,
+    spec: SourceSpec,
+    ingested_at: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Nested records to the columns of the raw table.
 
     A missing nested object gives nulls. ``ingested_at`` stamps one time on the
-    whole batch; without it the record's own value is kept.
+    whole batch; without it the record's own value is kept. ``keep`` names further columns.
     """
     cols = []
     for name, path, type in spec.fields:
@@ -56,18 +115,7 @@ def flatten_records(
             cols.append(ingested_at.cast("timestamp_ntz").alias(name))
         else:
             cols.append(_raw_column(path, type).alias(name))
-    return records.select(*cols)
-
-
-def bad_timestamps(records: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Quarantine: records with a time text that cannot be read, and which fields."""
-    checks = [
-        F.when(is_bad_timestamp(path), F.lit(name))
-        for name, path, type in spec.fields
-        if type == "timestamp"
-    ]
-    bad = records.withColumn("bad_fields", F.array_compact(F.array(*checks)))
-    return bad.filter(F.size("bad_fields") > 0)
+    return records.select(*cols, *keep)
 
 
 def stamp_ingested(df: DataFrame, batch_time: str) -> DataFrame:

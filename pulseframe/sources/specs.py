@@ -11,10 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# First watermark of a source, and the age in days beyond which a
-# stored watermark is no longer used as a range start.
+# Fixed value: first watermark of a source.
 FIRST_WATERMARK = "2024-01-01 00:00:00"
-MAX_WATERMARK_AGE_DAYS = 30
 
 Field = tuple[str, str, str]
 

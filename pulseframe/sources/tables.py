@@ -1,20 +1,27 @@
-"""Parquet tables: append, replace and upsert of touched partitions."""
+"""Parquet tables: append, replace and upsert of touched partitions.
+
+A rewrite reads the table it replaces, so it goes through a staged copy next to the table. When the
+copy is complete, a small plan file is written into it; then the table is replaced from the copy,
+and at last the copy is removed. A run that stops in between leaves the plan behind: whoever opens
+the table next (:func:`read_table`, :func:`upsert`, :func:`recover`) finishes the replacement first.
+A copy without a plan was not complete, and the table is still whole.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulseframe.operators.incremental import align_schema, fill_missing, merge_upsert
 
-# Fixed value: most partitions an upsert may rewrite; a monthly layout of the
-# default calendar has 132.
-MAX_PARTITIONS = 10_000
+# Not read as data, because of the underscore.
+PLAN = "_rewrite_plan"
+_STAGED = "__staged"
 
 
 def month_of(c: Column | str) -> Column:
@@ -23,13 +30,36 @@ def month_of(c: Column | str) -> Column:
     return F.year(c) * 100 + F.month(c)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system takes it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, where = _files(spark, path)
+    fs.delete(where, True)
+
+
+def _staged_path(path: str) -> str:
+    return f"{path.rstrip('/')}{_STAGED}"
+
+
+def rejected_path(path: str) -> str:
+    """Where an upsert puts rows that have a null in their key."""
+    return f"{path.rstrip('/')}__rejected"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True if a Parquet table can be read at the path."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
+    """True if something was written at the path: it is there, with more than hidden files.
+
+    Any trouble with reaching the path is an error, never taken for absence.
+    """
+    recover(spark, path)
+    fs, where = _files(spark, path)
+    if not fs.exists(where):
         return False
-    return True
+    return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(where))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -54,36 +84,88 @@ def _laid_out(
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    recover(df.sparkSession, path)
     _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
 ) -> None:
-    """Replace the whole table by a frame that does not read it."""
+    """Replace the whole table by a frame that does not read it.
+
+    What an interrupted rewrite left to do is void then.
+    """
+    if not path.endswith(_STAGED):
+        _delete(df.sparkSession, f"{_staged_path(path)}/{PLAN}")
     writer = _laid_out(df, partition_by, sort_by).write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     writer.parquet(path)
 
 
 def rewrite(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), by_partition: bool = False
-) -> DataFrame:
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), touched: DataFrame | None = None
+) -> None:
     """Overwrite a table by a frame that may read it, through a staged copy.
 
-    The copy lies next to the table and is overwritten by the next call, so a
-    table never has more than one. Nothing is deleted before it is complete. With
-    ``by_partition`` only the partitions present in ``df`` are replaced. Returns
-    the staged copy.
+    With ``touched``, which has the partition column, only those partitions are replaced; one that
+    ``df`` has no rows for is removed.
     """
     spark = df.sparkSession
-    staged_path = f"{path.rstrip('/')}__staged"
-    replace(df, staged_path, partition_by)
-    staged = spark.read.schema(df.schema).parquet(staged_path)
-    mode = "dynamic" if by_partition else "static"
-    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    writer.partitionBy(*partition_by).parquet(path)
-    return staged
+    staged = _staged_path(path)
+    replace(df, staged, partition_by)
+    gone = []
+    if touched is not None:
+        (column,) = partition_by
+        written = spark.read.schema(df.schema).parquet(staged).select(column).distinct()
+        gone = [r[0] for r in touched.select(column).distinct().exceptAll(written).collect()]
+    plan = {
+        "partition_by": list(partition_by),
+        "by_partition": touched is not None,
+        "gone": gone,
+        "schema": df.schema.jsonValue(),
+    }
+    _write_plan(spark, staged, plan)
+    recover(spark, path)
+
+
+def _write_plan(spark: SparkSession, staged: str, plan: dict) -> None:
+    """Write the plan under another name and rename it, so it is there as a whole or not at all."""
+    fs, where = _files(spark, f"{staged}/{PLAN}.part")
+    out = fs.create(where, True)
+    out.write(bytearray(json.dumps(plan).encode()))
+    out.close()
+    fs.rename(where, _files(spark, f"{staged}/{PLAN}")[1])
+
+
+def _read_plan(spark: SparkSession, staged: str) -> dict | None:
+    fs, where = _files(spark, f"{staged}/{PLAN}")
+    if not fs.exists(where):
+        return None
+    reader = fs.open(where)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(reader, "UTF-8")
+    reader.close()
+    return json.loads(text)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a rewrite whose staged copy is complete; True if there was one.
+
+    Every step can be repeated, so a run that stops here as well leaves the same work behind.
+    """
+    staged = _staged_path(path)
+    plan = _read_plan(spark, staged)
+    if plan is None:
+        return False
+    copy = spark.read.schema(T.StructType.fromJson(plan["schema"])).parquet(staged)
+    mode = "dynamic" if plan["by_partition"] else "static"
+    writer = copy.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy(*plan["partition_by"]).parquet(path)
+    for value in plan["gone"]:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        _delete(spark, f"{path.rstrip('/')}/{plan['partition_by'][0]}={name}")
+    _delete(spark, f"{staged}/{PLAN}")
+    _delete(spark, staged)
+    return True
 
 
 def upsert(
@@ -94,7 +176,7 @@ def upsert(
     partition_is_part_of_key: bool = False,
     merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = merge_upsert,
     on_schema_change: str = "fail",
-) -> None:
+) -> int:
     """Merge ``source`` (unique on ``keys``) into a Parquet table.
 
     ``on_schema_change`` is ``fail`` or ``append_new_columns``.
@@ -102,17 +184,30 @@ def upsert(
     of the source rows and those that hold an older version of their keys. The
     second set is looked up by a key-only scan, which is skipped where the
     partition value is a function of the key.
+
+    Rows with a null in their key never match, and would be added again by every repeated batch.
+    They are not merged, but appended to the table at :func:`rejected_path`; returns their number.
     """
+    spark = source.sparkSession
     columns = [partition_by] if partition_by else []
-    if not table_exists(source.sparkSession, path):
-        replace(source, path, columns)
-        return
     # The batch is read several times below, but computed once.
     batch = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _merge_into(batch, path, keys, partition_by, partition_is_part_of_key, merge, on_schema_change)
+        null_key = F.lit(False)
+        for k in keys:
+            null_key = null_key | F.col(k).isNull()
+        rejected = batch.filter(null_key).count()
+        good = batch
+        if rejected:
+            append(batch.filter(null_key), rejected_path(path))
+            good = batch.filter(~null_key)
+        if not table_exists(spark, path):
+            replace(good, path, columns)
+        else:
+            _merge_into(good, path, keys, partition_by, partition_is_part_of_key, merge, on_schema_change)
     finally:
         batch.unpersist()
+    return rejected
 
 
 def _merge_into(
@@ -140,24 +235,14 @@ def _merge_into(
             source.select(*keys), list(keys), "left_semi"
         )
         touched = touched.union(older.select(partition_by))
-    found = touched.distinct().limit(MAX_PARTITIONS + 1).collect()
-    values = [row[0] for row in found]
-    if len(values) > MAX_PARTITIONS:
-        raise ValueError(f"more than {MAX_PARTITIONS} partitions of {partition_by} touched")
-
+    # As many values as there are partition folders, which the driver lists to read the table.
+    values = [row[0] for row in touched.distinct().collect()]
+    if not values:
+        return
     part = F.col(partition_by)
     scope = part.isin([v for v in values if v is not None])
     if None in values:
         scope = scope | part.isNull()
-    merged = merge(target.filter(scope), source, keys)
-    written = rewrite(merged, path, columns, by_partition=True)
-    left = {row[0] for row in written.select(partition_by).distinct().collect()}
-    if set(values) - left:
-        # A partition lost its last row. Dynamic overwrite keeps the old files of
-        # such a partition, so the table is rewritten without them, from what the
-        # other partitions hold now.
-        gone = F.col(partition_by).isin([v for v in set(values) - left if v is not None])
-        if None in set(values) - left:
-            gone = gone | F.col(partition_by).isNull()
-        now = spark.read.schema(target.schema).parquet(path)
-        rewrite(now.filter(~F.coalesce(gone, F.lit(False))), path, columns)
+    kind = target.schema[partition_by].dataType
+    known = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(partition_by, kind)]))
+    rewrite(merge(target.filter(scope), source, keys), path, columns, known)

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from pulseframe.operators import dedup, incremental
+from pulseframe.operators import dedup, incremental, series
 from pulseframe.sources import tables
 
 SCHEMA = "id string, v int, updated_at timestamp_ntz"
@@ -184,3 +184,35 @@ def test_replace_and_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     tables.replace(one, path)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_history_keeps_every_column(spark, day):
+    schema = "k int, sk string, mail string, x int, effective_date date, expiry_date date, is_current boolean"
+    start, when = day("2024-01-01"), day("2024-06-01")
+    dim = spark.createDataFrame(
+        [(1, "s1", "a@x", 5, start, None, True), (2, "s2", "b@x", 6, start, None, True), (3, "s3", "c@x", 7, start, None, True)],
+        schema,
+    )
+    updates = spark.createDataFrame([(1, "new@x", 50), (2, "b2@x", 6), (4, "d@x", 8)], "k int, mail string, x int")
+    got = incremental.merge_history(dim, updates, "k", ["x"], F.lit(when))
+    again = incremental.merge_history(got, updates, "k", ["x"], F.lit(when))
+    want = {
+        (1, "s1", "a@x", 5, start, when, False),
+        (1, "s1", "new@x", 50, when, None, True),
+        (2, "s2", "b@x", 6, start, None, True),
+        (3, "s3", "c@x", 7, start, None, True),
+        (4, None, "d@x", 8, when, None, True),
+    }
+    for df in (got, again):
+        rows = df.select(*dim.columns).collect()
+        assert len(rows) == 5 and {tuple(r) for r in rows} == want
+
+
+def test_two_rows_of_a_user_and_day_are_an_error(spark):
+    left = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0), (None, 1, 3.0)], "user_sk string, date_sk int, v double")
+    right = spark.createDataFrame([("a", 1, 9.0), (None, 1, 8.0), ("b", 1, 7.0)], "user_sk string, date_sk int, w double")
+    got = {(r.user_sk, r.date_sk): (r.v, r.w) for r in series.beside(left, right, ["w"]).collect()}
+    assert got == {("a", 1): (1.0, 9.0), ("a", 2): (2.0, None), (None, 1): (3.0, None)}
+    for one, two in ((left.union(left.limit(1)), right), (left, right.union(right.limit(1)))):
+        with pytest.raises(Exception, match="more than one row for a user and day"):
+            series.beside(one, two, ["w"]).collect()

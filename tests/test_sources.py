@@ -88,12 +88,17 @@ def test_single_object_and_nested_levels(spark, tmp_path):
     assert row.disturbance_count is None and row.nap is True
 
 
-def test_bad_times_are_quarantined(spark, tmp_path):
-    folder = write_pages(
-        tmp_path / "b", {"records": [cycle(1), cycle(2, updated="soon"), cycle(3, updated="")]}
-    )
-    bad = landed.bad_timestamps(load(spark, folder), SOURCES["cycle"]).collect()
-    assert [(r.id, r.bad_fields) for r in bad] == [("2", ["updated_at"])]
+def test_bad_records_are_told_apart(spark, tmp_path):
+    records = [cycle(1), cycle(2, updated="soon"), cycle(3, updated=""), cycle(None), cycle(5, created_at="x")]
+    folder = write_pages(tmp_path / "b", {"records": records})
+    bad = landed.rejected_records(load(spark, folder), SOURCES["cycle"]).collect()
+    got = {json.loads(r.content).get("id"): r.reason for r in bad}
+    assert got == {
+        "2": "no readable updated_at",
+        "3": "no readable updated_at",
+        None: "no id",
+        "5": "unreadable created_at",
+    }
 
 
 def test_flatten_any_struct(spark):
@@ -151,19 +156,56 @@ def test_extraction_runs(spark, tmp_path, ts):
     assert states["sleep"].last_run_status == "failed"
     assert states["sleep"].last_processed_at == ts("2024-01-01")
 
-    # Next run: only rows from the watermark on; the boundary row comes again.
+    # Next run: files that were loaded are not read again, new ones are.
     later = NOW + dt.timedelta(days=1)
-    extract.run_extract(spark, paths, root, later)
+    new = [cycle(3, "2024-02-25T00:00:00Z"), cycle(4, "2024-02-24T00:00:00Z")]
+    (tmp_path / "in" / "page9.json").write_text(json.dumps({"records": new}))
+    log = {r.source: r for r in extract.run_extract(spark, paths, root, later).collect()}
+    assert (log["cycle"].records, log["cycle"].outside) == (1, 1)
     raw = spark.read.parquet(f"{root}/raw_cycle")
-    assert sorted(r.id for r in raw.collect()) == ["1", "2", "2"]
+    assert sorted(r.id for r in raw.collect()) == ["1", "2", "3"]
+    assert {r[extract.INGEST_DAY] for r in raw.collect()} == {20240301, 20240302}
     assert spark.read.parquet(f"{root}/raw_user").count() == 1
     assert spark.read.parquet(f"{root}/run_log").count() == 6
 
 
-def test_old_watermark_sets_no_range(spark, ts):
-    rows = spark.createDataFrame([(ts("2023-01-01"),), (ts("2024-02-25"),)], "t timestamp_ntz")
-    assert extract.in_range(rows, "t", ts("2024-01-01"), NOW).count() == 2
-    assert extract.in_range(rows, "t", ts("2024-02-20"), NOW).count() == 1
+def test_nothing_is_dropped_silently(spark, tmp_path, ts):
+    root, folder = str(tmp_path / "root"), tmp_path / "in"
+    page = {"records": [cycle(1), cycle(2, updated="soon"), cycle(None), cycle(3)]}
+    write_pages(folder, page)
+    (folder / "cut.json").write_text(json.dumps({"records": [cycle(4), cycle(5)]})[:-40])
+    (folder / "pretty.json").write_text(json.dumps({"records": [cycle(6)]}, indent=2))
+    row = extract.run_extract(spark, {"cycle": str(folder)}, root, NOW).first()
+    held = spark.read.parquet(f"{root}/quarantine").collect()
+    assert row.status == "incomplete" and row.rejected == len(held) > 3 and row.error is None
+    assert {r.id for r in spark.read.parquet(f"{root}/raw_cycle").collect()} >= {"1", "3"}
+    text = "\n".join(r.content for r in held)
+    assert '"updated_at":"soon"' in text and '"id": 5' in text and '"id": 6' in text
+    assert sum(r.reason == "no id" for r in held) == 1
+    state_row = spark.read.parquet(f"{root}/pipeline_state").first()
+    assert (state_row.last_run_status, state_row.last_processed_at) == ("incomplete", ts("2024-02-20 08:00"))
+
+
+def test_a_batch_without_times_keeps_the_watermark(spark, tmp_path, ts):
+    root, folder = str(tmp_path / "root"), tmp_path / "in"
+    write_pages(folder, {"records": [cycle(1)]})
+    extract.run_extract(spark, {"cycle": str(folder)}, root, NOW)
+    (folder / "bad.json").write_text(json.dumps({"records": [cycle(2, updated=None)]}))
+    row = extract.run_extract(spark, {"cycle": str(folder)}, root, NOW).first()
+    assert (row.records, row.rejected, row.newest) == (0, 1, None)
+    kept = spark.read.parquet(f"{root}/pipeline_state").collect()
+    assert [r.last_processed_at for r in kept] == [ts("2024-02-20 08:00")]
+
+
+def test_long_errors_are_logged_whole(spark, tmp_path):
+    missing = str(tmp_path / ("long" * 50) / ("name" * 50) / ("x" * 200))
+    row = extract.run_extract(spark, {"cycle": missing}, str(tmp_path / "root"), NOW).first()
+    assert row.status == "failed" and "x" * 200 in row.error
+
+
+def test_range_includes_its_ends(spark, ts):
+    rows = spark.createDataFrame([(ts("2024-02-20"),), (NOW,), (ts("2024-02-19"),), (None,)], "t timestamp_ntz")
+    assert rows.filter(extract.in_range("t", ts("2024-02-20"), NOW)).count() == 2
 
 
 def test_empty_table_has_its_schema(spark, tmp_path):
