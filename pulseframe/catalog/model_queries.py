@@ -9,7 +9,7 @@ from pulseframe.catalog import inputs
 from pulseframe.catalog.registry import Registry
 from pulseframe.catalog.source_queries import page_texts
 from pulseframe.operators import quality
-from pulseframe.plans import checks, dims, pipeline, records, reports, staging
+from pulseframe.plans import checks, dims, facts, pipeline, records, reports, staging
 from pulseframe.session import scratch_path
 from pulseframe.sources.specs import SOURCES
 from pulseframe.streaming import jobs
@@ -17,6 +17,9 @@ from pulseframe.streaming import jobs
 query = Registry()
 
 FRESH_AS_OF = "2024-02-02"
+LATENESS_DAYS = 10
+# Added to the user ids of the late batch.
+OTHER_USERS = 1_000_000
 
 
 def _as_of() -> Column:
@@ -299,12 +302,13 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.parquet(sf_dir)
 
 
-def _line_stream(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """Raw records of a source as a stream."""
-    schema = inputs.read(spark, sf_dir, "lineitem").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-    exprs = [f"{e} as {name}" for name, e in inputs.RAW[source].items()]
-    return reader.parquet(sf_dir).selectExpr(*exprs)
+def _batches(spark: SparkSession, *parts: DataFrame) -> DataFrame:
+    """Stream whose batches are the given frames, in their order: a file each, one after the other."""
+    path = scratch_path(spark, "batches")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path)
 
 
 @query("stream_ingest")
@@ -318,23 +322,26 @@ def _(spark, sf_dir):
 
 @query("stream_dedup_upsert")
 def _(spark, sf_dir):
+    """Versions of a record come in different batches, in no order."""
     root = scratch_path(spark, "upsert")
-    stream = _line_stream(spark, sf_dir, "cycle")
+    rows = inputs.raw(spark, sf_dir, "cycle")
+    third = F.pmod(F.xxhash64("user_id", "updated_at"), F.lit(3))
+    stream = _batches(spark, *[rows.filter(third == k) for k in range(3)])
     jobs.staging_stream(
         stream, SOURCES["cycle"], f"{root}/stg", f"{root}/check"
     ).awaitTermination()
-    return spark.read.parquet(f"{root}/stg")
+    return spark.read.parquet(f"{root}/stg").drop(jobs.MONTH)
 
 
 @query("stream_late_data")
 def _(spark, sf_dir):
-    """First arrivals by key within the watermark."""
+    """First arrivals by key. The second batch has the same times again under other users; what is
+    older than the lateness by then is not taken."""
     root = scratch_path(spark, "late")
+    first = inputs.read(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    second = first.withColumn("user_id", F.col("user_id") + OTHER_USERS)
     stream = jobs.drop_repeats(
-        _event_stream(spark, sf_dir).select("user_id", "event_type", "ts"),
-        ["user_id", "event_type"],
-        "ts",
-        "60 days",
+        _batches(spark, first, second), ["user_id", "event_type"], "ts", f"{LATENESS_DAYS} days"
     )
     jobs.append_stream(
         stream.select("user_id", "event_type"), f"{root}/out", f"{root}/check"
@@ -344,20 +351,18 @@ def _(spark, sf_dir):
 
 @query("stream_daily_workout")
 def _(spark, sf_dir):
+    """Daily totals of all workout records, which come year by year."""
     root = scratch_path(spark, "totals")
-    totals = jobs.daily_totals(
-        _event_stream(spark, sf_dir),
-        "user_id",
-        "ts",
-        [
-            F.count("*").alias("n"),
-            F.sum("value").alias("total"),
-            F.max("value").alias("greatest"),
-            F.sort_array(F.collect_set("event_type")).alias("types"),
-        ],
+    rows = inputs.raw(spark, sf_dir, "workout")
+    year = F.year("created_at")
+    stream = _batches(
+        spark, rows.filter(year <= 2021), rows.filter(year.between(2022, 2023)), rows.filter(year >= 2024)
     )
+    spec = staging.staging_spec(SOURCES["workout"])
+    typed = staging.project(stream, spec.casts, spec.overrides)
+    totals = jobs.daily_totals(typed, "user_id", "created_at", facts.workout_totals())
     jobs.totals_stream(totals, f"{root}/out", f"{root}/check", "user_id").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").drop(jobs.MONTH)
 
 
 # Documented tables

@@ -104,6 +104,13 @@ DATE_SK = "cast(strftime({0}, '%Y%m%d') as integer)"
 AS_OF = f"date '{inputs.AS_OF}'"
 
 
+WORKOUT_TOTALS = (
+    "user_id workout_date:t total_workout_strain workout_count total_workout_minutes "
+    "zone_0_minutes:r zone_1_minutes:r zone_2_minutes:r zone_3_minutes:r zone_4_minutes:r "
+    "zone_5_minutes:r max_workout_strain workout_types:a"
+)
+
+
 def label(value: str, test: str, table, otherwise) -> str:
     """CASE over a table of limits; the value is rounded before it is tested."""
     whens = " ".join(f"when round({value}, 6) {test} {limit} then '{name}'" for limit, name in table)
@@ -244,13 +251,21 @@ def _named() -> dict[str, str]:
         f"sum(zone_{name}_milli) as zone_{i}_minutes"
         for i, name in enumerate(("zero", "one", "two", "three", "four", "five"))
     )
-    named["workout_days"] = (
-        "select user_id, cast(created_at as date) as workout_date, "
+    totals = (
         "cast(sum(strain) as bigint) as total_workout_strain, count(*) as workout_count, "
         "cast(sum(datediff('minute', start_time, end_time)) as bigint) as total_workout_minutes, "
         f"{zones}, max(strain) as max_workout_strain, "
         "coalesce(list_sort(list(distinct sport_name) filter (where sport_name is not null)), []) "
-        "as workout_types from stg_workout group by 1, 2"
+        "as workout_types"
+    )
+    named["workout_days"] = (
+        f"select user_id, cast(created_at as date) as workout_date, {totals} "
+        "from stg_workout group by 1, 2"
+    )
+    # All records, with their repeats.
+    named["workout_record_days"] = (
+        f"select user_id, cast(created_at as date) as day, {totals} "
+        f"from (select {_staged('workout')} from raw_workout) group by 1, 2"
     )
     named["day_cycle"] = latest(
         "(select *, cast(created_at as date) as cycle_date from stg_cycle)",
@@ -675,11 +690,12 @@ def _backfill_suite() -> str:
 def _streams_and_documented() -> dict[str, str]:
     q = {
         "stream_dedup_upsert": f"select {out(_kinds('cycle', True))} from stg_cycle",
-        "stream_late_data": "select distinct user_id, event_type from events",
-        "stream_daily_workout": "select user_id, cast(cast(ts as date) as varchar) as day, "
-        "count(*) as n, round(sum(value), 6) as total, round(max(value), 6) as greatest, "
-        "array_to_string(list_sort(list(distinct event_type)), ',') as types "
-        "from events group by 1, 2",
+        "stream_late_data": "select distinct user_id, event_type from events union all "
+        "select distinct user_id + 1000000, event_type from events "
+        "where ts > (select max(ts) from events) - interval 10 day",
+        "stream_daily_workout": "select "
+        + out(WORKOUT_TOTALS.replace("workout_date:t", "day:t"))
+        + " from workout_record_days",
     }
     raw_cycle = _kinds("cycle", False).replace(" ingested_at:t", "")
     q["stream_ingest"] = f"select {out(raw_cycle)} from raw_cycle"
@@ -1084,12 +1100,7 @@ def _joins() -> dict[str, str]:
         f"select user_sk, cast(date_day as varchar) as date_day, {out(momentum)} "
         f"from ({momentum_of('daily')}) m join dim_date d on d.date_sk = m.date_sk"
     )
-    workouts = (
-        "user_id workout_date:t total_workout_strain workout_count total_workout_minutes "
-        "zone_0_minutes:r zone_1_minutes:r zone_2_minutes:r zone_3_minutes:r zone_4_minutes:r "
-        "zone_5_minutes:r max_workout_strain workout_types:a"
-    )
-    q["agg_workout_daily"] = f"select {out(workouts)} from workout_days"
+    q["agg_workout_daily"] = f"select {out(WORKOUT_TOTALS)} from workout_days"
     q["agg_distinct_array"] = (
         "select user_id, cast(cast(created_at as date) as varchar) as day, "
         "coalesce(string_agg(distinct sport_name, ',' order by sport_name), '') as sports "

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions.compat import hash64_key, minutes_between, surrogate_key
 from pulseframe.operators import series
 from pulseframe.operators.dedup import latest_per_key
-from pulseframe.operators.incremental import after_target, since_horizon
+from pulseframe.operators.incremental import after_watermark, since_horizon
 
 # Gates and frames of the percentile table.
 BASELINE_ROWS = 29
@@ -133,17 +133,8 @@ def fact_daily_recovery(
     dim_date: DataFrame,
     percentiles: DataFrame,
     stg_sleep: DataFrame,
-    target: DataFrame | None = None,
 ) -> DataFrame:
-    """Recovery fact, one row per user and day.
-
-    ``hrv_rmssd`` is in seconds. With a ``target`` only recoveries created after
-    its newest row are taken.
-    """
-    if target is not None:
-        stg_recovery = after_target(
-            stg_recovery, target.withColumnRenamed("created_timestamp", "created_at"), "created_at"
-        )
+    """Recovery fact, one row per user and day. ``hrv_rmssd`` is in seconds."""
     rows = stg_recovery.filter(F.col("recovery_score").isNotNull()).select(
         "cycle_id",
         "user_id",
@@ -200,22 +191,24 @@ def fact_daily_recovery(
     )
 
 
+def workout_totals() -> list[Column]:
+    """Totals of a group of workouts."""
+    return [
+        F.sum("strain").alias("total_workout_strain"),
+        F.count("*").alias("workout_count"),
+        F.sum(minutes_between("start_time", "end_time")).alias("total_workout_minutes"),
+        *[F.sum(f"zone_{name}_milli").alias(f"zone_{i}_minutes") for i, name in enumerate(ZONES)],
+        F.max("strain").alias("max_workout_strain"),
+        F.sort_array(F.collect_set("sport_name")).alias("workout_types"),
+    ]
+
+
 def daily_workouts(stg_workout: DataFrame) -> DataFrame:
     """Workout totals per user and day; all parts combine in the map tasks."""
-    zones = [
-        F.sum(f"zone_{name}_milli").alias(f"zone_{i}_minutes") for i, name in enumerate(ZONES)
-    ]
     return (
         stg_workout.filter(F.col("created_at").isNotNull())
         .groupBy("user_id", F.to_date("created_at").alias("workout_date"))
-        .agg(
-            F.sum("strain").alias("total_workout_strain"),
-            F.count("*").alias("workout_count"),
-            F.sum(minutes_between("start_time", "end_time")).alias("total_workout_minutes"),
-            *zones,
-            F.max("strain").alias("max_workout_strain"),
-            F.sort_array(F.collect_set("sport_name")).alias("workout_types"),
-        )
+        .agg(*workout_totals())
     )
 
 
@@ -226,29 +219,31 @@ def fact_daily_strain(
     dim_date: DataFrame,
     run_at: Column | None = None,
     optimal_strain: DataFrame | None = None,
-    target: DataFrame | None = None,
+    since: dt.datetime | None = None,
     late_workouts: bool = False,
 ) -> DataFrame:
     """Strain fact, one row per user and day.
 
     ``calories_burned`` holds kilojoules. ``optimal_strain`` (``user_id``, ``day``,
     ``optimal_strain_min``, ``optimal_strain_max``, one row per user and day)
-    fills the two limits, which are null without it. With a ``target`` only
-    cycles updated after its newest source update are taken, and with
-    ``late_workouts`` also the days of workouts updated after it.
+    fills the two limits, which are null without it. ``since`` takes only cycles
+    updated after it, and with ``late_workouts`` also the days of workouts
+    updated after it; workouts of other days are not added up.
     """
     cycles = stg_cycle.withColumn("cycle_date", F.to_date("created_at"))
-    if target is not None:
-        seen = target.select(F.col("source_updated_at").alias("updated_at"))
-        fresh = after_target(cycles, seen, "updated_at", STRAIN_FLOOR)
+    if since is not None:
+        fresh = after_watermark(cycles, "updated_at", since)
+        touched = fresh.select("user_id", "cycle_date")
         if late_workouts:
-            touched = fresh.select("user_id", "cycle_date").unionByName(
-                after_target(stg_workout, seen, "updated_at", STRAIN_FLOOR).select(
-                    "user_id", F.to_date("created_at").alias("cycle_date")
-                )
+            late = after_watermark(stg_workout, "updated_at", since)
+            touched = touched.unionByName(
+                late.select("user_id", F.to_date("created_at").alias("cycle_date"))
             )
             fresh = cycles.join(touched.distinct(), ["user_id", "cycle_date"], "left_semi")
         cycles = fresh
+        stg_workout = stg_workout.withColumn("cycle_date", F.to_date("created_at")).join(
+            touched.distinct(), ["user_id", "cycle_date"], "left_semi"
+        )
     daily = latest_per_key(
         cycles.drop("start_time", "end_time", "timezone_offset", "score_state", "ingested_at"),
         ["user_id", "cycle_date"],

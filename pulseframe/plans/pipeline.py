@@ -1,43 +1,81 @@
-"""Jobs that write the tables in order: staging, dimensions, facts, metrics.
+"""Jobs that write the tables in order: staging, dimensions, facts, metrics, checks, reports.
 
 Each table is written before the next one reads it, so a lost executor repeats
-tasks of one table only.
+tasks of one table only. Raw tables lie by day of ingestion, staging tables by
+month of creation, facts and metrics by month of the day. An incremental run
+looks up its watermark as one row, and puts it on the scans as a literal: of raw
+tables it reads the days of ingestion since then, of the others the months that
+its new rows belong to.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.plans import checks, dims, facts, metrics, records, staging
-from pulseframe.sources import tables
+from pulseframe.operators import quality
+from pulseframe.operators.incremental import after_watermark
+from pulseframe.plans import checks, dims, facts, metrics, records, reports, staging
+from pulseframe.sources import extract, tables
 from pulseframe.sources.specs import SOURCES
 
 STAGED = ("cycle", "recovery", "sleep", "workout")
 MONTH = "month"
+CHECKS_TABLE = "check_results"
+RECOVERY, STRAIN, DAYS = "fact_daily_recovery", "fact_daily_strain", "dim_date"
+# Metric table that each report reads.
+REPORTS = {
+    "momentum": "recovery_momentum",
+    "efficiency": "strain_recovery_efficiency",
+    "readiness": "training_readiness_gap",
+    "volatility": "recovery_volatility",
+    "balance": "autonomic_balance",
+    "seasonal": "seasonal_adaptation",
+}
 
 
-def _raw(spark: SparkSession, root: str, source: str) -> DataFrame:
+def _raw(
+    spark: SparkSession, root: str, source: str, since: dt.datetime | None = None
+) -> DataFrame:
+    """Raw rows, of the days of ingestion from ``since`` on."""
     spec = SOURCES[source]
-    return tables.read_table(spark, f"{root}/{spec.table}", spec.raw_schema)
+    raw = tables.read_table(spark, f"{root}/{spec.table}", spec.raw_schema)
+    if since is not None and extract.INGEST_DAY in raw.columns:
+        raw = raw.filter(F.col(extract.INGEST_DAY) >= int(f"{since:%Y%m%d}"))
+    return raw.drop(extract.INGEST_DAY)
+
 
+def month_number(day: dt.date) -> int:
+    return day.year * 100 + day.month
 
-def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}").drop(MONTH)
+
+def _read(
+    spark: SparkSession, root: str, name: str, first_month: int | None = None
+) -> DataFrame:
+    """A table, from a month on; the month is a partition, so earlier files are not opened."""
+    table = spark.read.parquet(f"{root}/{name}")
+    if first_month is not None:
+        table = table.filter(F.col(MONTH) >= first_month)
+    return table.drop(MONTH)
 
 
-def _newest_month(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Last partition of a table; it holds the newest creation time.
+def _newest(spark: SparkSession, root: str, name: str, *columns: str) -> list[dt.datetime | None]:
+    """Greatest values of columns in the last month of a table.
 
-    The month is read from the partition values, so finding a watermark touches
-    one partition however large the table is.
+    The last month is the greatest name of a partition folder, so no other file is opened.
     """
-    table = spark.read.parquet(f"{root}/{name}")
-    last = table.agg(F.max(MONTH)).first()[0]
-    return table.filter(F.col(MONTH).eqNullSafe(F.lit(last))).drop(MONTH)
+    path = f"{root}/{name}"
+    tables.recover(spark, path)
+    last = tables.last_partition(spark, path, MONTH)
+    table = spark.read.parquet(path)
+    if last is not None:
+        table = table.filter(F.col(MONTH) == int(last))
+    return list(table.agg(*[F.max(c) for c in columns]).first())
 
 
 def _created_month(df: DataFrame) -> DataFrame:
@@ -51,13 +89,20 @@ def _day_month(df: DataFrame) -> DataFrame:
 def build_staging(
     spark: SparkSession, root: str, source: str, full_refresh: bool = False
 ) -> None:
-    """Write or upsert one staging table, laid out by month of creation."""
-    path, raw = f"{root}/stg_{source}", _raw(spark, root, source)
+    """Write or upsert one staging table, laid out by month of creation.
+
+    A row that is not staged yet was ingested after the newest staged one, or on the same day.
+    """
+    path = f"{root}/stg_{source}"
     if full_refresh or not tables.table_exists(spark, path):
+        raw = _raw(spark, root, source)
         tables.replace(_created_month(staging.stage(raw, source)), path, [MONTH])
         return
-    batch = staging.stage(raw, source, target=_newest_month(spark, root, f"stg_{source}"))
-    tables.upsert(_created_month(batch), path, [SOURCES[source].key], MONTH)
+    created, ingested = _newest(spark, root, f"stg_{source}", "created_at", "ingested_at")
+    raw = _raw(spark, root, source, since=ingested)
+    if created is not None:
+        raw = after_watermark(raw, "created_at", created)
+    tables.upsert(_created_month(staging.stage(raw, source)), path, [SOURCES[source].key], MONTH)
 
 
 def build_dims(spark: SparkSession, root: str) -> None:
@@ -85,10 +130,22 @@ def _write_fact(df: DataFrame, path: str, keys: list[str], full_refresh: bool) -
 def build_percentiles(
     spark: SparkSession, root: str, as_of: dt.date, full_refresh: bool = False
 ) -> None:
+    """Percentiles of the last days, ranked over the full history.
+
+    An incremental run ranks users with recoveries since the last recovery fact only; others keep
+    their values, which no new row can have changed.
+    """
     path = f"{root}/int_recovery_percentiles"
     full_refresh = full_refresh or not tables.table_exists(spark, path)
+    recovery = _read(spark, root, "stg_recovery")
+    since = None if full_refresh else _recovery_watermark(spark, root)
+    if since is not None:
+        fresh = after_watermark(
+            _read(spark, root, "stg_recovery", month_number(since)), "created_at", since
+        )
+        recovery = recovery.join(fresh.select("user_id").distinct(), "user_id", "left_semi")
     df = facts.recovery_percentiles(
-        _read(spark, root, "stg_recovery"),
+        recovery,
         _read(spark, root, "dim_user"),
         _read(spark, root, "dim_date"),
         as_of=None if full_refresh else F.lit(as_of),
@@ -96,40 +153,75 @@ def build_percentiles(
     _write_fact(df, path, ["user_sk", "date_sk"], full_refresh)
 
 
+def _recovery_watermark(spark: SparkSession, root: str) -> dt.datetime | None:
+    if not tables.table_exists(spark, f"{root}/{RECOVERY}"):
+        return None
+    return _newest(spark, root, RECOVERY, "created_timestamp")[0]
+
+
 def build_fact_recovery(spark: SparkSession, root: str, full_refresh: bool = False) -> None:
-    path = f"{root}/fact_daily_recovery"
-    full_refresh = full_refresh or not tables.table_exists(spark, path)
-    inputs = [
-        _read(spark, root, n)
-        for n in (
-            "stg_recovery",
-            "dim_user",
-            "dim_date",
-            "int_recovery_percentiles",
-            "stg_sleep",
-        )
-    ]
-    target = None if full_refresh else _newest_month(spark, root, "fact_daily_recovery")
-    fact = facts.fact_daily_recovery(*inputs, target=target)
-    _write_fact(fact, path, ["user_sk", "date_sk"], full_refresh)
+    """Recovery fact; an incremental run reads its inputs from the month of the newest row on.
+
+    Sleeps and percentiles belong to the day of a recovery, so earlier months have none that fit.
+    """
+    path = f"{root}/{RECOVERY}"
+    since = None if full_refresh else _recovery_watermark(spark, root)
+    month = None if since is None else month_number(since)
+    recovery = _read(spark, root, "stg_recovery", month)
+    if since is not None:
+        recovery = after_watermark(recovery, "created_at", since)
+    fact = facts.fact_daily_recovery(
+        recovery,
+        _read(spark, root, "dim_user"),
+        _read(spark, root, "dim_date"),
+        _read(spark, root, "int_recovery_percentiles", month),
+        _read(spark, root, "stg_sleep", month),
+    )
+    _write_fact(fact, path, ["user_sk", "date_sk"], since is None)
+
+
+def _months(df: DataFrame) -> list[int]:
+    """Months of creation of some rows: as many as there are partitions."""
+    found = df.select(tables.month_of("created_at").alias(MONTH)).distinct().collect()
+    return [r[MONTH] for r in found if r[MONTH] is not None]
 
 
 def build_fact_strain(
-    spark: SparkSession, root: str, run_at: dt.datetime, full_refresh: bool = False
+    spark: SparkSession,
+    root: str,
+    run_at: dt.datetime,
+    full_refresh: bool = False,
+    late_workouts: bool = False,
 ) -> None:
-    path = f"{root}/fact_daily_strain"
+    """Strain fact; an incremental run reads cycles and workouts of the months with new ones.
+
+    With ``late_workouts`` a workout that arrives after its cycle makes its day count again.
+    """
+    path = f"{root}/{STRAIN}"
     full_refresh = full_refresh or not tables.table_exists(spark, path)
-    inputs = [
-        _read(spark, root, n) for n in ("stg_cycle", "stg_workout", "dim_user", "dim_date")
-    ]
-    target = None if full_refresh else _read(spark, root, "fact_daily_strain")
+    cycles = spark.read.parquet(f"{root}/stg_cycle")
+    workouts = spark.read.parquet(f"{root}/stg_workout")
+    since = None
+    if not full_refresh:
+        # One column of the fact: updates come to days of any month.
+        since = _read(spark, root, STRAIN).agg(F.max("source_updated_at")).first()[0]
+        since = since or facts.STRAIN_FLOOR
+        touched = _months(after_watermark(cycles, "updated_at", since))
+        if late_workouts:
+            touched += _months(after_watermark(workouts, "updated_at", since))
+        cycles, workouts = (t.filter(F.col(MONTH).isin(touched)) for t in (cycles, workouts))
     fact = facts.fact_daily_strain(
-        *inputs, run_at=F.lit(run_at.isoformat(sep=" ")), target=target
+        cycles.drop(MONTH),
+        workouts.drop(MONTH),
+        _read(spark, root, "dim_user"),
+        _read(spark, root, "dim_date"),
+        run_at=F.lit(run_at.isoformat(sep=" ")),
+        since=since,
+        late_workouts=late_workouts,
     )
     _write_fact(fact, path, ["user_sk", "date_sk"], full_refresh)
 
 
-RECOVERY, STRAIN, DAYS = "fact_daily_recovery", "fact_daily_strain", "dim_date"
 # Metric tables: the function and the tables it reads.
 METRICS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "recovery_momentum": (metrics.recovery_momentum, (RECOVERY,)),
@@ -143,24 +235,102 @@ METRICS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 
 
 def build_metrics(spark: SparkSession, root: str, run_at: dt.datetime) -> None:
-    """Rebuild the metric tables."""
+    """Rebuild the metric tables, laid out by month.
+
+    Each fact is shuffled by user once, and all metrics read that layout: a row needs the frames
+    of its user's whole history, so the tables are rebuilt in full.
+    """
     at = F.lit(run_at.isoformat(sep=" "))
-    for name, (build, needs) in METRICS.items():
-        df = build(*[_read(spark, root, n) for n in needs])
-        tables.replace(metrics.with_calculated_at(df, at), f"{root}/{name}")
+    inputs = {
+        name: _read(spark, root, name).repartition("user_sk").persist(StorageLevel.MEMORY_AND_DISK)
+        for name in (RECOVERY, STRAIN)
+    }
+    inputs[DAYS] = _read(spark, root, DAYS)
+    try:
+        for name, (build, needs) in METRICS.items():
+            df = metrics.with_calculated_at(build(*[inputs[n] for n in needs]), at)
+            tables.replace(_day_month(df), f"{root}/{name}", [MONTH])
+    finally:
+        for name in (RECOVERY, STRAIN):
+            inputs[name].unpersist()
+
+
+def run_checks(spark: SparkSession, root: str, run_at: dt.datetime) -> DataFrame:
+    """All checks of the written tables: staging, facts, batch volumes and freshness.
+
+    Appends one row per check to the table of results and returns these rows.
+    """
+    as_of = F.lit(run_at.date())
+
+    def suite(name: str, results: DataFrame) -> DataFrame:
+        return results.select(F.lit(name).alias("suite"), "test", "failures", "should_warn", "should_error")
+
+    parts = [
+        suite(f"stg_{s}", checks.staging_suite(_read(spark, root, f"stg_{s}"), SOURCES[s].key))
+        for s in STAGED
+    ]
+    users, days = _read(spark, root, "dim_user"), _read(spark, root, DAYS)
+    parts.append(suite(STRAIN, checks.strain_suite(_read(spark, root, STRAIN), users, days, as_of)))
+    parts.append(suite(RECOVERY, checks.recovery_suite(_read(spark, root, RECOVERY))))
+    if tables.table_exists(spark, f"{root}/{extract.RUN_LOG_TABLE}"):
+        log = spark.read.schema(extract.RUN_LOG_SCHEMA).parquet(f"{root}/{extract.RUN_LOG_TABLE}")
+        last = log.filter(F.col("run_at") == log.agg(F.max("run_at")).scalar())
+        status = quality.volume_status(F.col("source"), F.col("records"))
+        volumes = last.select(
+            F.concat(F.lit("volume_"), "source").alias("test"),
+            (status != "ok").cast("long").alias("failures"),
+            (status == "warn").alias("should_warn"),
+            F.lit(False).alias("should_error"),
+        )
+        parts.append(suite("volume", volumes))
+    for s in STAGED:
+        fresh = quality.freshness(
+            _read(spark, root, f"stg_{s}"),
+            "ingested_at",
+            F.lit(run_at.isoformat(sep=" ")),
+            checks.FRESHNESS_DAYS["warn"],
+            checks.FRESHNESS_DAYS["error"],
+        )
+        fresh = fresh.select(
+            F.lit(f"freshness_{s}").alias("test"),
+            (F.col("status") != "pass").cast("long").alias("failures"),
+            (F.col("status") != "pass").alias("should_warn"),
+            (F.col("status") == "error").alias("should_error"),
+        )
+        parts.append(suite("freshness", fresh))
+    found = reduce(DataFrame.unionByName, parts)
+    at = F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
+    path = f"{root}/{CHECKS_TABLE}"
+    tables.append(found.withColumn("run_at", at).coalesce(1), path)
+    written = spark.read.parquet(path)
+    return written.filter(F.col("run_at") == at)
+
+
+def build_reports(
+    spark: SparkSession, root: str, as_of: dt.date, days: int | None = None
+) -> Mapping[str, DataFrame]:
+    """Every report over the written metric tables; a range of days opens the files of its months."""
+    first = None if days is None else month_number(as_of - dt.timedelta(days=days))
+    found = {name: _read(spark, root, table, first) for name, table in REPORTS.items()}
+    return reports.all_reports(found, _read(spark, root, DAYS), F.lit(as_of), days)
 
 
 def build_all(
-    spark: SparkSession, root: str, run_at: dt.datetime, full_refresh: bool = False
-) -> None:
-    """Everything after extraction."""
+    spark: SparkSession,
+    root: str,
+    run_at: dt.datetime,
+    full_refresh: bool = False,
+    late_workouts: bool = False,
+) -> DataFrame:
+    """Everything after extraction; returns the results of the checks."""
     for source in STAGED:
         build_staging(spark, root, source, full_refresh)
     build_dims(spark, root)
     build_percentiles(spark, root, run_at.date(), full_refresh)
     build_fact_recovery(spark, root, full_refresh)
-    build_fact_strain(spark, root, run_at, full_refresh)
+    build_fact_strain(spark, root, run_at, full_refresh, late_workouts)
     build_metrics(spark, root, run_at)
+    return run_checks(spark, root, run_at)
 
 
 def backfill_recovery(spark: SparkSession, root: str, as_of: dt.date) -> DataFrame:

@@ -18,7 +18,8 @@ CORRUPT = "_corrupt_page"
 REJECTED_SCHEMA = "reason string, content string"
 
 
-def _page_schema(spec: SourceSpec) -> T.StructType:
+def page_schema(spec: SourceSpec) -> T.StructType:
+    """Schema of a page, with the text of one that cannot be read."""
     return T.StructType([*spec.page_schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
@@ -33,14 +34,14 @@ def read_pages(
     What cannot be read, a page cut off or printed over several lines, is kept as text in the
     column CORRUPT; see :func:`rejected_pages`.
     """
-    reader = spark.read.schema(_page_schema(spec)).option("multiLine", not one_page_per_line)
+    reader = spark.read.schema(page_schema(spec)).option("multiLine", not one_page_per_line)
     return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def parse_pages(texts: DataFrame, column: str, spec: SourceSpec) -> DataFrame:
     """Parse a text column that holds one page (or one bare record) per row."""
     options = {"columnNameOfCorruptRecord": CORRUPT}
-    return texts.select(F.from_json(column, _page_schema(spec), options).alias("p")).select("p.*")
+    return texts.select(F.from_json(column, page_schema(spec), options).alias("p")).select("p.*")
 
 
 def is_rejected_page() -> Column:

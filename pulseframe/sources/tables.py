@@ -62,6 +62,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(where))
 
 
+def last_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """Greatest value among the partition folders of a table, as text; None without any."""
+    fs, where = _files(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(where)]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return max((v for v in values if not v.startswith("__")), default=None)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or a typed empty frame if it was never written."""
     if not table_exists(spark, path):

@@ -1,7 +1,11 @@
 """Streaming ingestion, upsert and daily totals.
 
 All jobs run with ``availableNow``: they take what has landed and stop, and the
-checkpoint (in a folder all executors share) remembers how far they came.
+checkpoint (in a folder all executors share) remembers how far they came. Tables
+that are upserted lie by month, so a batch rewrites the months it touches.
+
+A stateful job forgets what is older than its ``lateness``; rows that come later
+than that are not taken. :func:`late_rows` tells how many there were.
 """
 
 from __future__ import annotations
@@ -19,17 +23,42 @@ from pulseframe.plans import staging
 from pulseframe.sources import landed, tables
 from pulseframe.sources.specs import SourceSpec
 
+MONTH = "month"
+
 
 def landed_stream(
     spark: SparkSession, path: str, spec: SourceSpec, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Records of page files as they land, flattened and stamped per batch."""
+    """Records of page files as they land, flattened and stamped per batch.
+
+    What cannot be loaded is in :func:`rejected_stream`.
+    """
     reader = spark.readStream.schema(spec.page_schema)
     pages = reader.option("maxFilesPerTrigger", files_per_batch).json(path)
-    records = landed.explode_records(pages, spec)
+    records = landed.explode_records(pages, spec).filter(landed.why_rejected(spec).isNull())
     return landed.flatten_records(records, spec, F.current_timestamp())
 
 
+def rejected_stream(
+    spark: SparkSession, path: str, spec: SourceSpec, files_per_batch: int = 1000
+) -> DataFrame:
+    """Pages and records that :func:`landed_stream` cannot load, for a quarantine table."""
+    reader = spark.readStream.schema(landed.page_schema(spec))
+    reader = reader.option("columnNameOfCorruptRecord", landed.CORRUPT)
+    pages = reader.option("maxFilesPerTrigger", files_per_batch).json(path)
+    records = landed.explode_records(pages, spec)
+    return landed.rejected_pages(pages).unionByName(landed.rejected_records(records, spec))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the lateness of the job's stateful steps and were not taken."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append to a Parquet table; the file sink writes every batch exactly once."""
     writer = stream.writeStream.format("parquet").outputMode("append")
@@ -90,7 +119,8 @@ def staging_stream(
     """
     projection = staging.staging_spec(spec)
     typed = staging.project(raw, projection.casts, projection.overrides)
-    return upsert_stream(typed, path, checkpoint, [spec.key], staging.NEWEST_UPDATE)
+    by_month = typed.withColumn(MONTH, tables.month_of("created_at"))
+    return upsert_stream(by_month, path, checkpoint, [spec.key], staging.NEWEST_UPDATE, MONTH)
 
 
 def daily_totals(
@@ -113,10 +143,11 @@ def daily_totals(
 def totals_stream(
     totals: DataFrame, path: str, checkpoint: str, user: str
 ) -> StreamingQuery:
-    """Keep the latest total of every user and day in a Parquet table."""
+    """Keep the latest total of every user and day in a Parquet table, by month of the day."""
 
     def merge_batch(batch: DataFrame, _: int) -> None:
-        tables.upsert(batch, path, [user, "day"])
+        by_month = batch.withColumn(MONTH, tables.month_of("day"))
+        tables.upsert(by_month, path, [user, "day"], MONTH, partition_is_part_of_key=True)
 
     return (
         totals.writeStream.outputMode("update")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -69,9 +70,18 @@ def land(folder, days):
     return {source: str(folder / source) for source in SOURCES}
 
 
-def content(spark, root, name):
-    df = spark.read.parquet(f"{root}/{name}")
-    volatile = {"ingested_at", "created_timestamp", "calculated_at"}
+RANKED = {
+    "recovery_score_percentile",
+    "hrv_percentile",
+    "rhr_percentile",
+    "autonomic_balance_score",
+    "balance_category",
+}
+
+
+def content(spark, root, name, where="true", without_ranks=False):
+    df = spark.read.parquet(f"{root}/{name}").filter(where)
+    volatile = {"ingested_at", "created_timestamp", "calculated_at"} | (RANKED if without_ranks else set())
     if name == "fact_daily_recovery":
         volatile.discard("created_timestamp")
     return sorted(map(str, df.select(*[c for c in sorted(df.columns) if c not in volatile]).collect()))
@@ -80,16 +90,56 @@ def content(spark, root, name):
 def run(spark, folder, root, days, now, full_refresh=False):
     paths = land(folder, days)
     extract.run_extract(spark, paths, root, now)
-    pipeline.build_all(spark, root, now, full_refresh)
+    return pipeline.build_all(spark, root, now, full_refresh).collect()
+
+
+def scans(df):
+    """Partition filters of every scan of the plan."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
+
+
+def check_plans(spark, root):
+    """Incremental reads put a literal on the partition column."""
+    since = dt.datetime(2024, 5, 1)
+    assert "ingest_day" in scans(pipeline._raw(spark, root, "cycle", since))[0]
+    for name in ("stg_sleep", "stg_cycle", "fact_daily_recovery", "int_recovery_percentiles", "recovery_momentum"):
+        (found,) = scans(pipeline._read(spark, root, name, 202405))
+        assert "month" in found and "202405" in found
+    for report in pipeline.build_reports(spark, root, dt.date(2024, 5, 9), 20).values():
+        assert any("202404" in f for f in scans(report))
+
+
+def check_reports(spark, root, as_of):
+    everything = pipeline.build_reports(spark, root, as_of)
+    some = pipeline.build_reports(spark, root, as_of, 20)
+    assert set(everything) == set(some) == set(pipeline.REPORTS)
+    for name, rows in everything.items():
+        recent = rows.filter(F.col("date_day") >= F.date_sub(F.lit(as_of), 20))
+        assert sorted(map(str, recent.collect())) == sorted(map(str, some[name].collect()))
+    assert some["momentum"].count() > 0
+
+
+N_DAYS = 130
 
 
 def test_incremental_runs_equal_a_full_refresh(spark, tmp_path):
+    """Over more days than the percentiles' horizon.
+
+    Ranks see the full history, so new days change the ranks of old ones. The percentile table is
+    renewed for the last 90 days and keeps older rows as they were written; the recovery fact, and
+    the balance metric that reads its ranks, keep those of the run that added the row. Everything
+    else equals a full refresh.
+    """
     step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
-    now = FIRST + dt.timedelta(days=41)
-    run(spark, tmp_path / "in", step, range(0, 30), FIRST + dt.timedelta(days=30))
-    run(spark, tmp_path / "in", step, range(30, 40), now)
-    run(spark, tmp_path / "in", step, range(30, 40), now)  # the same batch again
-    run(spark, tmp_path / "in", whole, range(0, 40), now, full_refresh=True)
+    now = FIRST + dt.timedelta(days=N_DAYS + 1)
+    run(spark, tmp_path / "in", step, range(0, 120), FIRST + dt.timedelta(days=120))
+    results = run(spark, tmp_path / "in", step, range(120, N_DAYS), now)
+    run(spark, tmp_path / "in", step, range(120, N_DAYS), now)  # the same files again
+    run(spark, tmp_path / "in", whole, range(0, N_DAYS), now, full_refresh=True)
+    assert {r.suite for r in results} >= {"stg_sleep", "fact_daily_strain", "fact_daily_recovery", "volume", "freshness"}
+    failed = {r.test for r in results if r.failures}
+    assert failed <= {"volume_user", "freshness_cycle", "not_null_calories_burned"}
     names = [
         "stg_cycle",
         "stg_recovery",
@@ -100,12 +150,17 @@ def test_incremental_runs_equal_a_full_refresh(spark, tmp_path):
         "fact_daily_strain",
         *pipeline.METRICS,
     ]
+    horizon = (now.date() - dt.timedelta(days=90)).strftime("date_sk >= %Y%m%d")
     for name in names:
-        a, b = content(spark, step, name), content(spark, whole, name)
+        where = horizon if name == "int_recovery_percentiles" else "true"
+        ranks = name in ("fact_daily_recovery", "autonomic_balance")
+        a, b = (content(spark, root, name, where, ranks) for root in (step, whole))
         assert a == b, name
         assert a or name == "strain_sustainability"
     fact = spark.read.parquet(f"{step}/fact_daily_recovery")
-    assert fact.count() == fact.select("user_sk", "date_sk").distinct().count() == 80
+    assert fact.count() == fact.select("user_sk", "date_sk").distinct().count() == 2 * N_DAYS
+    check_plans(spark, step)
+    check_reports(spark, step, now.date())
 
     suite = pipeline.backfill_recovery(spark, step, now.date())
     assert {r.failures for r in suite.collect()} == {0}
@@ -170,6 +225,37 @@ def test_stream_daily_totals_over_several_batches(spark, tmp_path, ts):
     ]
 
 
+def test_late_rows_are_counted(spark, tmp_path, ts):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    found = []
+    for rows in (
+        [("a", ts("2024-01-01"), 1.0), ("b", ts("2024-02-01"), 1.0)],
+        [("c", ts("2024-01-02"), 1.0), ("d", ts("2024-01-31"), 1.0)],
+    ):
+        events(spark, source, rows)
+        stream = spark.readStream.schema("user string, t timestamp_ntz, v double").parquet(source)
+        query = jobs.append_stream(jobs.drop_repeats(stream, ["user"], "t", "5 days"), out, check)
+        query.awaitTermination()
+        found.append(jobs.late_rows(query))
+    assert found == [0, 1]
+    assert sorted(r.user for r in spark.read.parquet(out).collect()) == ["a", "b", "d"]
+
+
+def test_stream_quarantine(spark, tmp_path):
+    paths = land(tmp_path / "in", range(2))
+    (tmp_path / "in" / "cycle" / "cut.json").write_text('{"records": [{"id": "x"')
+    (tmp_path / "in" / "cycle" / "bad.json").write_text('{"records": [{"id": "y", "updated_at": "soon"}]}')
+    spec = SOURCES["cycle"]
+    for name, stream in (
+        ("raw", jobs.landed_stream(spark, paths["cycle"], spec)),
+        ("held", jobs.rejected_stream(spark, paths["cycle"], spec)),
+    ):
+        jobs.append_stream(stream, str(tmp_path / name), str(tmp_path / f"c-{name}")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 4
+    held = {r.reason for r in spark.read.parquet(str(tmp_path / "held")).collect()}
+    assert held == {"unreadable page", "no readable updated_at"}
+
+
 def test_stream_repeats_within_the_watermark(spark, tmp_path, ts):
     source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     for rows in (

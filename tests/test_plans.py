@@ -5,8 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from pulseframe.catalog import inputs
+from pulseframe.catalog import inputs, model_queries, operator_queries, source_queries
 from pulseframe.operators import incremental, quality
 from pulseframe.plans import dims, metrics, staging
 
@@ -108,11 +107,18 @@ def test_date_dimension_is_broadcast_without_a_hint(spark, tables):
     assert "BroadcastHashJoin" in text
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+QUERIES = {
+    name: build
+    for part in (model_queries, operator_queries, source_queries)
+    for name, build in part.query.queries.items()
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_joins(spark, name):
     if name in WRITES:
         pytest.skip("runs its jobs while it is built; covered by the oracle test")
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for operator in FORBIDDEN:
         assert operator not in text, operator
 

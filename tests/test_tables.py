@@ -180,7 +180,7 @@ def test_recovery_fact(spark):
     assert rows[1].sleep_performance_percentage is None
     assert float(rows[1].hrv_rmssd) == 0.045
     assert fact.schema["recovery_score"].dataType.simpleString() == "decimal(5,2)"
-    later = facts.fact_daily_recovery(*args, target=fact.filter("date_sk = 20240101"))
+    later = facts.fact_daily_recovery(stg.filter("created_at >= '2024-01-02'"), *args[1:])
     assert [r.date_sk for r in later.collect()] == [20240102]
 
 
@@ -243,15 +243,16 @@ def test_strain_fact_increment_and_late_workouts(spark):
     cycles = staged(spark, "cycle", [cycle(0, 10.0), cycle(1, 5.0)])
     before = staged(spark, "workout", [workout("a", 0, 4.0, "run", 30)])
     target = facts.fact_daily_strain(cycles, before, *dim)
+    since = target.agg(F.max("source_updated_at")).first()[0]
     late = staged(
         spark,
         "workout",
         [workout("a", 0, 4.0, "run", 30), workout("b", 0, 2.0, "run", 10, updated=at(5))],
     )
     more = staged(spark, "cycle", [cycle(0, 10.0), cycle(1, 5.0), cycle(2, 7.0)])
-    plain = facts.fact_daily_strain(more, late, *dim, target=target)
+    plain = facts.fact_daily_strain(more, late, *dim, since=since)
     assert [r.date_sk for r in plain.collect()] == [20240103]
-    wide = facts.fact_daily_strain(more, late, *dim, target=target, late_workouts=True)
+    wide = facts.fact_daily_strain(more, late, *dim, since=since, late_workouts=True)
     got = {r.date_sk: r.workout_count for r in wide.collect()}
     assert got == {20240101: 2, 20240103: 0}
 
