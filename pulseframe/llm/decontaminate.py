@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.words import Words, blocks, runs
+from pulseframe.llm.words import Words, blocks, map_rows, runs
 from pulseframe.session import scratch_path
 
 WINDOW = 13
@@ -134,7 +134,7 @@ def _pass(docs: DataFrame, rows: list, column: str) -> DataFrame:
             names = block.schema.names
             yield pa.RecordBatch.from_arrays([new.get(n, block.column(n)) for n in names], names=names)
 
-    return docs.mapInArrow(scan, docs.schema)
+    return map_rows(docs, scan, docs.schema)
 
 
 def contaminated_spans(
@@ -206,7 +206,7 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **o
             columns = [fixed if n == text else block.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return found.mapInArrow(cut, found.drop("n_words", "spans", "items").schema)
+    return map_rows(found, cut, found.drop("n_words", "spans", "items").schema)
 
 
 def items_digest(items: str = "items"):

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.words import blocks
+from pulseframe.llm.words import blocks, map_rows
 
 # Elements and names of HTML.
 RAW = frozenset("script style noscript template textarea title iframe object svg math canvas select option".split())
@@ -47,8 +47,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop|style|aria-hidden|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
-# Weights of words and tags where no page is labelled: a tag is worth a few words.
-DEFAULT: Mapping[str, float] = {"word": 1.0, "link word": -0.5, "outside word": -1.0, "dropped": -4.0, "tag": -1.0}
+# Weights of words and tags where no page is labelled.
+DEFAULT: Mapping[str, float] = {"word": 1.0, "link word": -0.5, "outside word": -1.0, "dropped": -4.0, "tag": -0.1}
 # Labelled pages: weights are kept within these, so that words stay positive and tags negative.
 LEAST, MOST = 0.05, 6.0
 
@@ -270,4 +270,5 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
             columns = [new.get(n, block.column(n)) for n in (*names, "text", "n_chars") if n not in new]
             yield pa.RecordBatch.from_arrays([*columns, new["text"], new["n_chars"]], names=[*names, "text", "n_chars"])
 
-    return out.mapInArrow(read, out.select(*names, "text", "n_chars").schema)
+    columns = [f"`{c}`" for c in (*names, "text", "n_chars")]
+    return map_rows(out, read, out.select(*columns).schema)

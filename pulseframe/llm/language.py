@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.lattice import MARK, VOCABULARY, Lattice, vocabulary
-from pulseframe.llm.words import blocks
+from pulseframe.llm.words import blocks, map_rows
 
 UNDETERMINED = "und"
 # Different words that a task keeps before it adds them up or forgets them.
@@ -152,4 +152,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             columns = [new.get(n, block.column(n)) for n in block.schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=block.schema.names)
 
-    return out.mapInArrow(judge, out.schema)
+    return map_rows(out, judge, out.schema)

@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.words import Words, blocks, mix, powers
+from pulseframe.llm.words import Words, blocks, map_rows, mix, powers
 from pulseframe.session import scratch_path
 
 # A run: the fewest sentences from a place on, two at least, that have so many words together.
@@ -180,4 +180,4 @@ def substring_dedup(
             kept = [n for n in block.schema.names if n != "__cuts"]
             yield pa.RecordBatch.from_arrays([more.get(n, block.column(n)) for n in kept], names=kept)
 
-    return joined.mapInArrow(cut, joined.drop("__cuts").schema)
+    return map_rows(joined, cut, joined.drop("__cuts").schema)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.lattice import MARK, VOCABULARY, vocabulary
-from pulseframe.llm.words import blocks
+from pulseframe.llm.words import blocks, map_rows
 
 # Different pre-tokens that a task keeps the counts of before it forgets them.
 KEPT_WORDS = 300_000
@@ -96,4 +96,4 @@ def token_counts(docs: DataFrame, text: str = "text", path: str = VOCABULARY) ->
             columns = [more.get(n, block.column(n)) for n in block.schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=block.schema.names)
 
-    return out.mapInArrow(count, out.schema)
+    return map_rows(out, count, out.schema)

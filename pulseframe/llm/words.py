@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # Texts are taken in blocks of about so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 1_000_000
@@ -64,6 +66,27 @@ def blocks(
                 yield batch.slice(a, b - a)
 
 
+# Stands for a dot while rows pass through Python, which cannot take columns with a dot in their name.
+_DOT = "\ue000"
+
+
+def map_rows(
+    df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+) -> DataFrame:
+    """``mapInArrow`` for columns of any name."""
+    names, out = df.columns, schema.fieldNames()
+    if not any("." in n for n in (*names, *out)):
+        return df.mapInArrow(function, schema)
+    plain = [n.replace(".", _DOT) for n in out]
+
+    def renamed(batches):
+        for batch in function(b.rename_columns(names) for b in batches):
+            yield batch.rename_columns(plain)
+
+    fields = [T.StructField(n, f.dataType) for n, f in zip(plain, schema.fields, strict=True)]
+    return df.toDF(*[n.replace(".", _DOT) for n in names]).mapInArrow(renamed, T.StructType(fields)).toDF(*out)
+
+
 class Words:
     """Words of a block of texts: where they lie, and a 64-bit hash of each.
 
