@@ -15,16 +15,19 @@ from pyspark.sql.window import Window
 from pulseframe.session import scratch_path
 
 # Centroids of each half; the index has their square of cells.
-CENTROIDS = 32
+CENTROIDS = 64
 # Rows that the centroids are fitted on, at most about; every row is indexed.
 SAMPLE = 20_000
 FIT_ROUNDS = 12
-# A query visits cells, nearest pair of centroids first, until they hold so many entries.
-VISITED = 12_000
+# A query visits cells, nearest pair of centroids first, until they hold this part of all entries,
+# and so many at least. Vectors that point in all directions alike need such a large part for a
+# recall of 0.9 (measured: 0.4 of the entries give 0.94); clustered ones need far less.
+VISITED, LEAST_VISITED = 0.45, 10_000
 # Entries and queries that meet in one task.
 BLOCK_ENTRIES, BLOCK_QUERIES = 4096, 1024
 
-_ENTRY = "vec_id long, vector array<double>, cell int"
+# The row of a cell is its centroid of the first half.
+_ENTRY = "vec_id long, vector array<double>, row int, cell int"
 
 
 @dataclass
@@ -116,11 +119,12 @@ def build(vectors: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE)
         for batch in batches:
             if batch.num_rows:
                 x = batch.column("vector").flatten().to_numpy().reshape(batch.num_rows, -1)
-                cells = pa.array(shared.value.cells(x).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=["vec_id", "vector", "cell"])
+                cells = shared.value.cells(x).astype(np.int32)
+                more = [pa.array(cells // np.int32(len(shared.value.second))), pa.array(cells)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=["vec_id", "vector", "row", "cell"])
 
     path = scratch_path(spark, "multi-index")
-    (vectors.mapInArrow(place, _ENTRY) if len(drawn) else vectors.withColumn("cell", F.lit(0))).write.parquet(path)
+    (vectors.mapInArrow(place, _ENTRY) if len(drawn) else vectors.withColumns({"row": F.lit(0), "cell": F.lit(0)})).write.parquet(path)
     entries = spark.read.schema(_ENTRY).parquet(path)
     sizes = np.zeros(max(1, len(index.first) * len(index.second)), np.int64)
     for r in entries.groupBy("cell").count().collect():
@@ -129,62 +133,81 @@ def build(vectors: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE)
     return entries, index
 
 
-def search(entries: DataFrame, index: Index, queries: DataFrame, k: int = 10, visited: int = VISITED) -> DataFrame:
+def search(
+    entries: DataFrame,
+    index: Index,
+    queries: DataFrame,
+    k: int = 10,
+    visited: float = VISITED,
+    least_visited: int = LEAST_VISITED,
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest entries found for each query.
 
     ``queries`` has ``vec_id`` and ``vector``; an entry of the query's own id is left out. The score
     is the Euclidean distance in double precision; ties go to the smaller id. Of rows repeated with
     one id the nearest counts; a query repeated with one id and vector counts once.
 
-    Visited cells are reranked in blocks: a cell with many entries is dealt out over several tasks,
-    and so are its queries. Only the ``k`` best of each block and query are passed on.
+    Visited cells are reranked row by row of the grid of cells: a row with many entries is dealt out
+    over several tasks, and so are its queries. Only the ``k`` best of each block and query are
+    passed on.
     """
     spark = entries.sparkSession
+    enough = max(least_visited, int(visited * index.sizes.sum()))
+    columns = max(1, len(index.second))
     shared = spark.sparkContext.broadcast(index)
     asked = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query")).distinct()
 
     def probe(batches):
         for batch in batches:
-            ids, cells, at = [], [], []
+            at, rows, cells = [], [], []
             for i, v in enumerate(batch.column("query").to_pylist()):
-                found = shared.value.visit(np.array(v), visited)
-                cells += found
-                at += [i] * len(found)
-            rows = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cells, pa.int32())], names=["query_id", "query", "cell"])
+                by_row: dict[int, list[int]] = {}
+                for cell in shared.value.visit(np.array(v), enough):
+                    by_row.setdefault(cell // columns, []).append(cell)
+                at += [i] * len(by_row)
+                rows += by_row
+                cells += by_row.values()
+            asked = batch.take(pa.array(at, pa.int64()))
+            more = [pa.array(rows, pa.int32()), pa.array(cells, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*asked.columns, *more], names=["query_id", "query", "row", "cells"])
 
     path = scratch_path(spark, "probes")
-    asked.mapInArrow(probe, "query_id long, query array<double>, cell int").write.parquet(path)
+    asked.mapInArrow(probe, "query_id long, query array<double>, row int, cells array<int>").write.parquet(path)
     probes = spark.read.parquet(path)
-    # Blocks of each side of a cell; both tables have at most one row per cell.
-    n_entries = entries.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ENTRIES).cast("int").alias("parts"))
-    n_queries = probes.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("rounds"))
-    grid = n_entries.join(n_queries, "cell")
+    # Blocks of each side of a row; both tables have at most one line per centroid.
+    n_entries = entries.groupBy("row").agg(F.ceil(F.count("*") / BLOCK_ENTRIES).cast("int").alias("parts"))
+    n_queries = probes.groupBy("row").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("rounds"))
+    grid = n_entries.join(n_queries, "row")
     part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
     turn = F.pmod(F.xxhash64("query_id"), F.col("rounds")).cast("int")
-    left = entries.join(F.broadcast(grid), "cell").select(
-        "cell", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("turn"), "vec_id", "vector"
-    )
-    right = probes.join(F.broadcast(grid), "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), turn.alias("turn"), "query_id", "query"
-    )
+    left = entries.join(F.broadcast(grid), "row").select(
+        "row", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("turn"),
+        "cell", "vec_id", "vector",
+    )
+    right = probes.join(F.broadcast(grid), "row").select(
+        "row", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), turn.alias("turn"),
+        "query_id", "query", "cells",
+    )
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             ids, x = left["vec_id"].to_numpy(), np.stack(left["vector"].to_numpy())
             order = np.argsort(ids, kind="stable")
-            ids, x = ids[order], x[order]
-            for name, query in zip(right["query_id"], right["query"], strict=True):
-                score = np.sqrt(((x - np.asarray(query)) ** 2).sum(axis=1))
-                keep = np.flatnonzero(ids != name)
+            ids, x, column = ids[order], x[order], left["cell"].to_numpy()[order] % columns
+            for name, query, cells in zip(right["query_id"], right["query"], right["cells"], strict=True):
+                visited = np.zeros(columns, bool)
+                visited[np.asarray(cells) % columns] = True
+                keep = np.flatnonzero(visited[column] & (ids != name))
+                score = np.zeros(len(ids))
+                score[keep] = np.sqrt(((x[keep] - np.asarray(query)) ** 2).sum(axis=1))
                 near = keep[np.argsort(score[keep], kind="stable")]
                 _, lead = np.unique(ids[near], return_index=True)
                 near = near[np.sort(lead)[:k]]
                 out += [(name, i, s) for i, s in zip(ids[near].tolist(), score[near].tolist(), strict=True)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    keys = ("cell", "part", "turn")
+    keys = ("row", "part", "turn")
     near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(rerank, "query_id long, vec_id long, score double")
     near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")

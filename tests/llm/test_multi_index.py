@@ -36,7 +36,7 @@ def test_small_visits_still_recall_clustered_vectors(spark):
     centres = rng.normal(size=(40, 8)) * 5
     x = (centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 8)) * 0.3).astype(np.float32)
     vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA)
-    got = mi.neighbours(vectors, vectors.filter("vec_id % 100 = 0"), visited=600).toPandas()
+    got = mi.neighbours(vectors, vectors.filter("vec_id % 100 = 0"), visited=0.15, least_visited=1).toPandas()
     hits = sum(
         len({i for i, _ in exact(np.arange(4000), x.astype(float), q, x[q].astype(float))} & set(got[got["query_id"] == q]["vec_id"]))
         for q in range(0, 4000, 100)

@@ -89,7 +89,8 @@ def web():
     return pages
 
 
-def test_trust_and_distrust_follow_the_links(spark, web):
+def test_trust_and_distrust_follow_the_links(spark, web, monkeypatch):
+    monkeypatch.setattr(u, "THRESHOLD", 0.02)
     rows = [(i, f"http://{h}{p}", x) for i, (h, p, _, x) in enumerate(web)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["verdict"] for r in u.judge(pages).collect()}
