@@ -201,13 +201,14 @@ def percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fact_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_recovery(spark: SparkSession, sf_dir: str, md5_key: bool = False) -> DataFrame:
     return facts.fact_daily_recovery(
         staged(spark, sf_dir, "recovery"),
         users(spark, sf_dir),
         dims.dim_date(spark),
         percentiles(spark, sf_dir),
         staged(spark, sf_dir, "sleep"),
+        md5_key,
     )
 
 

@@ -605,6 +605,13 @@ _line_query(
 )
 
 
+@query("fn_md5_recovery_key")
+def _(spark, sf_dir):
+    """The recovery fact under keys that do not collide."""
+    fact = inputs.fact_recovery(spark, sf_dir, md5_key=True)
+    return fact.select("recovery_sk", "user_sk", "date_sk", "source_cycle_id")
+
+
 @query("fn_hash64_key")
 def _(spark, sf_dir):
     """Keys of distinct inputs have to be distinct."""

@@ -1339,6 +1339,10 @@ def _functions(line: str) -> dict[str, str]:
         "210 * l_discount as recent",
         risk="coalesce(gap < -30 and round(recent, 6) > 14, false)",
     )
+    q["fn_md5_recovery_key"] = (
+        "select md5(concat(source_cycle_id, '-', source_user_id)) as recovery_sk, user_sk, "
+        "date_sk, source_cycle_id from fact_recovery"
+    )
     q["fn_hash64_key"] = (
         "select count(*) as inputs, count(*) as keys from "
         "(select distinct cycle_id, user_id from stg_recovery)"

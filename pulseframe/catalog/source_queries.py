@@ -251,10 +251,10 @@ def _(spark, sf_dir):
 
 @query("scan_dashboard")
 def _(spark, sf_dir):
-    inputs.daily(spark, sf_dir).createOrReplaceTempView("daily_scores")
     return spark.sql(
         "select user_sk, count(*) as days, avg(recovery_score) as avg_recovery "
-        "from daily_scores group by user_sk"
+        "from {daily_scores} group by user_sk",
+        daily_scores=inputs.daily(spark, sf_dir),
     )
 
 

@@ -133,8 +133,13 @@ def fact_daily_recovery(
     dim_date: DataFrame,
     percentiles: DataFrame,
     stg_sleep: DataFrame,
+    md5_key: bool = False,
 ) -> DataFrame:
-    """Recovery fact, one row per user and day. ``hrv_rmssd`` is in seconds."""
+    """Recovery fact, one row per user and day. ``hrv_rmssd`` is in seconds.
+
+    ``recovery_sk`` has 64 bits, in which two of some ten billion rows can be
+    expected to collide; with ``md5_key`` it is the MD5 text key instead.
+    """
     rows = stg_recovery.filter(F.col("recovery_score").isNotNull()).select(
         "cycle_id",
         "user_id",
@@ -164,7 +169,7 @@ def fact_daily_recovery(
         return c.cast(f"decimal({precision},{scale})")
 
     return joined.select(
-        hash64_key("cycle_id", "user_id").alias("recovery_sk"),
+        (surrogate_key if md5_key else hash64_key)("cycle_id", "user_id").alias("recovery_sk"),
         "user_sk",
         "date_sk",
         decimal("recovery_score", 5, 2).alias("recovery_score"),
