@@ -38,8 +38,10 @@ DAMPING = 0.25
 MOST_COMMON_SHINGLES = 1_000_000
 # While counting, shingles seen once are forgotten after so many documents or shingles.
 FORGET_DOCS, FORGET_SHINGLES = 4000, 4_000_000
-# Pairs of a bucket that one round compares beyond its first document.
-ROUND_PAIRS = 65_536
+# Documents of a bucket that meet in one task: characters, of which each document counts some more.
+BLOCK_CHARS, DOCUMENT_CHARS = 8_000_000, 8_000
+# Cells of a matrix of documents and shingles.
+MATRIX_CELLS = 4_000_000
 
 _U = np.uint64
 
@@ -289,32 +291,89 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float) -
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a binary, b binary")
 
 
-def _later_pairs(members: DataFrame, links: DataFrame):
-    """Pairs within buckets that the first round left in different components, in rounds.
+def _common(found: Shingles, idf: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum over all shingles of the smaller weight, for the texts ``rows`` (rows) and all texts.
 
-    A bucket's main part is the component of its smallest node. Every node outside it is compared
-    with all nodes of other components; ROUND_PAIRS bounds what a round takes of one bucket.
+    A weight is the idf times 1 + ln(times), which is a sum of steps at the numbers of times that
+    occur. Two texts have a step in common if both have the shingle so often, so the sum over the
+    smaller weights is a product of matrices whose columns are shingles and steps.
+    """
+    steps = np.unique(found.times)
+    gain = np.sqrt(np.diff(1 + np.log(steps), prepend=0))
+    n_steps = np.searchsorted(steps, found.times, side="right")
+    entry = np.repeat(np.arange(len(n_steps)), n_steps)
+    step = np.arange(len(entry)) - np.repeat(np.cumsum(n_steps) - n_steps, n_steps)
+    _, shingle = np.unique(found.values, return_inverse=True)
+    column, doc = shingle[entry] * len(steps) + step, found.doc[entry]
+    value = np.sqrt(idf)[entry] * gain[step]
+    # only columns of two texts or more, one of them among the rows
+    number = np.bincount(column)
+    asked = np.zeros(n, bool)
+    asked[rows] = True
+    useful = (number > 1) & (np.bincount(column, asked[doc], len(number)) > 0)
+    keep = useful[column]
+    column, doc, value = (np.cumsum(useful) - 1)[column[keep]], doc[keep], value[keep]
+    order = np.argsort(column, kind="stable")
+    column, doc, value = column[order], doc[order], value[order]
+    out = np.zeros((len(rows), n))
+    width = max(1, MATRIX_CELLS // n)
+    for begin in range(0, int(useful.sum()), width):
+        a, b = np.searchsorted(column, [begin, begin + width])
+        part = np.zeros((n, width))
+        part[doc[a:b], column[a:b] - begin] = value[a:b]
+        out += part[rows] @ part.T
+    return out
+
+
+def _open_links(members: DataFrame, links: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
+    """Links (a, b) within buckets whose documents the first round left in several components.
+
+    ``members`` has the first document ``a`` of each bucket, with which the others were compared
+    already; it takes no part. Of the others, the largest component is the bucket's main part. All documents outside it are
+    compared with all the others, in blocks of bounded size, so no pair that could link two
+    components is left out. Of the links found between two components one is returned.
     """
     spark = members.sparkSession
     labels = components(links)
-    placed = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    lead = placed.groupBy("bucket").agg(
-        F.min_by("label", "node").alias("main"), F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
-    )
+    others = members.filter("node <> a").select("bucket", "node")
+    placed = others.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    parts = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    main = parts.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
+    open_ = placed.join(main.filter("parts > 1"), "bucket")
+    rows = open_.select("bucket", "node", "label", (F.col("label") != F.col("main")).alias("outside")).join(texts, "node")
+    before = Window.partitionBy("bucket").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.length("text") + DOCUMENT_CHARS
+    rows = rows.withColumn("block", F.floor(F.sum(size).over(before) / BLOCK_CHARS).cast("int"))
     path = scratch_path(spark, "open-buckets")
-    placed.join(lead.filter("low <> high"), "bucket").write.parquet(path)
-    open_ = spark.read.parquet(path)
-    numbered = Window.partitionBy("bucket").orderBy("node")
-    outside = open_.filter("label <> main").withColumn("rank", F.row_number().over(numbered) - 1)
-    rounds_path = scratch_path(spark, "rounds")
-    per_round = F.greatest(F.lit(1), F.floor(F.lit(ROUND_PAIRS) / F.col("size")))
-    outside.withColumn("round", F.floor(F.col("rank") / per_round)).write.parquet(rounds_path)
-    outside = spark.read.parquet(rounds_path)
-    last = outside.agg(F.max("round")).first()[0]
-    for r in range(0 if last is None else last + 1):
-        now = outside.filter(F.col("round") == r).select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"))
-        met = now.join(open_.select("bucket", "node", "label"), "bucket").filter("label <> label_a")
-        yield met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    rows.write.parquet(path)
+    rows = spark.read.parquet(path)
+    last = rows.groupBy("bucket").agg(F.max("block").alias("last"))
+    met = rows.join(last, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    met = met.select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "node", "label", "outside", "text",
+    )
+    shared = spark.sparkContext.broadcast(weights)
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        outside = np.flatnonzero(group.column("outside").to_numpy(zero_copy_only=False))
+        pairs = np.zeros((0, 2), int)
+        if len(outside):
+            found = Shingles(group.column("text").chunk(0))
+            idf = shared.value.of(found.values, np.ones(len(found.values)))
+            common = _common(found, idf, outside, group.num_rows)
+            total = np.bincount(found.doc, idf * (1 + np.log(found.times)), group.num_rows)
+            near = common >= least * (total[outside][:, None] + total[None, :] - common) - 1e-9
+            label = group.column("label").chunk(0).dictionary_encode().indices.to_numpy()
+            a, b = np.nonzero(near & (label[outside][:, None] != label[None, :]))
+            pairs = np.column_stack([outside[a], b])
+            _, one = np.unique(np.sort(label[pairs], axis=1), axis=0, return_index=True)
+            pairs = pairs[one]
+        node = group.column("node")
+        return pa.table({"a": node.take(pa.array(pairs[:, 0])), "b": node.take(pa.array(pairs[:, 1]))})
+
+    return met.groupBy("bucket", "i", "j").applyInArrow(compare, "a binary, b binary")
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: float = SIMILARITY) -> DataFrame:
@@ -327,7 +386,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least:
     same row is repeated. Null ids come first, so a class that has one is named null.
 
     Every document of a bucket is compared with the bucket's smallest one, then documents that are
-    still in different components of a bucket with each other. No bucket is cut short.
+    still in different components of a bucket with each other, in blocks. No bucket is cut short.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -355,8 +414,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least:
     star = members.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
     verify(star, texts, weights, least).write.parquet(done_path)
     links = spark.read.schema("a binary, b binary").parquet(done_path)
-    for pairs in _later_pairs(members.select("bucket", "node"), links):
-        verify(pairs.join(star, ["a", "b"], "left_anti"), texts, weights, least).write.mode("append").parquet(done_path)
+    more = _open_links(members, links, texts, weights, least)
+    more.write.mode("append").parquet(done_path)
     labels = components(spark.read.schema("a binary, b binary").parquet(done_path))
 
     placed = signed.select("doc", "key", "node").join(labels, "node", "left")
