@@ -230,7 +230,10 @@ def samples(found: Shingles, weights: np.ndarray, n: int) -> np.ndarray:
             with np.errstate(divide="ignore"):  # the largest hash, of texts with common shingles only
                 best = -np.log1p(-_unit(low[d]))
             wins = (a[lead] < best) | (low[d] == _U(0xFFFFFFFFFFFFFFFF))
-            low[d[wins]] = mix(special[lead[wins]] + t[lead[wins]].astype(np.int64).view(np.uint64))
+            # A sample at t = 0 is the one that the same shingle gives at weight 1.
+            step = t[lead[wins]].astype(np.int64)
+            name = special[lead[wins]]
+            low[d[wins]] = np.where(step == 0, name, mix(name + step.view(np.uint64)))
         out[full, k] = low
     return out
 
