@@ -1,6 +1,6 @@
 """Soft-membership mixing: document rates whose expected domain token totals match target weights.
 
-DataFrame and SQL functions only (with the engine's own classifier).
+DataFrame and SQL functions only.
 """
 
 from __future__ import annotations
@@ -8,10 +8,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import numpy as np
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +19,13 @@ DOMAINS = ("toxic", "poor", "good")
 TARGET = {"toxic": 0.0, "poor": 0.1, "good": 0.9}
 # About so many labelled rows at most fit the classifier, chosen by a hash of the id.
 LABELLED = 20_000
-WORD_FEATURES = 1 << 16
+# A feature counts if it is in so many labelled rows, and is so many times as frequent in one domain
+# as in all, by so many standard deviations; of those the strongest are used.
+LEAST_ROWS, LEAST_LIFT, LEAST_DEVIATION, FEATURES = 5, 5.0, 6.0, 20_000
 # Posteriors are taken to three decimals, so documents fall into a bounded number of cells.
 DIGITS = 3
-ROUNDS = 200
-# The fit ends when no domain is off its target by more than this part of all tokens, or when a round
-# brings none nearer by more than a hundredth of that.
-TOLERANCE = 1e-4
+# The fit ends when no rate has changed by more than this in a round.
+ROUNDS, TOLERANCE = 50, 5e-3
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -37,38 +33,50 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, 0).when(toxic.isNull(), None).when(quality == 0, 1).when(quality == 1, 2)
 
 
-def _features(docs: DataFrame, text: str) -> DataFrame:
-    """Words and measures of the shape of a text, as ``_words``, ``_n`` and ``_shape``."""
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def with_features(docs: DataFrame, text: str) -> DataFrame:
+    """``_n``, the number of words, and ``_features``: the different words and the shape of a text.
+
+    Shapes (shares of other characters, capitals and different words, word length, number of words)
+    are features like words, by steps; their names have a space, which no word has.
+    """
     plain = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    docs = docs.withColumn("_words", F.filter(F.split(F.lower(plain), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-    size = F.greatest(F.lit(1), F.length(plain))
-
-    def share(pattern: str) -> Column:
-        return F.length(F.regexp_replace(plain, pattern, "")) / size
-
-    n = F.size("_words")
-    distinct = F.size(F.array_distinct("_words")) / F.greatest(F.lit(1), n)
-    return docs.withColumns(
-        {
-            "_n": n.cast("long"),
-            "_shape": F.array(
-                share(r"[^\p{Lu}]"), share(r"[^\p{P}\p{S}]"), share(r"[^\p{N}]"), distinct,
-                F.log1p(n.cast("double")) / 10, F.log1p(size / F.greatest(F.lit(1), n)),
-            ),
+    words = F.filter(F.split(F.lower(plain), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+    def features(words: Column, different: Column) -> Column:
+        size = F.greatest(F.length(plain), F.lit(1))
+        capitals = F.length(plain) - F.length(F.translate(plain, UPPER, ""))
+        letters, n = F.length(F.array_join(words, "")), F.greatest(F.size(words), F.lit(1))
+        shapes = {
+            "other": F.floor(20 * (1 - letters / size)),
+            "capitals": F.floor(20 * capitals / size),
+            "different": F.floor(20 * F.size(different) / n),
+            "length": F.floor(2 * letters / n),
+            "words": F.floor(F.log2(F.size(words) + 1)),
         }
-    )
+        named = F.array(*[F.concat(F.lit(f"{k} "), v.cast("string")) for k, v in shapes.items()])
+        return F.struct(F.size(words).cast("long").alias("n"), F.concat(different, named).alias("features"))
 
+    # Arrays of one element and their lambdas make Spark split a text once, whatever is taken from it.
+    different = F.transform(F.array(words), lambda w: F.struct(w.alias("w"), F.array_distinct(w).alias("d")))
+    found = F.transform(different, lambda x: features(x["w"], x["d"]))
+    docs = docs.withColumn("_found", F.explode(found))
+    return docs.withColumns({"_n": F.col("_found.n"), "_features": F.col("_found.features")}).drop("_found")
 
-SHAPES = 6
 
+def fit_classifier(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, most: int = LABELLED):
+    """Naive Bayes over significant features: (feature, w: by domain), and log priors without any.
 
-def classifier(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", most: int = LABELLED):
-    """A fitted function from rows with ``_words`` and ``_shape`` to rows with ``_p``.
+    A feature that is there adds its log odds in the domain; the priors hold what it means that
+    none is.
 
     ``labels`` has the id, ``quality`` and ``toxic`` (0 or 1). Rows without a text, or whose labels
-    do not decide the domain, are left out. With fewer than two domains seen, everything belongs to
-    the one, or to the last domain if there is none.
+    do not decide the domain, are left out; repeated labels count once. Without any label
+    everything belongs to the last domain.
     """
+    spark = docs.sparkSession
     known = labels.select(
         F.col(f"`{doc_id}`").alias("_id"), domain_of(F.col("quality"), F.col("toxic")).alias("_domain")
     ).filter("_id is not null and _domain is not null").dropDuplicates(["_id"])
@@ -76,101 +84,92 @@ def classifier(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: s
     part = 1.0 if n <= most else most / n
     known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(1_000_000 * part))
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text")).filter("_text is not null")
-    path = scratch_path(docs.sparkSession, "labelled")
-    _features(rows.join(known, "_id"), "_text").select("_domain", "_words", "_shape").write.parquet(path)
-    rows = docs.sparkSession.read.parquet(path)
-    seen = sorted(r["_domain"] for r in rows.select("_domain").distinct().collect())
-    if len(seen) < 2:
-        only = seen[0] if seen else len(DOMAINS) - 1
-        fixed = F.array(*[F.lit(float(i == only)) for i in range(len(DOMAINS))])
-        return lambda docs: docs.withColumn("_p", fixed)
-
-    number = F.coalesce(*[F.when(F.col("_domain") == d, float(i)) for i, d in enumerate(seen)])
-    shapes = [f"_shape{i}" for i in range(SHAPES)]
-
-    def spread(docs: DataFrame) -> DataFrame:
-        return docs.withColumns({c: F.col("_shape")[i] for i, c in enumerate(shapes)})
-
-    stages = [
-        HashingTF(inputCol="_words", outputCol="_hashed", numFeatures=WORD_FEATURES, binary=True),
-        VectorAssembler(inputCols=["_hashed", *shapes], outputCol="_vector"),
-        LogisticRegression(
-            featuresCol="_vector", labelCol="_label", probabilityCol="_probability", rawPredictionCol="_raw",
-            predictionCol="_prediction", maxIter=40, regParam=0.002, family="multinomial",
-        ),
-    ]
-    model = Pipeline(stages=stages).fit(spread(rows).withColumn("_label", number))
-
-    def predict(docs: DataFrame) -> DataFrame:
-        found = model.transform(spread(docs)).withColumn("_seen", vector_to_array("_probability"))
-        p = [F.col("_seen")[seen.index(i)] if i in seen else F.lit(0.0) for i in range(len(DOMAINS))]
-        gone = ("_hashed", *shapes, "_vector", "_raw", "_probability", "_prediction", "_seen")
-        return found.withColumn("_p", F.array(*p)).drop(*gone)
-
-    return predict
-
-
-def memberships(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` with ``_n`` (words) and ``_p`` (posteriors by domain, rounded)."""
-    predict = classifier(docs, labels, text, doc_id)
-    found = predict(_features(docs, text)).drop("_words", "_shape")
-    return found.withColumn("_p", F.transform("_p", lambda p: F.round(p, DIGITS)))
-
-
-def _rate(p: list[Column], steps: list[np.ndarray]) -> Column:
-    """The rate after the given projected steps, from 1: each takes its product with the posteriors."""
-    x = F.lit(1.0)
-    for s in steps:
-        x = F.greatest(F.lit(0.0), x - sum((c * float(v) for c, v in zip(p[1:], s[1:], strict=True)), p[0] * float(s[0])))
-    return x
-
-
-def fit_rates(members: DataFrame, target: Mapping[str, float] = TARGET, whole: bool = False) -> Column:
-    """Nonnegative rates, as an expression over ``_p``, by projected gradient least squares.
+    # At most about LABELLED small rows.
+    rows = rows.join(F.broadcast(known), "_id")
+    path = scratch_path(spark, "labelled")
+    found = with_features(rows, "_text").select("_domain", F.explode("_features").alias("feature"))
+    k = range(len(DOMAINS))
+    of = [F.count_if(F.col("_domain") == d).alias(f"n{d}") for d in k]
+    found.groupBy("feature").agg(*of).write.parquet(path)
+    counts = spark.read.parquet(path)
+    sizes = rows.agg(*of).first()
+    every = sum(sizes)
+    if not every:
+        sizes, every = [0] * (len(DOMAINS) - 1) + [10**9], 10**9
+    total = sum((F.col(f"n{d}") for d in k[1:]), F.col("n0"))
+    off = []
+    for d in k:
+        usual = total * (sizes[d] / every)
+        more = (F.col(f"n{d}") - usual) / F.sqrt(usual * (1 - sizes[d] / every) + 0.25)
+        off.append(F.when(F.col(f"n{d}") >= LEAST_LIFT * usual, more).otherwise(0.0))
+    there = [(F.col(f"n{d}") + 0.5) / (sizes[d] + 1) for d in k]
+    weight = [F.log(p / (1 - p)) for p in there]
+    missing = [F.log(1 - p).alias(f"m{d}") for d, p in enumerate(there)]
+    strong = counts.withColumn("off", F.greatest(*off)).filter((total >= LEAST_ROWS) & (F.col("off") >= LEAST_DEVIATION))
+    strong = strong.orderBy(F.desc("off"), "feature").limit(FEATURES).select("feature", F.array(*weight).alias("w"), *missing)
+    path = scratch_path(spark, "classifier")
+    strong.write.parquet(path)
+    model = spark.read.schema(strong.schema).parquet(path)
+    none = model.agg(*[F.coalesce(F.sum(f"m{d}"), F.lit(0.0)) for d in k]).first()
+    prior = [float(np.log((sizes[d] + 1e-9) / every) + none[d]) for d in k]
+    return model.select("feature", "w"), prior
+
+
+def memberships(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, row: str) -> DataFrame:
+    """(row, _n, _p) for each row of ``docs``: words, and posteriors by domain, rounded."""
+    model, prior = fit_classifier(docs, labels, text, doc_id)
+    rows = with_features(docs.select(F.col(f"`{row}`").alias("row"), F.col(f"`{text}`").alias("_text")), "_text")
+    each = rows.select("row", "_n", F.explode("_features").alias("feature"))
+    # FEATURES rows at most.
+    each = each.join(F.broadcast(model), "feature", "left")
+    sums = [F.coalesce(F.sum(F.col("w")[d]), F.lit(0.0)) + prior[d] for d in range(len(DOMAINS))]
+    scored = each.groupBy("row").agg(F.max("_n").alias("_n"), F.array(*sums).alias("joint"))
+    scored = scored.withColumn("odds", F.transform("joint", lambda j: F.exp(j - F.array_max("joint"))))
+    scored = scored.withColumn("all", F.aggregate("odds", F.lit(0.0), lambda a, x: a + x))
+    return scored.select("row", "_n", F.transform("odds", lambda x: F.round(x / F.col("all"), DIGITS)).alias("_p"))
+
+
+def fit_rates(members: DataFrame, target: Mapping[str, float] = TARGET, whole: bool = False) -> DataFrame:
+    """(_p, rate): the nonnegative rate of each cell of posteriors, by projected gradient least squares.
 
     Minimises the squared differences between sum(rate * words * posterior) and each domain's part
     of all words, from rates of 1. A row's variable is scaled by the root of its words, so that a
-    step moves long and short texts alike; a rate then depends on the posteriors only. Every round
-    is one sum over the cells of equal posteriors. Steps are as long as the largest eigenvalue of
-    the problem allows. With ``whole`` the wanted total grows until no wanted domain has to shrink.
+    step moves long and short texts alike; a rate then depends on the posteriors only, and every
+    round is one sum over the cells, written to the shared folder. Steps are as long as the largest
+    eigenvalue of the problem allows. With ``whole`` the wanted total grows until no wanted domain
+    has to shrink. Without any words all rates stay 1.
     """
     spark = members.sparkSession
-    path = scratch_path(spark, "cells")
-    members.groupBy("_p").agg(F.sum("_n").cast("double").alias("n")).write.parquet(path)
-    cells = spark.read.parquet(path)
+
+    def kept(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "rates")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     k = len(DOMAINS)
     p = [F.col("_p")[i] for i in range(k)]
+    cells = kept(members.groupBy("_p").agg(F.sum("_n").cast("double").alias("n")))
+    now = cells.withColumns({"rate": F.lit(1.0), "moved": F.lit(None).cast("double")})
     products = [F.coalesce(F.sum(F.col("n") * a * b), F.lit(0.0)) for a in p for b in p]
     row = cells.agg(*products, F.coalesce(F.sum("n"), F.lit(0.0))).first()
     total = row[k * k]
     if not total:
-        return F.lit(1.0)
+        return now.select("_p", "rate")
     step = 1 / np.linalg.eigvalsh(np.array(row[: k * k]).reshape(k, k) / total)[-1]
     wanted = np.array([target.get(d, 0.0) for d in DOMAINS])
-    now, steps, before = cells.withColumn("x", F.lit(1.0)), [], None
     for i in range(ROUNDS):
-        sums = [F.sum(F.col("n") * F.col("x") * c) for c in p]
-        have = np.array(now.agg(*sums).first()) / total
+        *sums, moved = now.agg(*[F.sum(F.col("n") * F.col("rate") * c) for c in p], F.max("moved")).first()
+        if moved is not None and moved <= TOLERANCE:
+            break
+        have = np.array(sums) / total
         if whole and not i:
             wanted *= max([1.0, *(have[wanted > 0] / wanted[wanted > 0])])
-        off = have - wanted
-        if np.abs(off).max() <= TOLERANCE or before is not None and np.abs(off - before).max() <= TOLERANCE / 100:
-            break
-        before = off
-        steps.append(step * off)
-        now = now.withColumn("x", _after("x", p, steps[-1]))
-        if i % 10 == 9:
-            path = scratch_path(spark, "rates")
-            now.write.parquet(path)
-            now = spark.read.parquet(path)
-    return _rate(p, steps)
-
-
-def _after(x: str, p: list[Column], s: np.ndarray) -> Column:
-    moved = F.col(x)
-    for c, v in zip(p, s, strict=True):
-        moved = moved - c * float(v)
-    return F.greatest(F.lit(0.0), moved)
+        change = F.lit(0.0)
+        for c, off in zip(p, have - wanted, strict=True):
+            change = change + c * float(step * off)
+        after = now.withColumn("after", F.greatest(F.lit(0.0), F.col("rate") - change))
+        now = kept(after.select("_p", "n", F.col("after").alias("rate"), F.abs(F.col("after") - F.col("rate")).alias("moved")))
+    return now.select("_p", "rate")
 
 
 def mix(
@@ -184,16 +183,24 @@ def mix(
     """The rows of ``docs`` with ``n_words``, posteriors ``p_<domain>`` and ``rate``.
 
     ``rate`` is how often a document should be drawn. Null and empty texts have no words, and the
-    rate of their posteriors. Repeated rows are rated one by one. Labels may be repeated; one per
-    id counts. Without any words all rates are 1. Columns of ``docs`` named like the new ones are
-    replaced. The documents are read once for their posteriors, which go to the shared folder.
+    rate of their posteriors. Repeated rows are rated one by one. Without any words all rates are
+    1. Columns of ``docs`` named like the new ones are replaced. ``docs`` must give its rows in the
+    same order whenever it is read, as a scan of files does. A text's features are added up in the
+    task that reads it, so one row per text is moved.
     """
     spark = docs.sparkSession
-    new = ("n_words", "rate", "_n", "_p", *[f"p_{d}" for d in DOMAINS])
+    new = ("n_words", "rate", "__row", *[f"p_{d}" for d in DOMAINS])
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
+    names = docs.columns
+    docs = docs.withColumn("__row", F.monotonically_increasing_id())
     path = scratch_path(spark, "memberships")
-    memberships(docs, labels, text, doc_id).write.parquet(path)
+    memberships(docs, labels, text, doc_id, "__row").write.parquet(path)
     members = spark.read.parquet(path)
-    rate = fit_rates(members, target, whole)
+    # As many rows as there are posteriors of three decimals: half a million for three domains.
+    rates = F.broadcast(fit_rates(members, target, whole))
     shares = {f"p_{d}": F.col("_p")[i] for i, d in enumerate(DOMAINS)}
-    return members.withColumns({"n_words": F.col("_n"), **shares, "rate": rate}).drop("_n", "_p")
+    rated = members.join(rates, "_p").select(
+        F.col("row").alias("__row"), F.col("_n").alias("n_words"), *[v.alias(c) for c, v in shares.items()], "rate"
+    )
+    found = docs.join(rated, "__row")
+    return found.select(*[F.col(f"`{c}`") for c in names], "n_words", *shares, "rate")
