@@ -20,8 +20,8 @@ TARGET = {"toxic": 0.0, "poor": 0.1, "good": 0.9}
 # About so many labelled rows at most fit the classifier, chosen by a hash of the id.
 LABELLED = 20_000
 # A feature counts if it is in so many labelled rows, and is so many times as frequent in one domain
-# as in all, by so many standard deviations; of those the strongest are used.
-LEAST_ROWS, LEAST_LIFT, LEAST_DEVIATION, FEATURES = 5, 5.0, 6.0, 20_000
+# as in the others, by so many standard deviations; of those the strongest are used.
+LEAST_ROWS, LEAST_LIFT, LEAST_DEVIATION, FEATURES = 5, 6.0, 5.0, 20_000
 # Posteriors are taken to three decimals, so documents fall into a bounded number of cells.
 DIGITS = 3
 # The fit ends when no rate has changed by more than this in a round.
@@ -101,7 +101,9 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, m
     for d in k:
         usual = total * (sizes[d] / every)
         more = (F.col(f"n{d}") - usual) / F.sqrt(usual * (1 - sizes[d] / every) + 0.25)
-        off.append(F.when(F.col(f"n{d}") >= LEAST_LIFT * usual, more).otherwise(0.0))
+        here = (F.col(f"n{d}") + 0.5) / (sizes[d] + 1)
+        elsewhere = (total - F.col(f"n{d}") + 0.5) / (every - sizes[d] + 1)
+        off.append(F.when(here >= LEAST_LIFT * elsewhere, more).otherwise(0.0))
     there = [(F.col(f"n{d}") + 0.5) / (sizes[d] + 1) for d in k]
     weight = [F.log(p / (1 - p)) for p in there]
     missing = [F.log(1 - p).alias(f"m{d}") for d, p in enumerate(there)]
