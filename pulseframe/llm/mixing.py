@@ -24,8 +24,9 @@ LABELLED = 20_000
 LEAST_ROWS, LEAST_LIFT, LEAST_DEVIATION, FEATURES = 5, 6.0, 5.0, 20_000
 # Posteriors are taken to three decimals, so documents fall into a bounded number of cells.
 DIGITS = 3
-# The fit ends when no rate has changed by more than this in a round.
-ROUNDS, TOLERANCE = 50, 5e-3
+# Weight of the rates' change from 1 beside the domains' totals: a document that is certainly of an
+# unwanted domain keeps this rate. The fit ends at a gradient of this part of each domain's words.
+RIDGE, TOLERANCE = 1e-3, 1e-6
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -132,46 +133,66 @@ def memberships(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, row:
 
 
 def fit_rates(members: DataFrame, target: Mapping[str, float] = TARGET, whole: bool = False) -> DataFrame:
-    """(_p, rate): the nonnegative rate of each cell of posteriors, by projected gradient least squares.
+    """(_p, rate): the nonnegative rate of each cell of posteriors whose domain totals match ``target``.
 
     Minimises the squared differences between sum(rate * words * posterior) and each domain's part
-    of all words, from rates of 1. A row's variable is scaled by the root of its words, so that a
-    step moves long and short texts alike; a rate then depends on the posteriors only, and every
-    round is one sum over the cells, written to the shared folder. Steps are as long as the largest
-    eigenvalue of the problem allows. With ``whole`` the wanted total grows until no wanted domain
-    has to shrink. Without any words all rates stay 1.
+    of all words, each difference relative to the larger of the part wanted and the part there is,
+    plus RIDGE times the squared change of the rates from 1, by words. A small domain thus counts
+    like a large one, and there is one solution: rate = max(0, 1 + posteriors . price), with a price
+    for each domain. Newton's method finds the prices; a round is one sum over the cells, and
+    nothing is written. It ends when no domain's gradient is above TOLERANCE of its part, or no step
+    makes the sum smaller any more; there is no limit on rounds. With ``whole`` the wanted total
+    grows until no wanted domain has to shrink. Without any words all rates stay 1.
     """
     spark = members.sparkSession
-
-    def kept(df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "rates")
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
+    path = scratch_path(spark, "rates")
+    members.groupBy("_p").agg(F.sum("_n").cast("double").alias("n")).write.parquet(path)
+    cells = spark.read.parquet(path)
     k = len(DOMAINS)
     p = [F.col("_p")[i] for i in range(k)]
-    cells = kept(members.groupBy("_p").agg(F.sum("_n").cast("double").alias("n")))
-    now = cells.withColumns({"rate": F.lit(1.0), "moved": F.lit(None).cast("double")})
-    products = [F.coalesce(F.sum(F.col("n") * a * b), F.lit(0.0)) for a in p for b in p]
-    row = cells.agg(*products, F.coalesce(F.sum("n"), F.lit(0.0))).first()
-    total = row[k * k]
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def rate(price) -> Column:
+        raised = F.lit(1.0)
+        for c, v in zip(p, price, strict=True):
+            raised = raised + c * float(v)
+        return F.greatest(F.lit(0.0), raised)
+
+    *share, total = cells.agg(*[F.sum(F.col("n") * c) for c in p], F.sum("n")).first()
     if not total:
-        return now.select("_p", "rate")
-    step = 1 / np.linalg.eigvalsh(np.array(row[: k * k]).reshape(k, k) / total)[-1]
+        return cells.select("_p", F.lit(1.0).alias("rate"))
+    share = np.array(share) / total
     wanted = np.array([target.get(d, 0.0) for d in DOMAINS])
-    for i in range(ROUNDS):
-        *sums, moved = now.agg(*[F.sum(F.col("n") * F.col("rate") * c) for c in p], F.max("moved")).first()
-        if moved is not None and moved <= TOLERANCE:
+    if whole:
+        wanted *= max([1.0, *(share[wanted > 0] / wanted[wanted > 0])])
+    part = np.maximum(wanted, share)
+    part[part == 0] = 1.0
+
+    def at(price):
+        """Value, gradient and second derivatives of the dual problem."""
+        now = cells.withColumn("rate", rate(price))
+        drawn, there = F.col("n") * F.col("rate"), F.when(F.col("rate") > 0, F.col("n")).otherwise(0.0)
+        sums = [F.sum(drawn * F.col("rate")), *[F.sum(drawn * c) for c in p], *[F.sum(there * p[i] * p[j]) for i, j in pairs]]
+        square, *rest = np.array(now.agg(*sums).first()) / total
+        second = np.diag(RIDGE * part)
+        for (i, j), v in zip(pairs, rest[k:], strict=True):
+            second[i, j] += v
+            second[j, i] += v * (i != j)
+        value = square / 2 - wanted @ price + RIDGE / 2 * (part * price) @ price
+        return value, np.array(rest[:k]) - wanted + RIDGE * part * price, second
+
+    price, root = np.zeros(k), np.sqrt(part)
+    value, off, second = at(price)
+    while (np.abs(off) > TOLERANCE * part).any():
+        step = np.linalg.solve(second / np.outer(root, root), -off / root) / root
+        after = at(price + step)
+        while after[0] > value + 1e-4 * step @ off and (np.abs(step) > 1e-12 * (1 + np.abs(price))).any():
+            step = step / 2
+            after = at(price + step)
+        if after[0] >= value:
             break
-        have = np.array(sums) / total
-        if whole and not i:
-            wanted *= max([1.0, *(have[wanted > 0] / wanted[wanted > 0])])
-        change = F.lit(0.0)
-        for c, off in zip(p, have - wanted, strict=True):
-            change = change + c * float(step * off)
-        after = now.withColumn("after", F.greatest(F.lit(0.0), F.col("rate") - change))
-        now = kept(after.select("_p", "n", F.col("after").alias("rate"), F.abs(F.col("after") - F.col("rate")).alias("moved")))
-    return now.select("_p", "rate")
+        price, (value, off, second) = price + step, after
+    return cells.select("_p", rate(price).alias("rate"))
 
 
 def mix(

@@ -61,6 +61,25 @@ def test_whole_keeps_wanted_documents(spark):
     assert got[0.0, 0.0, 1.0] > 1 and got[0.0, 1.0, 0.0] > 0.95 and got[1.0, 0.0, 0.0] < 0.01
 
 
+@pytest.mark.parametrize("toxic", [0.002, 0.005, 0.01, 0.03, 0.12])
+def test_a_small_unwanted_domain_goes(spark, toxic):
+    """Rates of certain posteriors, and the domains' totals over soft ones, each relative to its part."""
+    sure = [(int(1e6 * (0.9 - toxic)), [0.0, 0.0, 1.0]), (100_000, [0.0, 1.0, 0.0]), (int(1e6 * toxic), [1.0, 0.0, 0.0])]
+    members = spark.createDataFrame(sure, "_n long, _p array<double>")
+    for whole in (False, True):
+        got = {tuple(r["_p"]): r["rate"] for r in m.fit_rates(members, whole=whole).collect()}
+        assert got[1.0, 0.0, 0.0] < 0.01
+        assert got[0.0, 1.0, 0.0] == pytest.approx(1, abs=0.01) and got[0.0, 0.0, 1.0] == pytest.approx(0.9 / (0.9 - toxic), abs=0.01)
+    rng = np.random.default_rng(15)
+    p = np.round(rng.dirichlet([0.3 * toxic, 0.03, 0.3 * (0.9 - toxic)], 5000), m.DIGITS)
+    n = rng.integers(0, 500, 5000).astype(float)
+    members = spark.createDataFrame([(int(a), [float(v) for v in b]) for a, b in zip(n, p, strict=True)], "_n long, _p array<double>")
+    rate = {tuple(r["_p"]): r["rate"] for r in m.fit_rates(members).collect()}
+    have = (n * np.array([rate[tuple(b)] for b in p.tolist()])) @ p / n.sum()
+    wanted = np.array([m.TARGET[d] for d in m.DOMAINS])
+    assert (np.abs(have - wanted) <= 0.03 * np.maximum(wanted, n @ p / n.sum())).all()
+
+
 def test_edge_cases(spark):
     texts = [None, "", "!!!", "good words here", "bad words here", "vile words here", "word " * 20_000]
     docs = documents(spark, texts).selectExpr("*", "'mine' as rate", "1 as `a.b`")
