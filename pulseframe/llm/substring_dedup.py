@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pulseframe.llm.words import Words, blocks, map_rows, mix, powers
 from pulseframe.session import scratch_path
 
-# A run: the fewest sentences from a place on, two at least, that have so many words together.
+# A run: the fewest sentences from a place on or up to one, two at least, that have so many words together.
 RUN_SENTENCES = 2
 RUN_WORDS = 25
 # A sentence of so many words is a run by itself.
@@ -67,35 +67,64 @@ class Sentences:
         stop = np.maximum(stop, np.arange(n) + sentences)
         stop = np.where(self.sizes >= long, np.arange(n) + 1, stop)
         size = np.where(stop <= text_end, stop - np.arange(n), 0)
-        out, weight = np.zeros(n, np.uint64), powers(int(size.max(initial=0)) + 1)
-        for k in range(int(size.max(initial=0))):
+        return self._hashed(np.arange(n), size), size
+
+    def endings(self, sizes: np.ndarray, sentences: int, least: int, long: int) -> tuple[np.ndarray, ...]:
+        """Hash and number of sentences of the shortest run that ends with a sentence, by its place.
+
+        Runs that are among those of ``sizes``, as ``runs`` gives them, are left out. The third
+        array bounds the runs that begin with a sentence.
+        """
+        n = len(self.sizes)
+        text_begin = np.repeat(self.first[:-1], np.diff(self.first))
+        words = np.concatenate([[0], np.cumsum(self.sizes)])
+        begin = np.searchsorted(words, words[1:] - least, side="right") - 1
+        begin = np.minimum(begin, np.arange(n) + 1 - sentences)
+        begin = np.where(self.sizes >= long, np.arange(n), begin)
+        last = np.flatnonzero(begin >= text_begin)
+        begin = begin[last]
+        new = sizes[begin] != last + 1 - begin
+        begin, size = begin[new], (last + 1 - begin)[new]
+        order = np.argsort(begin, kind="stable")
+        begin, size = begin[order], size[order]
+        return self._hashed(begin, size), size, np.searchsorted(begin, np.arange(n + 1))
+
+    def _hashed(self, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        most = int(size.max(initial=0))
+        out, weight = np.zeros(len(size), np.uint64), powers(most + 1)
+        for k in range(most):
             at = np.flatnonzero(size > k)
-            out[at] += self.hashes[at + k] * weight[k]
-        return mix(out + size.astype(np.uint64)), size
+            out[at] += self.hashes[begin[at] + k] * weight[k]
+        return mix(out + size.astype(np.uint64))
 
 
-def _lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, kind))
+def _lists(values: np.ndarray | pa.Array, first: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, kind) if kind else values)
 
 
 def sentence_runs(
     docs: DataFrame, text: str, doc_id: str, sentences: int, least: int, long: int
 ) -> DataFrame:
-    """(doc, copy, hashes, sizes): a run's hash and sentences for each sentence of a text.
+    """(doc, copy, hashes, sizes, end_hashes, end_sizes): runs from each sentence of a text on.
 
-    Documents are ordered by ``doc``, the id, then ``copy``, a hash of the text.
+    ``hashes`` and ``sizes`` have the shortest one, ``end_hashes`` and ``end_sizes`` a list of those
+    that are the shortest one to end with their last sentence. Together they cover a repeated
+    passage to its last sentence. Documents are ordered by ``doc``, the id, then ``copy``, a hash of the text.
     """
 
     def scan(batches):
         for block in blocks(batches, "text"):
             found = Sentences(block.column("text"))
             hashes, sizes = found.runs(sentences, least, long)
+            end_hashes, end_sizes, bounds = found.endings(sizes, sentences, least, long)
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc"), block.column("copy"),
                     _lists(hashes.view(np.int64), found.first, pa.int64()), _lists(sizes, found.first, pa.int32()),
+                    _lists(_lists(end_hashes.view(np.int64), bounds, pa.int64()), found.first),
+                    _lists(_lists(end_sizes, bounds, pa.int32()), found.first),
                 ],
-                names=["doc", "copy", "hashes", "sizes"],
+                names=["doc", "copy", "hashes", "sizes", "end_hashes", "end_sizes"],
             )
 
     keyed = docs.select(
@@ -105,27 +134,43 @@ def sentence_runs(
     )
     kind = keyed.schema["doc"].dataType.simpleString()
     return keyed.filter("text is not null").mapInArrow(
-        scan, f"doc {kind}, copy long, hashes array<long>, sizes array<int>"
+        scan,
+        f"doc {kind}, copy long, hashes array<long>, sizes array<int>, "
+        "end_hashes array<array<long>>, end_sizes array<array<int>>",
     )
 
 
-def repeated_runs(runs: DataFrame) -> DataFrame:
-    """(doc, copy, cuts): sentences (pos, size) covered by a repeated run other than its first.
+def _occurrences(each: DataFrame) -> DataFrame:
+    """The rows of ``each`` whose hash is at several places, with ``first``, the first of them.
 
-    The first occurrence is that of the smallest (doc, copy, pos). Minimum and maximum are combined
-    before the shuffle, so a run that a third of all documents share costs one row per task.
+    Minimum and maximum are combined before the shuffle, so a run that a third of all documents
+    share costs one row per task.
     """
-    each = runs.select("doc", "copy", F.posexplode(F.arrays_zip("hashes", "sizes")).alias("pos", "run"))
-    each = each.filter("run.sizes > 0").select(
-        F.col("run.hashes").alias("hash"), "doc", "copy", "pos", F.col("run.sizes").alias("size")
-    )
     known = each.groupBy("hash").agg(
         *[f(F.struct("doc", "copy", "pos")).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))]
     )
-    known = known.filter("first <> last").select("hash", "first")
-    later = each.join(known, "hash").filter("struct(doc, copy, pos) <> first")
-    cuts = later.groupBy("doc", "copy").agg(F.array_sort(F.collect_set(F.struct("pos", "size"))).alias("cuts"))
-    return cuts
+    return each.join(known.filter("first <> last").select("hash", "first"), "hash")
+
+
+def repeated_runs(runs: DataFrame) -> DataFrame:
+    """(doc, copy, cuts): sentences (pos, size) covered by a repeated run other than its first.
+
+    The first occurrence is that of the smallest (doc, copy, pos). A run that is the shortest one
+    to its end holds the shortest one from its begin, so it is looked at only where that is repeated.
+    """
+    zipped = F.arrays_zip("hashes", "sizes", "end_hashes", "end_sizes")
+    each = runs.select("doc", "copy", F.posexplode(zipped).alias("pos", "run")).filter("run.sizes > 0")
+    each = each.select(
+        F.col("run.hashes").alias("hash"), "doc", "copy", "pos", F.col("run.sizes").alias("size"),
+        F.arrays_zip(F.col("run.end_hashes").alias("hash"), F.col("run.end_sizes").alias("size")).alias("ends"),
+    )
+    path = scratch_path(runs.sparkSession, "repeated-runs")
+    _occurrences(each).write.parquet(path)
+    found = runs.sparkSession.read.parquet(path)
+    ends = found.select("doc", "copy", "pos", F.explode("ends").alias("end"))
+    ends = _occurrences(ends.select(F.col("end.hash").alias("hash"), "doc", "copy", "pos", F.col("end.size").alias("size")))
+    later = found.drop("ends").unionByName(ends).filter("struct(doc, copy, pos) <> first")
+    return later.groupBy("doc", "copy").agg(F.array_sort(F.collect_set(F.struct("pos", "size"))).alias("cuts"))
 
 
 def substring_dedup(

@@ -83,6 +83,37 @@ def test_a_passage_stays_once(spark):
     assert all(len(words(t)) == 72 for t in kept if passage not in t)
 
 
+def every_run(texts):
+    """Numbers of the sentences in any run that has enough words and was seen before."""
+    first, runs = {}, []
+    for d, text in enumerate(texts):
+        w = [tuple(words(s)) for s in cut(text)]
+        for i in range(len(w)):
+            for j in range(i + 1, len(w) + 1):
+                if len(w[i]) >= sd.LONG_SENTENCE and j == i + 1 or j - i >= sd.RUN_SENTENCES and sum(map(len, w[i:j])) >= sd.RUN_WORDS:
+                    first.setdefault(tuple(w[i:j]), (d, i))
+                    runs.append((tuple(w[i:j]), d, i, j))
+    gone = [set() for _ in texts]
+    for key, d, i, j in runs:
+        if first[key] != (d, i):
+            gone[d].update(range(i, j))
+    return gone
+
+
+def test_a_passage_goes_to_its_last_sentence(spark):
+    rng = random.Random(12)
+    passages = [" ".join(sentence(rng, n) for n in (40, 5, 8, 6))]
+    passages += [" ".join(sentence(rng, rng.choice([1, 2, 4, 9, 24, 30, 55])) for _ in range(rng.randrange(2, 9))) for _ in range(30)]
+    texts = [p if k else f"{sentence(rng, 7)} {p} {sentence(rng, 8)}" for p in passages for k in (0, 1)]
+    texts += [f"{sentence(rng, 3)} {a} {b} {sentence(rng, 30)}" for a, b in zip(passages, passages[5:], strict=False)]
+    got = {r["doc_id"]: r for r in sd.substring_dedup(documents(spark, texts)).collect()}
+    assert got[1]["text"] == ""
+    for d, (text, gone) in enumerate(zip(texts, every_run(texts), strict=True)):
+        kept = "".join(s for i, s in enumerate(cut(text)) if i not in gone)
+        assert "".join(got[d]["text"].split()) == "".join(kept.split()), text
+        assert got[d]["n_removed"] == len(gone)
+
+
 def test_repeated_rows_null_ids_clashes_and_empty_tables(spark):
     rng = random.Random(11)
     one = prose(rng, 5)
