@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pulseframe.llm.words import blocks, map_rows
 
 # Elements and names of HTML.
-RAW = frozenset("script style noscript template textarea title iframe object svg math canvas select option".split())
+RAW = frozenset("script style noscript template textarea title iframe object svg math canvas select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
@@ -25,6 +25,10 @@ BLOCKS = frozenset(
 # What these hold is never main text.
 DROPPED = frozenset("nav footer aside form button dialog menu head fieldset label".split())
 CONTENT = frozenset(("article", "main"))
+# What a head can hold; anything else ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+# A marked element or form with more than this part of the page's words holds the page.
+MOST_WORDS = 0.75
 # Parts of a class, id or role that mark the same.
 MARKS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar widget ad ads adv advert adverts "
@@ -57,14 +61,18 @@ def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTRIBUTE.finditer(rest)} if rest else {}
 
 
+def _is_hidden(attributes: Mapping[str, str]) -> bool:
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
+        return True
+    return bool(re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I))
+
+
 def _is_dropped(name: str, attributes: Mapping[str, str], in_content: bool) -> bool:
     if name in DROPPED or name == "header" and not in_content:
         return True
     if not attributes:
         return False
-    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return True
-    if re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
+    if _is_hidden(attributes):
         return True
     names = [n for key in ("class", "id", "role") for n in attributes.get(key, "").split()]
     if name in CONTENT:
@@ -80,8 +88,40 @@ def tokens(html: str) -> Iterator[tuple[str, str]]:
 
     Kinds of text are ``word``, ``link word`` (in a link), ``content word`` (in an article or main
     element). A dropped element is one ``dropped`` token, whatever it holds; comments, scripts and
-    the like are none. Unclosed elements end with what holds them, or with the page.
+    the like are none. Unclosed elements end with what holds them, or with the page. A form or an
+    element with a mark that holds the page (its only article or main elements, or MOST_WORDS) is a
+    ``dropped`` token too, but what it holds is not dropped.
     """
+    held: list[dict] = []
+    found = list(_scan(html, frozenset(), held))
+    spared = _spared(held)
+    return _scan(html, spared, []) if spared else iter(found)
+
+
+def _spared(held: list[dict]) -> frozenset[int]:
+    """Places of the marked elements and forms that hold the page."""
+    content = [e for e in held if e["content"]]
+    marked = [e for e in held if not e["content"]]
+    if not marked or any(e["outside"] for e in content):
+        return frozenset()
+    page = max((e["page"] for e in held), default=0)
+    most = max(content, key=lambda e: e["end_words"] - e["words"], default=None)
+    return frozenset(
+        e["at"] for e in marked
+        if most and e["at"] < most["at"] < e["end"] or e["end_words"] - e["words"] > MOST_WORDS * page
+    )
+
+
+def _scan(html: str, spared: frozenset[int], held: list[dict]) -> Iterator[tuple[str, str]]:
+    """The tokens; ``held`` gets the places and words of marked elements, forms, articles and mains."""
+    words, records = 0, []  # records: what is noted of each open element
+
+    def pop() -> tuple[str, bool]:
+        record = records.pop()
+        if record is not None:
+            record["end"], record["end_words"] = at, words
+        return open_.pop()
+
     open_: list[tuple[str, bool]] = []  # name, and whether what it holds is dropped
     links = dropped = content = at = 0
     size = len(html)
@@ -92,6 +132,10 @@ def tokens(html: str) -> Iterator[tuple[str, str]]:
         m = _TOKEN.match(html, lt) if lt >= 0 else None
         if lt >= 0 and m is None:  # a bare "<" is text
             text, stop = html[at : lt + 1], lt + 1
+        if text:
+            words += len(text.split())
+            if open_ and open_[-1] == ("head", True) and text.strip():
+                dropped -= pop()[1]
         if text and not dropped:
             yield ("content word" if content else "link word" if links else "word"), text
         at = stop
@@ -103,21 +147,25 @@ def tokens(html: str) -> Iterator[tuple[str, str]]:
             continue
         name = name.lower()
         if not m["close"]:  # cut off within a tag
-            return
+            break
         if m["end"]:
             if name in INLINE:
                 links = max(0, links - (name == "a"))
             elif any(n == name for n, _ in open_):
                 while True:
-                    n, gone = open_.pop()
+                    n, gone = pop()
                     dropped -= gone
                     content -= n in CONTENT and not gone
                     if n == name:
                         break
                 links = 0
-            if not dropped:
+            if not dropped and name != "option":
                 yield "tag", "/" + name
             continue
+        if open_ and (
+            open_[-1] == ("head", True) and name not in IN_HEAD or open_[-1] == ("option", True) and name not in INLINE
+        ):
+            dropped -= pop()[1]
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             if not m["rest"].endswith("/") or name not in ("svg", "iframe", "object"):
@@ -134,16 +182,18 @@ def tokens(html: str) -> Iterator[tuple[str, str]]:
             if not dropped:
                 yield "tag", name
             continue
-        gone = _is_dropped(name, _attributes(m["rest"]), content > 0)
+        attributes = _attributes(m["rest"])
+        gone = name == "option" or _is_dropped(name, attributes, content > 0)
         if name == "p" or name in ("li", "td", "tr", "th", "dd", "dt", "option"):
             # these end when the next one starts; nothing hangs on it unless they are dropped
             if gone or open_ and open_[-1] == (name, True):
                 if open_ and open_[-1][0] == name:
-                    dropped -= open_.pop()[1]
+                    dropped -= pop()[1]
                 if gone:
                     if not dropped:
-                        yield "dropped", name
+                        yield ("tag" if name == "option" else "dropped"), name
                     open_.append((name, True))
+                    records.append(None)
                     dropped += 1
                     continue
             if not dropped:
@@ -151,9 +201,20 @@ def tokens(html: str) -> Iterator[tuple[str, str]]:
             continue
         if not dropped:
             yield ("dropped" if gone else "tag"), name
+        marked = gone and name not in CONTENT and (name == "form" or name not in DROPPED and name != "header")
+        marked = marked and not _is_hidden(attributes)
+        gone = gone and lt not in spared
         open_.append((name, gone))
+        records.append(None)
+        if marked or name in CONTENT and not gone:
+            records[-1] = {"at": lt, "words": words, "content": not marked, "outside": not dropped}
+            held.append(records[-1])
         dropped += gone
         content += name in CONTENT and not gone
+    while open_:
+        pop()
+    for record in held:
+        record["page"] = words
 
 
 def _kinds(html: str) -> list[tuple[str, str, str, int]]:

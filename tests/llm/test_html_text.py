@@ -38,6 +38,24 @@ def test_cases(page, want):
     assert h.main_text(page) == want
 
 
+WHOLE = [
+    ("<html><head><title>t</title><body><p>text of it", "text of it"),
+    ("<head><meta charset=utf-8><title>t</title><p>text of it", "text of it"),
+    ("<head><title>t</title>text of it", "text of it"),
+    ("<datalist><option value=a>one<option>two</datalist><p>text of it</p>", "text of it"),
+    ("<datalist><optgroup><option>one<optgroup><option>two<p>text of it</p>", "text of it"),
+    ('<div class="content-sidebar-wrap"><main><p>text of it</p></main><div class="sidebar"><article>No</article></div></div>', "text of it"),
+    ('<div class="post-with-sidebar"><p>this is the text of it</p></div>', "this is the text of it"),
+    ('<body class="a"><div id="layout-sidebar"><div class="post"><p>text of it</p></div></div>', "text of it"),
+    ('<form id="aspnetForm"><nav>menu</nav><div><p>this is the text of it</p></div></form>', "this is the text of it"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), WHOLE)
+def test_no_article_is_lost_with_what_holds_it(page, want):
+    assert h.main_text(page) == want
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r["page_id"]: r for r in queries.QUERIES["op2_html_extraction"](spark, SF).collect()}
