@@ -44,6 +44,18 @@ def test_small_visits_still_recall_clustered_vectors(spark):
     assert hits >= 0.9 * 400
 
 
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.1", "/root/testdata/check_s"])
+def test_recall_of_the_visited_share_on_given_vectors(spark, sf):
+    """Without the floor, under which a small table is visited whole."""
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
+    table = vectors.toPandas()
+    ids, x = table["vec_id"].to_numpy(), np.stack(table["embedding"]).astype(float)
+    asked = ids[ids % 100 == 0]
+    got = mi.neighbours(vectors, vectors.filter("vec_id % 100 = 0"), least_visited=1).toPandas()
+    hits = sum(len({i for i, _ in exact(ids, x, q, x[ids == q][0])} & set(got[got["query_id"] == q]["vec_id"])) for q in asked)
+    assert hits >= 0.9 * 10 * len(asked)
+
+
 def test_blocks_of_a_hot_cell(spark, monkeypatch):
     """A third of all rows share one vector: the nearest are those of the smallest ids."""
     monkeypatch.setattr(mi, "BLOCK_ENTRIES", 16)
