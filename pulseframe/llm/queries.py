@@ -12,6 +12,7 @@ from pulseframe.llm import (
     html_text,
     language,
     lm_score,
+    merkle,
     mixing,
     multi_index,
     near_dedup,
@@ -160,3 +161,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op11_merkle_manifest")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document, and the root that it leads to after half of the texts lost their line feeds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    changed = F.replace("text", F.lit("\n"), F.lit(""))
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    docs = docs.select(
+        "doc_id", "source",
+        merkle.leaf(*fields, F.col("text")).alias("leaf"),
+        merkle.leaf(*fields, F.when(crc_mod("doc_id", 2) == 0, changed).otherwise(F.col("text"))).alias("now"),
+    )
+    proofs = merkle.manifest(docs, "leaf", "source", "doc_id", ("now",))
+    found = proofs.withColumn("folded", merkle.fold(F.col("now"), F.col("proof")))
+    return found.select(
+        "doc_id",
+        *[merkle.as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        merkle.as_hex(merkle.proof_digest(F.col("proof"))).alias("proof_sha256"),
+        merkle.as_hex(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
