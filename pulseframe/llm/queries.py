@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.llm import (
     decontaminate,
+    fill_middle,
     html_text,
     language,
     lm_score,
@@ -16,10 +17,12 @@ from pulseframe.llm import (
     mixing,
     multi_index,
     near_dedup,
+    secret_scan,
     substring_dedup,
     token_counts,
     url_filter,
 )
+from pulseframe.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -183,3 +186,155 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.as_hex(F.col("folded")).alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
+
+
+@query("op12_fill_in_middle")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's output, and of the text rebuilt from it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_middle.digests(fill_middle.output_pieces(docs))
+
+
+@query("op13_secret_scan")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, through a new ledger."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, ["doc_id"], scratch_path(spark, "secret-ledger"), "first")
+    findings = F.col("findings")
+    base = [r.kind for r in secret_scan.BASE]
+    return found.select(
+        "doc_id",
+        *[secret_scan.count(findings, k).alias(f"n_{k}") for k in base],
+        F.sha2(secret_scan.listed(findings, base), 256).alias("base_sha256"),
+        secret_scan.listed(findings, [r.kind for r in secret_scan.RULES]).alias("spans"),
+    )
+
+
+ORACLE["op11_merkle_manifest"] = r"""
+with recursive docs as (
+  select doc_id, source, row_number() over () as row_no,
+         [cast(doc_id as varchar), source, lang, cast(n_chars as varchar), text] as v,
+         list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+           lambda c: list_transform(range(8), lambda k: (unicode(c) >> k) & 1)))),
+           lambda crc, b: xor(crc >> 1, case when (crc & 1) <> b then 3988292384 else 0 end)) as crc
+  from documents
+), hashed as (
+  select doc_id, source, row_no,
+         sha256(array_to_string(list_transform(v, lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) as leaf,
+         sha256(array_to_string(list_transform(v[:4] || [case when xor(crc, 4294967295) % 2 = 0 then replace(v[5], chr(10), '') else v[5] end],
+                                               lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) as now
+  from docs
+), leaves as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+         count(*) over (partition by source) as n
+  from hashed
+), tree as (
+  select source, 0 as level, pos, n, leaf as digest from leaves
+  union all
+  select source, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by pos))
+  from tree where n > 1 group by source, level, pos // 3, n
+), subroots as (
+  select source, level as height, digest, row_number() over (order by encode(source) nulls first) - 1 as pos,
+         count(*) over () as n
+  from tree where n = 1
+), top as (
+  select 0 as level, pos, n, digest from subroots
+  union all
+  select level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by pos))
+  from top where n > 1 group by level, pos // 3, n
+), runs as (
+  select source, false as top, level, pos // 3 as run, list(digest order by pos) as kids
+  from tree where n > 1 group by source, level, pos // 3
+  union all
+  select null, true, level, pos // 3, list(digest order by pos) from top where n > 1 group by level, pos // 3
+), steps as (
+  select row_no, level, (pos // cast(3 ** level as bigint)) % 3 as i, kids
+  from leaves join runs on not top and leaves.source is not distinct from runs.source
+                      and pos // cast(3 ** (level + 1) as bigint) = run
+  union all
+  select row_no, height + level, (s.pos // cast(3 ** level as bigint)) % 3, kids
+  from leaves join subroots s on leaves.source is not distinct from s.source
+              join runs on top and s.pos // cast(3 ** (level + 1) as bigint) = run
+), proofs as (
+  select row_no, list(array_to_string(kids[:i], '') order by level) as before,
+         list(array_to_string(kids[i + 2:], '') order by level) as after
+  from steps group by row_no
+), folds as (
+  select row_no, 0 as level, now as digest, coalesce(before, []) as before, coalesce(after, []) as after
+  from leaves left join proofs using (row_no)
+  union all
+  select row_no, level + 1, sha256(before[level + 1] || digest || after[level + 1]), before, after
+  from folds where level < len(before)
+)
+select doc_id, leaf, s.digest as subroot, t.digest as root,
+       sha256(array_to_string(list_transform(list_zip(f.before, f.after), lambda p: p[1] || p[2]), '')) as proof_sha256,
+       f.digest as folded_root, f.digest = t.digest as verified
+from leaves join subroots s on leaves.source is not distinct from s.source
+            join (select digest from top where n = 1) t on true
+            join folds f on f.row_no = leaves.row_no and f.level = len(f.before)
+"""
+
+
+ORACLE["op12_fill_in_middle"] = r"""
+with units as (
+  select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u
+  from documents
+), drawn as (
+  select *, len(u) as n, [cast('0x' || h[8 * k + 1:8 * k + 8] as bigint) for k in range(4)] as d from units
+), placed as (
+  select *, least(d[1] % (n + 1), d[2] % (n + 1)) as a, greatest(d[1] % (n + 1), d[2] % (n + 1)) as b,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or d[3] % 100 >= 50 then 'plain'
+              when d[4] % 100 < 80 then 'spm' else 'psm' end as form
+  from drawn
+), parts as (
+  select *, array_to_string(u[:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:], '') as s
+  from placed
+), made as (
+  select doc_id, n, form, p, m, case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                                          else '<S>' || s || '<P>' || p || '<M>' || m end as o
+  from parts
+), back as (
+  select *, instr(o, '<P>') as ip, instr(o, '<S>') as js, instr(o, '<M>') as im from made
+)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+       case when form <> 'plain' then length(m) end as middle_chars, sha256(o) as output_sha256,
+       sha256(case form when 'plain' then o when 'psm' then substr(o, 4, js - 4) || substr(o, im + 3) || substr(o, js + 3, im - js - 3)
+              else substr(o, ip + 3, im - ip - 3) || substr(o, im + 3) || substr(o, 4, ip - 4) end) as restored_sha256
+from back
+"""
+
+
+ORACLE["op13_secret_scan"] = r"""
+with docs as (
+  select doc_id, row_number() over () as row_no, coalesce(text, '') as t from documents
+), rules as (
+  select * from (values
+    ('assign', 0, '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+    ('access', 1, '(AKIA[A-Z0-9]+)', 1, 20),
+    ('hex', 2, '([0-9a-f]+)', 1, 24),
+    ('pem', 3, '(-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----)', 1, 1),
+    ('jwt', 4, '(eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})', 1, 1)
+  ) as r(kind, rank, pattern, part, least)
+), matches as (
+  select row_no, kind, rank, least, string_split_regex(t, pattern) as gaps, regexp_extract_all(t, pattern, 0) as whole,
+         case part when 2 then regexp_extract_all(t, pattern, 2) else regexp_extract_all(t, pattern, 1) end as parts
+  from docs, rules
+), each as (
+  select row_no, kind, rank, least, unnest(range(1, len(whole) + 1)) as i, unnest(whole) as w, unnest(parts) as p,
+         unnest(gaps[:len(whole)]) as g
+  from matches
+), spans as (
+  select row_no, kind, rank, len(p) >= least as good,
+         sum(len(g) + len(w)) over (partition by row_no, kind order by i) - len(w) as start, len(w) as size
+  from each
+), found as (
+  select row_no, kind, rank, start, kind || ':' || cast(start as bigint) || ':' || cast(start + size as bigint) as span
+  from spans where good
+)
+select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+       count(*) filter (kind = 'hex') as n_hex,
+       sha256(coalesce(string_agg(span, ',' order by start, rank) filter (rank < 3), '')) as base_sha256,
+       coalesce(string_agg(span, ',' order by start, rank), '') as spans
+from docs left join found using (row_no) group by row_no, doc_id
+"""
