@@ -1,10 +1,12 @@
 """Parquet tables: append, replace and upsert of touched partitions.
 
 A rewrite reads the table it replaces, so it goes through a staged copy next to the table. When the
-copy is complete, a small plan file is written into it; then the table is replaced from the copy,
-and at last the copy is removed. A run that stops in between leaves the plan behind: whoever opens
-the table next (:func:`read_table`, :func:`upsert`, :func:`recover`) finishes the replacement first.
-A copy without a plan was not complete, and the table is still whole.
+copy is complete, a small plan file is written into it; then its folders or files are renamed into the
+table, and at last the rest of the copy is removed. A run that stops in between leaves the plan
+behind: whoever opens the table next (:func:`read_table`, :func:`upsert`, :func:`recover`) finishes
+the replacement first. A copy without a plan was not complete, and the table is still whole.
+
+A partitioned table without rows holds one file without rows, so that its schema can be read.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pulseframe.operators.incremental import align_schema, fill_missing, merge_u
 # Not read as data, because of the underscore.
 PLAN = "_rewrite_plan"
 _STAGED = "__staged"
+# Fixed value: the folder of rows that have no partition value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def month_of(c: Column | str) -> Column:
@@ -56,10 +60,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     Any trouble with reaching the path is an error, never taken for absence.
     """
     recover(spark, path)
+    return bool(_entries(spark, path))
+
+
+def _entries(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, without hidden files; none if there is no folder."""
     fs, where = _files(spark, path)
     if not fs.exists(where):
-        return False
-    return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(where))
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(where)]
+    return [n for n in names if not n.startswith(("_", "."))]
 
 
 def last_partition(spark: SparkSession, path: str, column: str) -> str | None:
@@ -108,6 +118,17 @@ def replace(
     writer = _laid_out(df, partition_by, sort_by).write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     writer.parquet(path)
+    if not path.endswith(_STAGED):
+        _keep_schema(df.sparkSession, df.schema, path, partition_by)
+
+
+def _keep_schema(spark: SparkSession, schema: T.StructType, path: str, partition_by: Sequence[str]) -> None:
+    """Put a file without rows into a partitioned table that has none; a plain one gets it from Spark."""
+    if not partition_by or _entries(spark, path):
+        return
+    fields = T.StructType([f for f in schema.fields if f.name not in partition_by])
+    folder = "/".join(f"{c}={_NO_VALUE}" for c in partition_by)
+    spark.createDataFrame([], fields).coalesce(1).write.parquet(f"{path.rstrip('/')}/{folder}")
 
 
 def rewrite(
@@ -129,6 +150,7 @@ def rewrite(
     plan = {
         "partition_by": list(partition_by),
         "by_partition": touched is not None,
+        "parts": _entries(spark, staged),
         "gone": gone,
         "schema": df.schema.jsonValue(),
     }
@@ -158,19 +180,27 @@ def _read_plan(spark: SparkSession, staged: str) -> dict | None:
 def recover(spark: SparkSession, path: str) -> bool:
     """Finish a rewrite whose staged copy is complete; True if there was one.
 
-    Every step can be repeated, so a run that stops here as well leaves the same work behind.
+    Every step can be repeated, so a run that stops here as well leaves the same work behind: a part
+    that is not in the copy any more has been moved.
     """
-    staged = _staged_path(path)
+    staged, path = _staged_path(path), path.rstrip("/")
     plan = _read_plan(spark, staged)
     if plan is None:
         return False
-    copy = spark.read.schema(T.StructType.fromJson(plan["schema"])).parquet(staged)
-    mode = "dynamic" if plan["by_partition"] else "static"
-    writer = copy.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    writer.partitionBy(*plan["partition_by"]).parquet(path)
-    for value in plan["gone"]:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        _delete(spark, f"{path.rstrip('/')}/{plan['partition_by'][0]}={name}")
+    fs, where = _files(spark, path)
+    fs.mkdirs(where)
+    old = [f"{plan['partition_by'][0]}={_NO_VALUE if v is None else v}" for v in plan["gone"]]
+    if not plan["by_partition"]:
+        old += [n for n in _entries(spark, path) if n not in plan["parts"]]
+    for name in old:
+        _delete(spark, f"{path}/{name}")
+    waiting = set(_entries(spark, staged))
+    for name in plan["parts"]:
+        if name in waiting:
+            _delete(spark, f"{path}/{name}")
+            if not fs.rename(_files(spark, f"{staged}/{name}")[1], _files(spark, f"{path}/{name}")[1]):
+                raise OSError(f"cannot move {staged}/{name} into {path}")
+    _keep_schema(spark, T.StructType.fromJson(plan["schema"]), path, plan["partition_by"])
     _delete(spark, f"{staged}/{PLAN}")
     _delete(spark, staged)
     return True
@@ -236,6 +266,9 @@ def _merge_into(
         rewrite(merge(target, source, keys), path)
         return
     columns = [partition_by]
+    # of a table without rows the reader cannot tell the kind of the partition column
+    kind = source.schema[partition_by].dataType
+    target = target.withColumn(partition_by, F.col(partition_by).cast(kind))
 
     touched = source.select(partition_by)
     if not partition_is_part_of_key:
@@ -251,6 +284,5 @@ def _merge_into(
     scope = part.isin([v for v in values if v is not None])
     if None in values:
         scope = scope | part.isNull()
-    kind = target.schema[partition_by].dataType
     known = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(partition_by, kind)]))
     rewrite(merge(target.filter(scope), source, keys), path, columns, known)

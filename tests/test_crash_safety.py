@@ -149,3 +149,46 @@ def test_trouble_is_not_absence(spark, tmp_path):
     assert tables.table_exists(spark, str(tmp_path / "broken"))
     with pytest.raises(Exception, match="(?i)parquet"):
         tables.upsert(rows(spark, *BATCH), str(tmp_path / "broken"), ["k"])
+
+
+@pytest.mark.parametrize("by", [None, "month"])
+def test_stopped_between_two_moves(spark, tmp_path, monkeypatch, by):
+    """Some parts of the copy are in the table, the others are not."""
+    path = str(tmp_path / "t")
+    tables.upsert(rows(spark, *START), path, ["k"], by)
+    batch = [(2, "B", 202401), (3, "C", 202402), (4, "d", 202403)]
+    whole = tables._delete
+    for k in range(4):
+        deleted = []
+
+        def stop(spark, at, deleted=deleted, k=k):
+            if at.startswith(f"{path}/"):
+                deleted.append(at)
+                if len(deleted) > k:
+                    raise Stop
+            whole(spark, at)
+
+        with monkeypatch.context() as m:
+            m.setattr(tables, "_delete", stop)
+            try:
+                tables.upsert(rows(spark, *batch), path, ["k"], by)
+            except Stop:
+                pass
+        assert content(spark, path) == [START[0], *batch]
+        assert not (tmp_path / "t__staged").exists()
+
+
+def test_a_partitioned_table_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    none = rows(spark, *START).limit(0)
+    tables.replace(none, path, ["month"])
+    assert tables.table_exists(spark, path) and spark.read.parquet(path).columns == ["k", "v", "month"]
+    assert content(spark, path) == []
+    tables.upsert(none, path, ["k"], "month")
+    assert content(spark, path) == []
+    tables.upsert(rows(spark, *START), path, ["k"], "month", partition_is_part_of_key=True)
+    assert content(spark, path) == START
+    assert spark.read.parquet(path).schema["month"].dataType.simpleString() == "int"
+    # a rewrite that leaves nothing
+    tables.rewrite(spark.read.parquet(path).filter("k > 9"), path, ["month"])
+    assert content(spark, path) == [] and spark.read.parquet(path).columns == ["k", "v", "month"]
