@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pulseframe.catalog import inputs
 from pulseframe.catalog.registry import Registry
@@ -20,6 +24,8 @@ FRESH_AS_OF = "2024-02-02"
 LATENESS_DAYS = 10
 # Added to the user ids of the late batch.
 OTHER_USERS = 1_000_000
+# End of the first of three batches.
+EARLY_END = "2024-01-16"
 
 
 def _as_of() -> Column:
@@ -302,13 +308,14 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.parquet(sf_dir)
 
 
-def _batches(spark: SparkSession, *parts: DataFrame) -> DataFrame:
-    """Stream whose batches are the given frames, in their order: a file each, one after the other."""
+def _in_batches(
+    spark: SparkSession, parts: Sequence[DataFrame], start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Run a stream whose batches are the given frames: each lands, and the stream goes on where it was."""
     path = scratch_path(spark, "batches")
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
-    reader = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(path)
+        part.write.mode("append").parquet(path)
+        start(spark.readStream.schema(part.schema).parquet(path)).awaitTermination()
 
 
 @query("stream_ingest")
@@ -326,27 +333,47 @@ def _(spark, sf_dir):
     root = scratch_path(spark, "upsert")
     rows = inputs.raw(spark, sf_dir, "cycle")
     third = F.pmod(F.xxhash64("user_id", "updated_at"), F.lit(3))
-    stream = _batches(spark, *[rows.filter(third == k) for k in range(3)])
-    jobs.staging_stream(
-        stream, SOURCES["cycle"], f"{root}/stg", f"{root}/check"
-    ).awaitTermination()
+    _in_batches(
+        spark,
+        [rows.filter(third == k) for k in range(3)],
+        lambda stream: jobs.staging_stream(stream, SOURCES["cycle"], f"{root}/stg", f"{root}/check"),
+    )
     return spark.read.parquet(f"{root}/stg").drop(jobs.MONTH)
 
 
+def _arrivals_in(spark: SparkSession, parts: Sequence[DataFrame]) -> str:
+    """First arrivals by user and type of events; returns the folder of the tables."""
+    root = scratch_path(spark, "late")
+    lateness = dt.timedelta(days=LATENESS_DAYS)
+    _in_batches(
+        spark,
+        parts,
+        lambda stream: jobs.first_arrivals_stream(
+            stream, root, f"{root}/check", ["user_id", "event_type"], "ts", lateness
+        ),
+    )
+    return root
+
+
+def _events_of(spark: SparkSession, sf_dir: str, moved: int) -> DataFrame:
+    events = inputs.read(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    return events.withColumn("user_id", F.col("user_id") + moved * OTHER_USERS)
+
+
 @query("stream_late_data")
 def _(spark, sf_dir):
     """First arrivals by key. The second batch has the same times again under other users; what is
     older than the lateness by then is not taken."""
-    root = scratch_path(spark, "late")
-    first = inputs.read(spark, sf_dir, "events").select("user_id", "event_type", "ts")
-    second = first.withColumn("user_id", F.col("user_id") + OTHER_USERS)
-    stream = jobs.drop_repeats(
-        _batches(spark, first, second), ["user_id", "event_type"], "ts", f"{LATENESS_DAYS} days"
-    )
-    jobs.append_stream(
-        stream.select("user_id", "event_type"), f"{root}/out", f"{root}/check"
-    ).awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    root = _arrivals_in(spark, [_events_of(spark, sf_dir, k) for k in range(2)])
+    return jobs.arrivals(spark, root).select("user_id", "event_type")
+
+
+@query("stream_late_rows")
+def _(spark, sf_dir):
+    """Late rows of three batches: events up to a time, then all of them under other users, twice."""
+    early = _events_of(spark, sf_dir, 0).filter(F.col("ts") < EARLY_END)
+    root = _arrivals_in(spark, [early, _events_of(spark, sf_dir, 1), _events_of(spark, sf_dir, 2)])
+    return jobs.late_arrivals(spark, root).select("user_id", "event_type", "ts", "batch")
 
 
 @query("stream_daily_workout")
@@ -355,13 +382,18 @@ def _(spark, sf_dir):
     root = scratch_path(spark, "totals")
     rows = inputs.raw(spark, sf_dir, "workout")
     year = F.year("created_at")
-    stream = _batches(
-        spark, rows.filter(year <= 2021), rows.filter(year.between(2022, 2023)), rows.filter(year >= 2024)
-    )
     spec = staging.staging_spec(SOURCES["workout"])
-    typed = staging.project(stream, spec.casts, spec.overrides)
-    totals = jobs.daily_totals(typed, "user_id", "created_at", facts.workout_totals())
-    jobs.totals_stream(totals, f"{root}/out", f"{root}/check", "user_id").awaitTermination()
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        typed = staging.project(stream, spec.casts, spec.overrides)
+        totals = jobs.daily_totals(typed, "user_id", "created_at", facts.workout_totals())
+        return jobs.totals_stream(totals, f"{root}/out", f"{root}/check", "user_id")
+
+    _in_batches(
+        spark,
+        [rows.filter(year <= 2021), rows.filter(year.between(2022, 2023)), rows.filter(year >= 2024)],
+        start,
+    )
     return spark.read.parquet(f"{root}/out").drop(jobs.MONTH)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pulseframe.catalog import inputs, operator_queries, source_queries
+from pulseframe.catalog import inputs, model_queries, operator_queries, source_queries
 from pulseframe.plans import checks, pipeline, staging
 from pulseframe.sources.specs import SOURCES
 
@@ -693,6 +693,12 @@ def _streams_and_documented() -> dict[str, str]:
         "stream_late_data": "select distinct user_id, event_type from events union all "
         "select distinct user_id + 1000000, event_type from events "
         "where ts > (select max(ts) from events) - interval 10 day",
+        "stream_late_rows": " union all ".join(
+            f"select user_id + {k * model_queries.OTHER_USERS} as user_id, event_type, "
+            f"cast(ts as varchar) as ts, {k} as batch from events where ts <= "
+            f"(select max(ts) from events where {known}) - interval {model_queries.LATENESS_DAYS} day"
+            for k, known in ((1, f"ts < '{model_queries.EARLY_END}'"), (2, "true"))
+        ),
         "stream_daily_workout": "select "
         + out(WORKOUT_TOTALS.replace("workout_date:t", "day:t"))
         + " from workout_record_days",

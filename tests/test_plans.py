@@ -137,4 +137,5 @@ WRITES = {
     "stream_freshness",
     "stream_ingest",
     "stream_late_data",
+    "stream_late_rows",
 }
