@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pulseframe.catalog import inputs
 from pulseframe.catalog.registry import Registry
 from pulseframe.catalog.source_queries import page_texts
-from pulseframe.operators import quality
+from pulseframe.operators import incremental, quality
 from pulseframe.plans import checks, dims, facts, pipeline, records, reports, staging
 from pulseframe.session import scratch_path
 from pulseframe.sources.specs import SOURCES
@@ -22,6 +22,8 @@ query = Registry()
 
 FRESH_AS_OF = "2024-02-02"
 LATENESS_DAYS = 10
+# Where the second part of incremental runs begins: in the middle of a day, so that the day is in both.
+INCREMENT_FROM = "2025-06-15 12:00:00"
 # Added to the user ids of the late batch.
 OTHER_USERS = 1_000_000
 # End of the first of three batches.
@@ -87,6 +89,22 @@ def _(spark, sf_dir):
     return inputs.percentiles(spark, sf_dir)
 
 
+@query("inc_recovery_percentiles")
+def _(spark, sf_dir):
+    """Percentiles of all days but those of the last records, written; then those that the rest changes, merged."""
+    staged = inputs.staged(spark, sf_dir, "recovery")
+    dimensions = inputs.users(spark, sf_dir), dims.dim_date(spark)
+    path = scratch_path(spark, "percentiles")
+    first = facts.recovery_days(staged.filter(F.col("created_at") < INCREMENT_FROM), *dimensions)
+    facts.rank_days(first, keep=facts.MEASURES).write.parquet(path)
+    stored = spark.read.parquet(path)
+    days = staged.withColumn("day", F.to_date("created_at"))
+    fresh = days.filter(F.col("created_at") >= INCREMENT_FROM).select("user_id", "day").distinct()
+    new = facts.recovery_days(days.join(fresh, ["user_id", "day"], "left_semi"), *dimensions)
+    changed = facts.renew_percentiles(stored, new)
+    return incremental.merge_upsert(stored, changed, ["user_sk", "date_sk"]).drop(*facts.MEASURES)
+
+
 @query("fact_daily_recovery")
 def _(spark, sf_dir):
     return inputs.fact_recovery(spark, sf_dir).drop("recovery_sk")
@@ -111,7 +129,7 @@ def _(spark, sf_dir):
     root = scratch_path(spark, "backfill")
     for source in ("recovery", "sleep", "user"):
         inputs.raw(spark, sf_dir, source).write.parquet(f"{root}/raw_{source}")
-    return pipeline.backfill_recovery(spark, root, inputs.AS_OF_DAY)
+    return pipeline.backfill_recovery(spark, root)
 
 
 # Reports

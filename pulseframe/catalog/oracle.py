@@ -484,6 +484,7 @@ def _models() -> dict[str, str]:
         "select user_sk, date_sk, recovery_score_percentile, hrv_percentile, rhr_percentile, "
         f"skin_temp_celsius, {out('skin_temp_deviation:r')}, days_of_history from percentiles"
     )
+    q["inc_recovery_percentiles"] = q["int_recovery_percentiles"]
     q["fact_daily_recovery"] = f"select {out(RECOVERY_COLUMNS)} from fact_recovery"
     q["fact_daily_strain"] = f"select {out(STRAIN_COLUMNS)} from fact_strain_plain"
     for name, columns in METRIC_COLUMNS.items():

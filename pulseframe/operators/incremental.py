@@ -75,6 +75,25 @@ def merge_partial(
     return joined.select(*cols)
 
 
+def update_matched(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]
+) -> DataFrame:
+    """Matched keys take the ``update`` columns of the source; source rows without a match are left out."""
+    new = source.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.struct(*update).alias("_new")
+    )
+    same = [F.col(k) == F.col(f"_key_{k}") for k in keys]
+    joined = target.join(new, same, "left")
+    return joined.select(
+        *[
+            F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
+            if c in update
+            else c
+            for c in target.columns
+        ]
+    )
+
+
 def merge_newest(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:

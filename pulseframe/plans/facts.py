@@ -10,6 +10,7 @@ the reduction; both are on keys, so the order does not change the result.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions.compat import hash64_key, minutes_between, surrogate_key
 from pulseframe.operators import series
 from pulseframe.operators.dedup import latest_per_key
-from pulseframe.operators.incremental import after_watermark, since_horizon
+from pulseframe.operators.incremental import after_watermark, merge_upsert, since_horizon
 
 # Gates and frames of the percentile table.
 BASELINE_ROWS = 29
@@ -41,19 +42,8 @@ def _with_keys(df: DataFrame, day: str, dim_user: DataFrame, dim_date: DataFrame
     return df.join(days, day).join(users, "user_id")
 
 
-def recovery_percentiles(
-    stg_recovery: DataFrame,
-    dim_user: DataFrame,
-    dim_date: DataFrame,
-    as_of: Column | None = None,
-    horizon_days: int = HORIZON_DAYS,
-) -> DataFrame:
-    """Skin-temperature baseline and percentiles per user and day.
-
-    Rows without a score or a skin temperature take no part. Ranks and frames
-    always see the full history; with ``as_of`` only the last ``horizon_days``
-    are returned, for an upsert on ``(user_sk, date_sk)``.
-    """
+def recovery_days(stg_recovery: DataFrame, dim_user: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The measures of each user and day: what is ranked. Rows without a score or a skin temperature take no part."""
     rows = stg_recovery.filter(
         F.col("recovery_score").isNotNull() & F.col("skin_temp_celsius").isNotNull()
     ).select(
@@ -71,44 +61,92 @@ def recovery_percentiles(
         rows, ["user_id", "recovery_date"], ["updated_at", "created_at", "cycle_id"]
     )
     keyed = _with_keys(daily, "recovery_date", dim_user, dim_date)
+    return keyed.select("user_id", "user_sk", "date_sk", *MEASURES, "skin_temp_celsius")
 
-    # Frames by user_id, as the join left the rows partitioned; it is one to one
-    # with user_sk, so no further shuffle is needed.
-    user = "user_id"
+
+# What is ranked, with the name of its rank and whether the greatest value has rank 0.
+RANKS = {
+    "recovery_score": ("recovery_score_percentile", False),
+    "hrv_rmssd": ("hrv_percentile", False),
+    "resting_heart_rate": ("rhr_percentile", True),
+}
+MEASURES = tuple(RANKS)
+RANKED = [rank for rank, _ in RANKS.values()]
+PERCENTILES = ["user_sk", "date_sk", *RANKED, "skin_temp_celsius", "skin_temp_deviation", "days_of_history"]
+
+
+def rank_days(days: DataFrame, user: str = "user_sk", keep: Sequence[str] = ()) -> DataFrame:
+    """Percentiles and skin-temperature baseline of one row per user and day, over each user's full series.
+
+    ``keep`` names further columns.
+    """
     before = series.previous_rows(BASELINE_ROWS, user)
     temp = F.col("skin_temp_celsius").cast("double")
-    ranks = {
-        "recovery_score_percentile": series.rank_percentile("recovery_score", user=user),
-        "hrv_percentile": series.rank_percentile("hrv_rmssd", user=user),
-        "rhr_percentile": series.rank_percentile("resting_heart_rate", True, user),
-    }
-    measured = keyed.select(
+    measured = days.select(
         "user_sk",
         "date_sk",
-        "recovery_date",
         "skin_temp_celsius",
+        *keep,
         F.avg(temp).over(before).alias("_baseline"),
         F.count(temp).over(before).alias("_baseline_rows"),
         series.rows_so_far(HISTORY_ROWS, user).alias("days_of_history"),
-        *[rank.alias(name) for name, rank in ranks.items()],
+        *[series.rank_percentile(c, down, user).alias(name) for c, (name, down) in RANKS.items()],
     )
-    if as_of is not None:
-        measured = since_horizon(measured, "recovery_date", as_of, horizon_days)
-
     ranked = F.col("days_of_history") >= HISTORY_MIN_ROWS
     return measured.select(
         "user_sk",
         "date_sk",
-        *[F.when(ranked, F.col(c)).alias(c) for c in ranks],
+        *[F.when(ranked, F.col(c)).alias(c) for c in RANKED],
         "skin_temp_celsius",
         F.when(
             F.col("_baseline_rows") >= BASELINE_MIN_ROWS,
             F.round(temp - F.col("_baseline"), 2),
         ).alias("skin_temp_deviation"),
         "days_of_history",
+        *keep,
     )
 
 
+def recovery_percentiles(
+    stg_recovery: DataFrame,
+    dim_user: DataFrame,
+    dim_date: DataFrame,
+    as_of: Column | None = None,
+    horizon_days: int = HORIZON_DAYS,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Skin-temperature baseline and percentiles per user and day.
+
+    Ranks and frames always see the full history; with ``as_of`` only the last
+    ``horizon_days`` are returned.
+    """
+    # Frames by user_id, as the join left the rows partitioned; it is one to one
+    # with user_sk, so no further shuffle is needed.
+    ranked = rank_days(recovery_days(stg_recovery, dim_user, dim_date), "user_id", keep)
+    if as_of is None:
+        return ranked
+    day = F.to_date(F.col("date_sk").cast("string"), "yyyyMMdd")
+    return since_horizon(ranked.withColumn("_day", day), "_day", as_of, horizon_days).drop("_day")
+
+
+def renew_percentiles(stored: DataFrame, new_days: DataFrame) -> DataFrame:
+    """Rows of a percentile table that new days change, whatever their age.
+
+    ``stored`` has one row per user and day, with the measures; so has ``new_days``, whose rows
+    replace stored ones of the same day. The table is its own state: a rank depends on all days of
+    a user, so of users with new days the stored rows are read and ranked again, of others none is.
+    Rows that come out as they were stored are left out.
+    """
+    keys = ["user_sk", "date_sk"]
+    touched = stored.join(new_days.select("user_sk").distinct(), "user_sk", "left_semi")
+    columns = [*keys, *MEASURES, "skin_temp_celsius"]
+    held = touched.select(*columns, F.struct(*PERCENTILES, *MEASURES).alias("_stored"))
+    added = new_days.select(*columns, F.lit(None).cast(held.schema["_stored"].dataType).alias("_stored"))
+    ranked = rank_days(merge_upsert(held, added, keys), keep=[*MEASURES, "_stored"])
+    same = F.struct(*PERCENTILES, *MEASURES).cast(held.schema["_stored"].dataType).eqNullSafe(F.col("_stored"))
+    return ranked.filter(~same).drop("_stored")
+
+
 def daily_sleep(stg_sleep: DataFrame) -> DataFrame:
     """The sleep of each user and day: nights before naps, then the newest."""
     rows = stg_sleep.select(

@@ -11,15 +11,16 @@ its new rows belong to.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.operators import quality
-from pulseframe.operators.incremental import after_watermark
+from pulseframe.operators.incremental import after_watermark, update_matched
 from pulseframe.plans import checks, dims, facts, metrics, records, reports, staging
 from pulseframe.sources import extract, tables
 from pulseframe.sources.specs import SOURCES
@@ -27,6 +28,7 @@ from pulseframe.sources.specs import SOURCES
 STAGED = ("cycle", "recovery", "sleep", "workout")
 MONTH = "month"
 CHECKS_TABLE = "check_results"
+PENDING_RANKS = "pending_ranks"
 RECOVERY, STRAIN, DAYS = "fact_daily_recovery", "fact_daily_strain", "dim_date"
 # Metric table that each report reads.
 REPORTS = {
@@ -127,30 +129,57 @@ def _write_fact(df: DataFrame, path: str, keys: list[str], full_refresh: bool) -
         )
 
 
-def build_percentiles(
-    spark: SparkSession, root: str, as_of: dt.date, full_refresh: bool = False
-) -> None:
-    """Percentiles of the last days, ranked over the full history.
+def build_percentiles(spark: SparkSession, root: str, full_refresh: bool = False) -> None:
+    """Percentiles, ranked over the full history.
 
-    An incremental run ranks users with recoveries since the last recovery fact only; others keep
-    their values, which no new row can have changed.
+    An incremental run reads the staged recoveries from the month of the newest one in the fact on, and
+    the stored percentiles, which carry their measures, of users with new days. It writes the
+    rows that differ from the stored ones, and leaves them as pending for :func:`refresh_ranks`.
     """
     path = f"{root}/int_recovery_percentiles"
-    full_refresh = full_refresh or not tables.table_exists(spark, path)
-    recovery = _read(spark, root, "stg_recovery")
     since = None if full_refresh else _recovery_watermark(spark, root)
-    if since is not None:
-        fresh = after_watermark(
-            _read(spark, root, "stg_recovery", month_number(since)), "created_at", since
-        )
-        recovery = recovery.join(fresh.select("user_id").distinct(), "user_id", "left_semi")
-    df = facts.recovery_percentiles(
-        recovery,
-        _read(spark, root, "dim_user"),
-        _read(spark, root, "dim_date"),
-        as_of=None if full_refresh else F.lit(as_of),
+    users, days = _read(spark, root, "dim_user"), _read(spark, root, DAYS)
+    if since is None or not tables.table_exists(spark, path):
+        whole = facts.recovery_percentiles(_read(spark, root, "stg_recovery"), users, days, keep=facts.MEASURES)
+        _write_fact(whole, path, ["user_sk", "date_sk"], True)
+        return
+    recent = _read(spark, root, "stg_recovery", month_number(since))
+    recent = recent.withColumn("day", F.to_date("created_at"))
+    fresh = after_watermark(recent, "created_at", since).select("user_id", "day").distinct()
+    new = facts.recovery_days(recent.join(fresh, ["user_id", "day"], "left_semi"), users, days)
+    changed = facts.renew_percentiles(_read(spark, root, "int_recovery_percentiles"), new)
+    # Written first: the table that it is merged into is one of its inputs. Each run has its own part, so
+    # one that stops before the fact is renewed leaves its rows to the next.
+    pending = f"{root}/{PENDING_RANKS}/run={uuid.uuid4().hex}"
+    tables.replace(changed, pending)
+    _write_fact(spark.read.parquet(pending), path, ["user_sk", "date_sk"], False)
+
+
+def refresh_ranks(spark: SparkSession, root: str) -> None:
+    """Give the recovery fact the ranks that new days have changed, whatever the age of the row.
+
+    What is pending is removed at the end, so a run that stops before leaves it to the next one.
+    """
+    pending, path = f"{root}/{PENDING_RANKS}", f"{root}/{RECOVERY}"
+    if not tables.table_exists(spark, pending):
+        return
+    ranks = [*facts.RANKED, "skin_temp_deviation"]
+    keys = spark.read.parquet(pending).select("user_sk", "date_sk").distinct()
+    months = keys.select((F.col("date_sk") / 100).cast("int").alias(MONTH)).distinct().collect()
+    current = spark.read.parquet(f"{root}/int_recovery_percentiles").filter(F.col(MONTH).isin([r[0] for r in months]))
+    current = current.select("user_sk", "date_sk", *ranks).join(keys, ["user_sk", "date_sk"], "left_semi")
+    kind = spark.read.parquet(path).schema["skin_temp_deviation"].dataType
+    current = current.withColumn("skin_temp_deviation", F.col("skin_temp_deviation").cast(kind))
+    tables.upsert(
+        _day_month(current),
+        path,
+        ["user_sk", "date_sk"],
+        MONTH,
+        partition_is_part_of_key=True,
+        merge=partial(update_matched, update=ranks),
+        on_schema_change="append_new_columns",
     )
-    _write_fact(df, path, ["user_sk", "date_sk"], full_refresh)
+    tables.remove(spark, pending)
 
 
 def _recovery_watermark(spark: SparkSession, root: str) -> dt.datetime | None:
@@ -163,6 +192,7 @@ def build_fact_recovery(spark: SparkSession, root: str, full_refresh: bool = Fal
     """Recovery fact; an incremental run reads its inputs from the month of the newest row on.
 
     Sleeps and percentiles belong to the day of a recovery, so earlier months have none that fit.
+    Earlier rows get the ranks that the new days have changed.
     """
     path = f"{root}/{RECOVERY}"
     since = None if full_refresh else _recovery_watermark(spark, root)
@@ -178,6 +208,10 @@ def build_fact_recovery(spark: SparkSession, root: str, full_refresh: bool = Fal
         _read(spark, root, "stg_sleep", month),
     )
     _write_fact(fact, path, ["user_sk", "date_sk"], since is None)
+    if since is None:
+        tables.remove(spark, f"{root}/{PENDING_RANKS}")
+    else:
+        refresh_ranks(spark, root)
 
 
 def _months(df: DataFrame) -> list[int]:
@@ -326,19 +360,19 @@ def build_all(
     for source in STAGED:
         build_staging(spark, root, source, full_refresh)
     build_dims(spark, root)
-    build_percentiles(spark, root, run_at.date(), full_refresh)
+    build_percentiles(spark, root, full_refresh)
     build_fact_recovery(spark, root, full_refresh)
     build_fact_strain(spark, root, run_at, full_refresh, late_workouts)
     build_metrics(spark, root, run_at)
     return run_checks(spark, root, run_at)
 
 
-def backfill_recovery(spark: SparkSession, root: str, as_of: dt.date) -> DataFrame:
+def backfill_recovery(spark: SparkSession, root: str) -> DataFrame:
     """Rebuild the recovery fact and what it reads, then return its checks."""
     for source in ("recovery", "sleep"):
         build_staging(spark, root, source, full_refresh=True)
     build_dims(spark, root)
-    build_percentiles(spark, root, as_of, full_refresh=True)
+    build_percentiles(spark, root, full_refresh=True)
     build_fact_recovery(spark, root, full_refresh=True)
     return checks.recovery_suite(_read(spark, root, "fact_daily_recovery"))
 

@@ -45,6 +45,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table; nothing happens if there is none."""
+    _delete(spark, path)
+
+
 def _staged_path(path: str) -> str:
     return f"{path.rstrip('/')}{_STAGED}"
 

@@ -70,18 +70,9 @@ def land(folder, days):
     return {source: str(folder / source) for source in SOURCES}
 
 
-RANKED = {
-    "recovery_score_percentile",
-    "hrv_percentile",
-    "rhr_percentile",
-    "autonomic_balance_score",
-    "balance_category",
-}
-
-
-def content(spark, root, name, where="true", without_ranks=False):
-    df = spark.read.parquet(f"{root}/{name}").filter(where)
-    volatile = {"ingested_at", "created_timestamp", "calculated_at"} | (RANKED if without_ranks else set())
+def content(spark, root, name):
+    df = spark.read.parquet(f"{root}/{name}")
+    volatile = {"ingested_at", "created_timestamp", "calculated_at"}
     if name == "fact_daily_recovery":
         volatile.discard("created_timestamp")
     return sorted(map(str, df.select(*[c for c in sorted(df.columns) if c not in volatile]).collect()))
@@ -124,13 +115,7 @@ N_DAYS = 130
 
 
 def test_incremental_runs_equal_a_full_refresh(spark, tmp_path):
-    """Over more days than the percentiles' horizon.
-
-    Ranks see the full history, so new days change the ranks of old ones. The percentile table is
-    renewed for the last 90 days and keeps older rows as they were written; the recovery fact, and
-    the balance metric that reads its ranks, keep those of the run that added the row. Everything
-    else equals a full refresh.
-    """
+    """Every row of every table, also the ranks of old days, which new days change."""
     step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
     now = FIRST + dt.timedelta(days=N_DAYS + 1)
     run(spark, tmp_path / "in", step, range(0, 120), FIRST + dt.timedelta(days=120))
@@ -150,11 +135,8 @@ def test_incremental_runs_equal_a_full_refresh(spark, tmp_path):
         "fact_daily_strain",
         *pipeline.METRICS,
     ]
-    horizon = (now.date() - dt.timedelta(days=90)).strftime("date_sk >= %Y%m%d")
     for name in names:
-        where = horizon if name == "int_recovery_percentiles" else "true"
-        ranks = name in ("fact_daily_recovery", "autonomic_balance")
-        a, b = (content(spark, root, name, where, ranks) for root in (step, whole))
+        a, b = (content(spark, root, name) for root in (step, whole))
         assert a == b, name
         assert a or name == "strain_sustainability"
     fact = spark.read.parquet(f"{step}/fact_daily_recovery")
@@ -162,7 +144,7 @@ def test_incremental_runs_equal_a_full_refresh(spark, tmp_path):
     check_plans(spark, step)
     check_reports(spark, step, now.date())
 
-    suite = pipeline.backfill_recovery(spark, step, now.date())
+    suite = pipeline.backfill_recovery(spark, step)
     assert {r.failures for r in suite.collect()} == {0}
     first, last = (FIRST + dt.timedelta(days=d) for d in (3, 5))
     pipeline.backfill_range(spark, step, "sleep", first.date(), last.date())
