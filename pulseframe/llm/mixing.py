@@ -8,12 +8,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.session import scratch_path
 
-# Domains of a labelled document, in the order they are tried; the last one is the rest.
+# Domains of a labelled document, in the order they are tried; the last one is the rest. Each but the
+# last is one question, with a classifier of its own, so a document that is both toxic and poor is toxic.
 DOMAINS = ("toxic", "poor", "good")
 # Wanted part of all expected tokens of each domain.
 TARGET = {"toxic": 0.0, "poor": 0.1, "good": 0.9}
@@ -26,7 +28,9 @@ LEAST_ROWS, LEAST_LIFT, LEAST_DEVIATION, FEATURES = 5, 6.0, 5.0, 20_000
 DIGITS = 3
 # Weight of the rates' change from 1 beside the domains' totals: a document that is certainly of an
 # unwanted domain keeps this rate. The fit ends at a gradient of this part of each domain's words.
-RIDGE, TOLERANCE = 1e-3, 1e-6
+RIDGE, TOLERANCE = 1e-3, 1e-5
+# Lengths of a step that are tried at once, each half of the one before.
+TRIED = 4
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -67,20 +71,29 @@ def with_features(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumns({"_n": F.col("_found.n"), "_features": F.col("_found.features")}).drop("_found")
 
 
+# Yes or no to each question of a labelled document; null where the label is missing.
+QUESTIONS = {"toxic": "cast(toxic as int)", "poor": "1 - cast(quality as int)"}
+
+
+def answers(labels: DataFrame, doc_id: str) -> DataFrame:
+    """(_id, _toxic, _poor) of every labelled document; of labels that contradict each other yes counts."""
+    each = labels.select(F.col(f"`{doc_id}`").alias("_id"), *[F.expr(v).alias(f"_{q}") for q, v in QUESTIONS.items()])
+    return each.filter("_id is not null").groupBy("_id").agg(*[F.max(f"_{q}").alias(f"_{q}") for q in QUESTIONS])
+
+
 def fit_classifier(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, most: int = LABELLED):
-    """Naive Bayes over significant features: (feature, w: by domain), and log priors without any.
+    """Naive Bayes over significant features, for each question: (feature, w: by question), and log odds without any.
 
-    A feature that is there adds its log odds in the domain; the priors hold what it means that
-    none is.
+    A feature that is there adds its log odds ratio; the log odds without any hold what it means that
+    none is. A feature speaks on the questions only for which it is significant.
 
-    ``labels`` has the id, ``quality`` and ``toxic`` (0 or 1). Rows without a text, or whose labels
-    do not decide the domain, are left out; repeated labels count once. Without any label
-    everything belongs to the last domain.
+    ``labels`` has the id, ``quality`` and ``toxic`` (0 or 1). Rows without a text are left out, and a
+    row without a label says nothing on its question; repeated labels count once. Without any
+    label the answer is no.
     """
     spark = docs.sparkSession
-    known = labels.select(
-        F.col(f"`{doc_id}`").alias("_id"), domain_of(F.col("quality"), F.col("toxic")).alias("_domain")
-    ).filter("_id is not null and _domain is not null").dropDuplicates(["_id"])
+    names = list(QUESTIONS)
+    known = answers(labels, doc_id)
     n = known.count()
     part = 1.0 if n <= most else most / n
     known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(1_000_000 * part))
@@ -88,69 +101,97 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, m
     # At most about LABELLED small rows.
     rows = rows.join(F.broadcast(known), "_id")
     path = scratch_path(spark, "labelled")
-    found = with_features(rows, "_text").select("_domain", F.explode("_features").alias("feature"))
-    k = range(len(DOMAINS))
-    of = [F.count_if(F.col("_domain") == d).alias(f"n{d}") for d in k]
+    found = with_features(rows, "_text").select(*[f"_{q}" for q in names], F.explode("_features").alias("feature"))
+    of = [F.count_if(F.col(f"_{q}") == v).alias(f"{q}{v}") for q in names for v in (0, 1)]
     found.groupBy("feature").agg(*of).write.parquet(path)
     counts = spark.read.parquet(path)
-    sizes = rows.agg(*of).first()
-    every = sum(sizes)
-    if not every:
-        sizes, every = [0] * (len(DOMAINS) - 1) + [10**9], 10**9
-    total = sum((F.col(f"n{d}") for d in k[1:]), F.col("n0"))
-    off = []
-    for d in k:
-        usual = total * (sizes[d] / every)
-        more = (F.col(f"n{d}") - usual) / F.sqrt(usual * (1 - sizes[d] / every) + 0.25)
-        here = (F.col(f"n{d}") + 0.5) / (sizes[d] + 1)
-        elsewhere = (total - F.col(f"n{d}") + 0.5) / (every - sizes[d] + 1)
-        off.append(F.when(here >= LEAST_LIFT * elsewhere, more).otherwise(0.0))
-    there = [(F.col(f"n{d}") + 0.5) / (sizes[d] + 1) for d in k]
-    weight = [F.log(p / (1 - p)) for p in there]
-    missing = [F.log(1 - p).alias(f"m{d}") for d, p in enumerate(there)]
-    strong = counts.withColumn("off", F.greatest(*off)).filter((total >= LEAST_ROWS) & (F.col("off") >= LEAST_DEVIATION))
-    strong = strong.orderBy(F.desc("off"), "feature").limit(FEATURES).select("feature", F.array(*weight).alias("w"), *missing)
+    sizes = rows.agg(*of).first().asDict()
+    weights, without, off = {}, {}, {}
+    for q in names:
+        size = [sizes[f"{q}{v}"] for v in (0, 1)]
+        every = max(sum(size), 1)
+        have = [F.col(f"{q}{v}") for v in (0, 1)]
+        both = have[0] + have[1]
+        there = [(have[v] + 0.5) / (size[v] + 1) for v in (0, 1)]
+        significant = []
+        for v in (0, 1):
+            usual = both * (size[v] / every)
+            more = (have[v] - usual) / F.sqrt(usual * (1 - size[v] / every) + 0.25)
+            significant.append(F.when(there[v] >= LEAST_LIFT * there[1 - v], more).otherwise(0.0))
+        off[q] = F.when(both >= LEAST_ROWS, F.greatest(*significant)).otherwise(0.0)
+        speaks = off[q] >= LEAST_DEVIATION
+        ratio = F.log(there[1] / (1 - there[1])) - F.log(there[0] / (1 - there[0]))
+        weights[q] = F.when(speaks, ratio).otherwise(0.0)
+        without[q] = F.when(speaks, F.log(1 - there[1]) - F.log(1 - there[0])).otherwise(0.0).alias(f"m_{q}")
+    strong = counts.withColumn("off", F.greatest(*off.values())).filter(F.col("off") >= LEAST_DEVIATION)
+    strong = strong.orderBy(F.desc("off"), "feature").limit(FEATURES)
+    strong = strong.select("feature", F.array(*weights.values()).alias("w"), *without.values())
     path = scratch_path(spark, "classifier")
     strong.write.parquet(path)
     model = spark.read.schema(strong.schema).parquet(path)
-    none = model.agg(*[F.coalesce(F.sum(f"m{d}"), F.lit(0.0)) for d in k]).first()
-    prior = [float(np.log((sizes[d] + 1e-9) / every) + none[d]) for d in k]
+    none = model.agg(*[F.coalesce(F.sum(f"m_{q}"), F.lit(0.0)) for q in names]).first()
+    prior = [
+        float(np.log((sizes[f"{q}1"] + 1e-9) / (sizes[f"{q}0"] + (1e-9 if sizes[f"{q}1"] else 1.0))) + m)
+        for q, m in zip(names, none, strict=True)
+    ]
     return model.select("feature", "w"), prior
 
 
 def memberships(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, row: str) -> DataFrame:
-    """(row, _n, _p) for each row of ``docs``: words, and posteriors by domain, rounded."""
+    """(row, _n, _p) for each row of ``docs``: words, and posteriors by domain, rounded.
+
+    A domain's posterior is the probability that its question is the first one with the answer yes. A
+    document that is labelled itself has the answer of its label, all others that of the classifier.
+    """
     model, prior = fit_classifier(docs, labels, text, doc_id)
-    rows = with_features(docs.select(F.col(f"`{row}`").alias("row"), F.col(f"`{text}`").alias("_text")), "_text")
-    each = rows.select("row", "_n", F.explode("_features").alias("feature"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in ((row, "row"), (doc_id, "_id"), (text, "_text"))])
+    each = with_features(rows, "_text").select("row", "_id", "_n", F.explode("_features").alias("feature"))
     # FEATURES rows at most.
     each = each.join(F.broadcast(model), "feature", "left")
-    sums = [F.coalesce(F.sum(F.col("w")[d]), F.lit(0.0)) + prior[d] for d in range(len(DOMAINS))]
-    scored = each.groupBy("row").agg(F.max("_n").alias("_n"), F.array(*sums).alias("joint"))
-    scored = scored.withColumn("odds", F.transform("joint", lambda j: F.exp(j - F.array_max("joint"))))
-    scored = scored.withColumn("all", F.aggregate("odds", F.lit(0.0), lambda a, x: a + x))
-    return scored.select("row", "_n", F.transform("odds", lambda x: F.round(x / F.col("all"), DIGITS)).alias("_p"))
+    odds = [F.coalesce(F.sum(F.col("w")[i]), F.lit(0.0)) + v for i, v in enumerate(prior)]
+    judged = [(1 / (1 + F.exp(-x))).alias(f"_judged_{q}") for q, x in zip(QUESTIONS, odds, strict=True)]
+    scored = each.groupBy("row", "_id").agg(F.max("_n").alias("_n"), *judged)
+    scored = scored.join(answers(labels, doc_id), "_id", "left")
+    parts, rest = [], F.lit(1.0)
+    for q in QUESTIONS:
+        yes = F.coalesce(F.col(f"_{q}").cast("double"), F.col(f"_judged_{q}"))
+        parts.append(rest * yes)
+        rest = rest * (1 - yes)
+    return scored.select("row", "_n", F.array(*[F.round(x, DIGITS) for x in (*parts, rest)]).alias("_p"))
 
 
 def fit_rates(members: DataFrame, target: Mapping[str, float] = TARGET, whole: bool = False) -> DataFrame:
     """(_p, rate): the nonnegative rate of each cell of posteriors whose domain totals match ``target``.
 
-    Minimises the squared differences between sum(rate * words * posterior) and each domain's part
-    of all words, each difference relative to the larger of the part wanted and the part there is,
-    plus RIDGE times the squared change of the rates from 1, by words. A small domain thus counts
-    like a large one, and there is one solution: rate = max(0, 1 + posteriors . price), with a price
-    for each domain. Newton's method finds the prices; a round is one sum over the cells, and
-    nothing is written. It ends when no domain's gradient is above TOLERANCE of its part, or no step
-    makes the sum smaller any more; there is no limit on rounds. With ``whole`` the wanted total
-    grows until no wanted domain has to shrink. Without any words all rates stay 1.
+    Least squares by projected gradient. What is minimised: the squared differences between sum(rate *
+    words * posterior) and each domain's part of all words, each over the larger of the part
+    wanted and the part there is, plus RIDGE times the squared change of the rates from 1, by words. A
+    small domain thus counts like a large one, and there is one solution.
+
+    The gradient by a cell's rate is its posteriors times one number for each domain, so the sum of all
+    steps is one number for each domain too, ``price``, and a rate is 1 + posteriors . price, projected to
+    0 or more. A round is one pass over the cells: it tries several lengths of the step along the
+    gradient, which is scaled for each domain by its squares over the cells above 0, and adds up for
+    each what it leaves and the next gradient. Nothing is written and no cell leaves the tasks. The
+    best length is taken; where none is better, shorter ones are tried. It ends when no domain's gradient
+    is above TOLERANCE of its part, or no step makes a difference any more; there is no limit on
+    rounds. With ``whole`` the wanted total grows until no wanted domain has to shrink. Without any
+    words all rates stay 1.
     """
     spark = members.sparkSession
     path = scratch_path(spark, "rates")
     members.groupBy("_p").agg(F.sum("_n").cast("double").alias("n")).write.parquet(path)
-    cells = spark.read.parquet(path)
+    # Kept, as every round reads them; a part that is lost is read again from the table.
+    cells = spark.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fitted(cells, target, whole)
+    finally:
+        cells.unpersist()
+
+
+def _fitted(cells: DataFrame, target: Mapping[str, float], whole: bool) -> DataFrame:
     k = len(DOMAINS)
     p = [F.col("_p")[i] for i in range(k)]
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
 
     def rate(price) -> Column:
         raised = F.lit(1.0)
@@ -168,30 +209,33 @@ def fit_rates(members: DataFrame, target: Mapping[str, float] = TARGET, whole: b
     part = np.maximum(wanted, share)
     part[part == 0] = 1.0
 
-    def at(price):
-        """Value, gradient and second derivatives of the dual problem."""
-        now = cells.withColumn("rate", rate(price))
-        drawn, there = F.col("n") * F.col("rate"), F.when(F.col("rate") > 0, F.col("n")).otherwise(0.0)
-        sums = [F.sum(drawn * F.col("rate")), *[F.sum(drawn * c) for c in p], *[F.sum(there * p[i] * p[j]) for i, j in pairs]]
-        square, *rest = np.array(now.agg(*sums).first()) / total
-        second = np.diag(RIDGE * part)
-        for (i, j), v in zip(pairs, rest[k:], strict=True):
-            second[i, j] += v
-            second[j, i] += v * (i != j)
-        value = square / 2 - wanted @ price + RIDGE / 2 * (part * price) @ price
-        return value, np.array(rest[:k]) - wanted + RIDGE * part * price, second
-
-    price, root = np.zeros(k), np.sqrt(part)
-    value, off, second = at(price)
-    while (np.abs(off) > TOLERANCE * part).any():
-        step = np.linalg.solve(second / np.outer(root, root), -off / root) / root
-        after = at(price + step)
-        while after[0] > value + 1e-4 * step @ off and (np.abs(step) > 1e-12 * (1 + np.abs(price))).any():
-            step = step / 2
-            after = at(price + step)
-        if after[0] >= value:
+    def passed(prices) -> list[tuple]:
+        """For each price: what is minimised, its gradient, and the squares by which a step is scaled."""
+        sums = []
+        for price in prices:
+            there = F.when(rate(price) > 0, F.col("n")).otherwise(0.0)
+            sums += [F.sum(F.col("n") * rate(price) * rate(price))]
+            sums += [F.sum(F.col("n") * rate(price) * c) for c in p] + [F.sum(there * c * c) for c in p]
+        found = np.array(cells.agg(*sums).first()).reshape(len(prices), 2 * k + 1) / total
+        out = []
+        for price, (square, *rest) in zip(prices, found, strict=True):
+            value = square / 2 - wanted @ price + RIDGE / 2 * (part * price) @ price
+            out.append((value, np.array(rest[:k]) - wanted + RIDGE * part * price, np.array(rest[k:]) + RIDGE * part))
+        return out
+
+    price = np.zeros(k)
+    ((value, slope, scale),) = passed([price])
+    longest = 2.0
+    while (np.abs(slope) > TOLERANCE * part).any():
+        prices = [price - longest / 2**i * slope / scale for i in range(TRIED)]
+        best = min(zip(passed(prices), prices, strict=True), key=lambda x: x[0][0])
+        if best[0][0] < value:
+            (value, slope, scale), price = best
+            longest = 2.0
+        elif longest * np.abs(slope / scale).max() < 1e-12 * (1 + np.abs(price).max()):
             break
-        price, (value, off, second) = price + step, after
+        else:
+            longest /= 2**TRIED
     return cells.select("_p", rate(price).alias("rate"))
 
 
@@ -207,15 +251,17 @@ def mix(
 
     ``rate`` is how often a document should be drawn. Null and empty texts have no words, and the
     rate of their posteriors. Repeated rows are rated one by one. Without any words all rates are
-    1. Columns of ``docs`` named like the new ones are replaced. ``docs`` must give its rows in the
-    same order whenever it is read, as a scan of files does. A text's features are added up in the
+    1. Columns of ``docs`` named like the new ones are replaced. The rows are written once with a
+    number each, by which their rates find them. A text's features are added up in the
     task that reads it, so one row per text is moved.
     """
     spark = docs.sparkSession
     new = ("n_words", "rate", "__row", *[f"p_{d}" for d in DOMAINS])
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
     names = docs.columns
-    docs = docs.withColumn("__row", F.monotonically_increasing_id())
+    path = scratch_path(spark, "numbered")
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    docs = spark.read.parquet(path)
     path = scratch_path(spark, "memberships")
     memberships(docs, labels, text, doc_id, "__row").write.parquet(path)
     members = spark.read.parquet(path)

@@ -110,3 +110,33 @@ def test_no_python_in_the_plan(spark):
     labels = spark.createDataFrame([(0, 1, 0), (1, 1, 1)], "doc_id long, quality int, toxic int")
     plan = m.memberships(docs, labels, "text", "doc_id", "doc_id")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_label_of_its_own_decides_and_the_rest_is_judged(spark):
+    texts = ["kind words of friends"] * 40 + ["vile rotten words"] * 40 + ["dull words of friends"] * 3
+    docs = documents(spark, texts)
+    rows = [(i, 1, int(40 <= i < 80)) for i in range(0, 78)]
+    # both labels of one document, one label missing, and labels against the text
+    rows += [(80, 0, 1), (81, 0, None), (82, None, 1), (0, 1, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    got = {r["row"]: r["_p"] for r in m.memberships(docs, labels, "text", "doc_id", "doc_id").collect()}
+    assert got[80] == got[82] == got[0] == [1.0, 0.0, 0.0]
+    assert got[81][0] < 0.5 and got[81][2] == 0.0  # poor by its label, judged for the other question
+    assert got[78][0] > 0.9 and got[79] == got[78]  # not labelled
+    assert got[1] == [0.0, 0.0, 1.0]
+
+
+def test_the_fit_is_projected_gradient_to_its_tolerance(spark):
+    """The optimality condition of the least squares, cell by cell: no gradient where a rate is above 0, none downhill at 0."""
+    rng = np.random.default_rng(16)
+    p = np.round(rng.dirichlet([0.1, 0.2, 0.6], 400), m.DIGITS)
+    n = rng.integers(1, 500, 400).astype(float)
+    members = spark.createDataFrame([(int(a), [float(v) for v in b]) for a, b in zip(n, p, strict=True)], "_n long, _p array<double>")
+    rate = {tuple(r["_p"]): r["rate"] for r in m.fit_rates(members).collect()}
+    x = np.array([rate[tuple(b)] for b in p.tolist()])
+    wanted = np.array([m.TARGET[d] for d in m.DOMAINS])
+    share = n @ p / n.sum()
+    off = ((n * x) @ p / n.sum() - wanted) / np.maximum(wanted, share)
+    slope = p @ off + m.RIDGE * (x - 1)
+    assert np.abs(slope[x > 0]).max() < 1e-3 and slope[x == 0].min() > -1e-3
+    assert (x == 0).any() and (x > 0).any()

@@ -1,5 +1,7 @@
 """Nearest neighbours against brute force."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -47,6 +49,8 @@ def test_small_visits_still_recall_clustered_vectors(spark):
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.1", "/root/testdata/check_s"])
 def test_recall_of_the_visited_share_on_given_vectors(spark, sf):
     """Without the floor, under which a small table is visited whole."""
+    if not Path(f"{sf}/embeddings.parquet").exists():
+        pytest.skip("not among the given tables")
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
     table = vectors.toPandas()
     ids, x = table["vec_id"].to_numpy(), np.stack(table["embedding"]).astype(float)
