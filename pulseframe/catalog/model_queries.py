@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pulseframe.catalog import inputs
 from pulseframe.catalog.registry import Registry
 from pulseframe.catalog.source_queries import page_texts
-from pulseframe.operators import incremental, quality
-from pulseframe.plans import checks, dims, facts, pipeline, records, reports, staging
+from pulseframe.operators import incremental, moments, quality
+from pulseframe.plans import checks, dims, facts, metrics, pipeline, records, reports, staging
 from pulseframe.session import scratch_path
 from pulseframe.sources.specs import SOURCES
 from pulseframe.streaming import jobs
@@ -24,6 +24,8 @@ FRESH_AS_OF = "2024-02-02"
 LATENESS_DAYS = 10
 # Where the second part of incremental runs begins: in the middle of a day, so that the day is in both.
 INCREMENT_FROM = "2025-06-15 12:00:00"
+# Days that a state has with other values than they get later.
+WRONG_DAYS = 20250601, 20250614
 # Added to the user ids of the late batch.
 OTHER_USERS = 1_000_000
 # End of the first of three batches.
@@ -123,6 +125,41 @@ for _metric in pipeline.METRICS:
     _metric_query(_metric)
 
 
+def _season_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All days with their seasons, and a state that was written before the last of them came.
+
+    The state has other scores for two weeks of days, which are taken away again, and lacks all later days.
+    """
+    dated = metrics.with_season(inputs.fact_recovery(spark, sf_dir), dims.dim_date(spark))
+    path = scratch_path(spark, "season-days")
+    dated.write.parquet(path)
+    dated = spark.read.parquet(path)
+    first, last = WRONG_DAYS
+    wrong = dated.filter(F.col("date_sk").between(first, last)).withColumn("recovery_score", F.col("recovery_score") + 5)
+    old = dated.filter(F.col("date_sk") < first).unionByName(wrong.select(dated.columns))
+    path = scratch_path(spark, "season-moments")
+    metrics.season_moments(old).withColumn(moments.APPLIED, F.lit("1")).write.parquet(path)
+    state = spark.read.parquet(path)
+    come = dated.filter(F.col("date_sk") >= first).withColumn("sign", F.lit(1))
+    part = metrics.season_moments(come.unionByName(wrong.withColumn("sign", F.lit(-1))), F.col("sign"))
+    names = list(metrics.SEASON_MEASURES.values())
+    changed = moments.merge_part(state, part, metrics.SEASON_KEYS, names, "2")
+    return dated, incremental.merge_upsert(state, changed, list(metrics.SEASON_KEYS))
+
+
+@query("inc_season_year")
+def _(spark, sf_dir):
+    """Means, spread and size per user, season and year from a state and the days that changed it."""
+    return metrics.season_years_from(_season_state(spark, sf_dir)[1])
+
+
+@query("inc_seasonal_adaptation")
+def _(spark, sf_dir):
+    """The seasonal metric from that state."""
+    dated, state = _season_state(spark, sf_dir)
+    return metrics.adaptation_from(dated, metrics.season_baselines(metrics.season_years_from(state)))
+
+
 @query("backfill_recovery")
 def _(spark, sf_dir):
     """Raw tables written, recovery fact rebuilt from them, then checked."""

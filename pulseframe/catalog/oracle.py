@@ -485,6 +485,22 @@ def _models() -> dict[str, str]:
         f"skin_temp_celsius, {out('skin_temp_deviation:r')}, days_of_history from percentiles"
     )
     q["inc_recovery_percentiles"] = q["int_recovery_percentiles"]
+    # Exact sums, as in the state: a mean of floating-point numbers can fall below a tie that is one.
+    means = ", ".join(
+        f"round(cast(sum(cast({c} as decimal(12,4))) as double) / count({c}), 6) as {name}"
+        for c, name in (
+            ("recovery_score", "avg_recovery"),
+            ("hrv_rmssd", "avg_hrv"),
+            ("resting_heart_rate", "avg_rhr"),
+            ("skin_temp_celsius", "avg_skin_temp"),
+        )
+    )
+    q["inc_season_year"] = (
+        f"select user_sk, season, year_number, {means}, "
+        "round(stddev_samp(recovery_score), 6) as recovery_stddev, count(*) as sample_size "
+        "from fact_recovery r join dim_date d on d.date_sk = r.date_sk group by 1, 2, 3"
+    )
+    q["inc_seasonal_adaptation"] = f"select {out(METRIC_COLUMNS['seasonal_adaptation'])} from seasonal_adaptation"
     q["fact_daily_recovery"] = f"select {out(RECOVERY_COLUMNS)} from fact_recovery"
     q["fact_daily_strain"] = f"select {out(STRAIN_COLUMNS)} from fact_strain_plain"
     for name, columns in METRIC_COLUMNS.items():

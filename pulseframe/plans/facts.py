@@ -141,7 +141,7 @@ def renew_percentiles(stored: DataFrame, new_days: DataFrame) -> DataFrame:
     touched = stored.join(new_days.select("user_sk").distinct(), "user_sk", "left_semi")
     columns = [*keys, *MEASURES, "skin_temp_celsius"]
     held = touched.select(*columns, F.struct(*PERCENTILES, *MEASURES).alias("_stored"))
-    added = new_days.select(*columns, F.lit(None).cast(held.schema["_stored"].dataType).alias("_stored"))
+    added = new_days.select(*columns).join(held.select(*keys, "_stored"), keys, "left")
     ranked = rank_days(merge_upsert(held, added, keys), keep=[*MEASURES, "_stored"])
     same = F.struct(*PERCENTILES, *MEASURES).cast(held.schema["_stored"].dataType).eqNullSafe(F.col("_stored"))
     return ranked.filter(~same).drop("_stored")

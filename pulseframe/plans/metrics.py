@@ -8,12 +8,14 @@ Measures are computed in double; labels test values rounded to six decimals.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseframe.functions import labels
 from pulseframe.functions.compat import clamp, safe_divide, weighted_sum
-from pulseframe.operators import series
+from pulseframe.operators import moments, series
 from pulseframe.operators.series import DAY, USER
 
 # Lags and weights of the momentum, weights and default of the
@@ -248,6 +250,24 @@ def season_years(dated: DataFrame) -> DataFrame:
     )
 
 
+SEASON_KEYS = (USER, "season", "year_number")
+
+
+def season_moments(dated: DataFrame, sign: Column | None = None) -> DataFrame:
+    """State of every user, season and year, which new days are merged into."""
+    return moments.moments(dated, SEASON_KEYS, list(SEASON_MEASURES.values()), sign)
+
+
+def season_years_from(state: DataFrame) -> DataFrame:
+    """:func:`season_years` from its state."""
+    return state.filter("rows > 0").select(
+        *SEASON_KEYS,
+        *[moments.mean(c).alias(f"avg_{name}") for name, c in SEASON_MEASURES.items()],
+        moments.deviation("recovery_score").alias("recovery_stddev"),
+        F.col("rows").alias("sample_size"),
+    )
+
+
 def season_baselines(years: DataFrame) -> DataFrame:
     """Mean of the yearly means per user and season: every year weighs the same."""
     return years.groupBy(USER, "season").agg(
@@ -255,9 +275,9 @@ def season_baselines(years: DataFrame) -> DataFrame:
     )
 
 
-def with_season(fact_recovery: DataFrame, dim_date: DataFrame) -> DataFrame:
+def with_season(fact_recovery: DataFrame, dim_date: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     days = dim_date.select(DAY, "season", "year_number")
-    return fact_recovery.select(USER, DAY, *SEASON_MEASURES.values()).join(days, DAY)
+    return fact_recovery.select(USER, DAY, *SEASON_MEASURES.values(), *keep).join(days, DAY)
 
 
 def seasonal_adaptation(fact_recovery: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -292,6 +312,16 @@ def seasonal_adaptation(fact_recovery: DataFrame, dim_date: DataFrame) -> DataFr
             for name in SEASON_MEASURES
         ],
     )
+    return _adapted(compared)
+
+
+def adaptation_from(dated: DataFrame, baselines: DataFrame) -> DataFrame:
+    """:func:`seasonal_adaptation` of some days (see :func:`with_season`) from :func:`season_baselines`."""
+    return _adapted(dated.join(baselines, [USER, "season"]))
+
+
+def _adapted(compared: DataFrame) -> DataFrame:
+    """Deviations of days from the baselines beside them."""
     deviations = {
         f"{name}_deviation": _double(c) - F.col(f"seasonal_{name}_baseline")
         for name, c in SEASON_MEASURES.items()

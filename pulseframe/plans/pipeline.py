@@ -16,10 +16,10 @@ from collections.abc import Callable, Mapping
 from functools import partial, reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.operators import quality
+from pulseframe.operators import moments, quality
 from pulseframe.operators.incremental import after_watermark, update_matched
 from pulseframe.plans import checks, dims, facts, metrics, records, reports, staging
 from pulseframe.sources import extract, tables
@@ -29,6 +29,9 @@ STAGED = ("cycle", "recovery", "sleep", "workout")
 MONTH = "month"
 CHECKS_TABLE = "check_results"
 PENDING_RANKS = "pending_ranks"
+# Recovery rows that came and went since the seasons' state was brought up to date, by watermark.
+PENDING_DAYS = "pending_days"
+SEASON_STATE = "season_moments"
 RECOVERY, STRAIN, DAYS = "fact_daily_recovery", "fact_daily_strain", "dim_date"
 # Metric table that each report reads.
 REPORTS = {
@@ -207,11 +210,78 @@ def build_fact_recovery(spark: SparkSession, root: str, full_refresh: bool = Fal
         _read(spark, root, "int_recovery_percentiles", month),
         _read(spark, root, "stg_sleep", month),
     )
-    _write_fact(fact, path, ["user_sk", "date_sk"], since is None)
+    keys = ["user_sk", "date_sk"]
     if since is None:
-        tables.remove(spark, f"{root}/{PENDING_RANKS}")
+        _write_fact(fact, path, keys, True)
+        for name in (PENDING_RANKS, PENDING_DAYS, SEASON_STATE):
+            tables.remove(spark, f"{root}/{name}")
+        return
+    # Named by the watermark: a run that is repeated writes its part again, not another one.
+    part = f"{root}/{PENDING_DAYS}/since={since:%Y%m%d%H%M%S%f}"
+    columns = [*keys, *metrics.SEASON_MEASURES.values()]
+    come = f"{part}/sign=1"
+    tables.replace(fact, come)
+    fact = spark.read.parquet(come)
+    gone = _read(spark, root, RECOVERY, month).select(*columns).join(fact.select(*keys), keys, "left_semi")
+    tables.replace(gone, f"{part}/sign=-1")
+    _write_fact(fact, path, keys, False)
+    refresh_ranks(spark, root)
+
+
+def build_season_state(spark: SparkSession, root: str) -> DataFrame | None:
+    """Bring the seasons' state up to date; (user_sk, season) that changed, or None if all did.
+
+    An incremental run reads what is pending and the state of those years only. What is pending is left
+    to :func:`build_seasonal`, and merged once, however often a run is repeated.
+    """
+    path, pending = f"{root}/{SEASON_STATE}", f"{root}/{PENDING_DAYS}"
+    days, names = _read(spark, root, DAYS), list(metrics.SEASON_MEASURES.values())
+    if not tables.table_exists(spark, path):
+        whole = metrics.season_moments(metrics.with_season(_read(spark, root, RECOVERY), days))
+        whole = whole.withColumn(moments.APPLIED, F.lit(""))
+        tables.replace(whole, path, ["year_number"])
+        tables.remove(spark, pending)
+        return None
+    changed = None
+    for name in tables.entries(spark, pending):
+        rows = spark.read.parquet(f"{pending}/{name}")
+        part = metrics.season_moments(metrics.with_season(rows, days, ["sign"]), F.col("sign"))
+        years = [r[0] for r in part.select("year_number").distinct().collect()]
+        state = spark.read.parquet(path).filter(F.col("year_number").isin(years))
+        merged = moments.merge_part(state, part, metrics.SEASON_KEYS, names, name.partition("=")[2])
+        tables.upsert(merged, path, metrics.SEASON_KEYS, "year_number", partition_is_part_of_key=True)
+        found = part.select("user_sk", "season")
+        changed = found if changed is None else changed.unionByName(found)
+    return changed.distinct() if changed is not None else _read(spark, root, DAYS).limit(0).select(
+        F.lit("").alias("user_sk"), "season"
+    )
+
+
+def build_seasonal(spark: SparkSession, root: str, at: Column, full_refresh: bool = False) -> None:
+    """The seasonal metric from the seasons' state.
+
+    An incremental run renews the rows of users and seasons with new days: it reads the months of
+    those seasons of the fact, whatever the year, since their baseline is another one now.
+    """
+    path = f"{root}/seasonal_adaptation"
+    if full_refresh:
+        tables.remove(spark, f"{root}/{SEASON_STATE}")
+    changed = build_season_state(spark, root)
+    baselines = metrics.season_baselines(metrics.season_years_from(spark.read.parquet(f"{root}/{SEASON_STATE}")))
+    days = _read(spark, root, DAYS)
+    if changed is None or not tables.table_exists(spark, path):
+        rows = metrics.adaptation_from(metrics.with_season(_read(spark, root, RECOVERY), days), baselines)
+        _write_fact(metrics.with_calculated_at(rows, at), path, ["user_sk", "date_sk"], True)
     else:
-        refresh_ranks(spark, root)
+        # four seasons, twelve months
+        seasons = [r[0] for r in changed.select("season").distinct().collect()]
+        months = [r[0] for r in days.filter(F.col("season").isin(seasons)).select("month_of_year").distinct().collect()]
+        fact = spark.read.parquet(f"{root}/{RECOVERY}").filter((F.col(MONTH) % 100).isin(months)).drop(MONTH)
+        keys = ["user_sk", "season"]
+        rows = metrics.with_season(fact, days).join(changed, keys, "left_semi")
+        rows = metrics.adaptation_from(rows, baselines.join(changed, keys, "left_semi"))
+        _write_fact(metrics.with_calculated_at(rows, at), path, ["user_sk", "date_sk"], False)
+    tables.remove(spark, f"{root}/{PENDING_DAYS}")
 
 
 def _months(df: DataFrame) -> list[int]:
@@ -268,25 +338,30 @@ METRICS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 }
 
 
-def build_metrics(spark: SparkSession, root: str, run_at: dt.datetime) -> None:
-    """Rebuild the metric tables, laid out by month.
+def build_metrics(
+    spark: SparkSession, root: str, run_at: dt.datetime, full_refresh: bool = True
+) -> None:
+    """Write the metric tables, laid out by month.
 
     Each fact is shuffled by user once, and all metrics read that layout: a row needs the frames
-    of its user's whole history, so the tables are rebuilt in full.
+    of its user's whole history, so the tables are rebuilt in full; only the seasonal one is
+    renewed from its state.
     """
     at = F.lit(run_at.isoformat(sep=" "))
     inputs = {
         name: _read(spark, root, name).repartition("user_sk").persist(StorageLevel.MEMORY_AND_DISK)
         for name in (RECOVERY, STRAIN)
     }
-    inputs[DAYS] = _read(spark, root, DAYS)
     try:
         for name, (build, needs) in METRICS.items():
+            if name == "seasonal_adaptation":
+                continue
             df = metrics.with_calculated_at(build(*[inputs[n] for n in needs]), at)
             tables.replace(_day_month(df), f"{root}/{name}", [MONTH])
     finally:
         for name in (RECOVERY, STRAIN):
             inputs[name].unpersist()
+    build_seasonal(spark, root, at, full_refresh)
 
 
 def run_checks(spark: SparkSession, root: str, run_at: dt.datetime) -> DataFrame:
@@ -363,7 +438,7 @@ def build_all(
     build_percentiles(spark, root, full_refresh)
     build_fact_recovery(spark, root, full_refresh)
     build_fact_strain(spark, root, run_at, full_refresh, late_workouts)
-    build_metrics(spark, root, run_at)
+    build_metrics(spark, root, run_at, full_refresh)
     return run_checks(spark, root, run_at)
 
 

@@ -65,16 +65,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     Any trouble with reaching the path is an error, never taken for absence.
     """
     recover(spark, path)
-    return bool(_entries(spark, path))
+    return bool(entries(spark, path))
 
 
-def _entries(spark: SparkSession, path: str) -> list[str]:
-    """Names of what lies in a folder, without hidden files; none if there is no folder."""
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of what lies in a folder, without hidden files; none if there is no folder."""
     fs, where = _files(spark, path)
     if not fs.exists(where):
         return []
     names = [f.getPath().getName() for f in fs.listStatus(where)]
-    return [n for n in names if not n.startswith(("_", "."))]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
 def last_partition(spark: SparkSession, path: str, column: str) -> str | None:
@@ -129,7 +129,7 @@ def replace(
 
 def _keep_schema(spark: SparkSession, schema: T.StructType, path: str, partition_by: Sequence[str]) -> None:
     """Put a file without rows into a partitioned table that has none; a plain one gets it from Spark."""
-    if not partition_by or _entries(spark, path):
+    if not partition_by or entries(spark, path):
         return
     fields = T.StructType([f for f in schema.fields if f.name not in partition_by])
     folder = "/".join(f"{c}={_NO_VALUE}" for c in partition_by)
@@ -155,7 +155,7 @@ def rewrite(
     plan = {
         "partition_by": list(partition_by),
         "by_partition": touched is not None,
-        "parts": _entries(spark, staged),
+        "parts": entries(spark, staged),
         "gone": gone,
         "schema": df.schema.jsonValue(),
     }
@@ -196,10 +196,10 @@ def recover(spark: SparkSession, path: str) -> bool:
     fs.mkdirs(where)
     old = [f"{plan['partition_by'][0]}={_NO_VALUE if v is None else v}" for v in plan["gone"]]
     if not plan["by_partition"]:
-        old += [n for n in _entries(spark, path) if n not in plan["parts"]]
+        old += [n for n in entries(spark, path) if n not in plan["parts"]]
     for name in old:
         _delete(spark, f"{path}/{name}")
-    waiting = set(_entries(spark, staged))
+    waiting = set(entries(spark, staged))
     for name in plan["parts"]:
         if name in waiting:
             _delete(spark, f"{path}/{name}")
