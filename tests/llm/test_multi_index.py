@@ -48,7 +48,6 @@ def test_small_visits_still_recall_clustered_vectors(spark):
 
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.1", "/root/testdata/check_s"])
 def test_recall_of_the_visited_share_on_given_vectors(spark, sf):
-    """Without the floor, under which a small table is visited whole."""
     if not Path(f"{sf}/embeddings.parquet").exists():
         pytest.skip("not among the given tables")
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
@@ -106,3 +105,10 @@ def test_cells_are_visited_by_summed_distance():
     want = [c for c in np.argsort((a[:, None] + b[None, :]).ravel(), kind="stable") if index.sizes[c]]
     assert index.visit(v, 10**9) == want
     assert index.visit(v, 4) == want[: len(index.visit(v, 4))]
+
+
+def test_fewer_entries_than_asked_for(spark):
+    """All candidates are found, however small their part of the table is."""
+    vectors = spark.createDataFrame([(i, [float(i), 1.0, -float(i), 2.0]) for i in range(0, 700, 100)], SCHEMA)
+    got = mi.neighbours(vectors, vectors).toPandas()
+    assert got.groupby("query_id").size().to_dict() == dict.fromkeys(range(0, 700, 100), 6)

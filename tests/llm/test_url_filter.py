@@ -62,7 +62,7 @@ def spread(seeds, links):
     for (a, _), n in links.items():
         out[a] = out.get(a, 0) + n
     total, step = dict(seeds), dict(seeds)
-    for _ in range(u.ROUNDS):
+    for _ in range(300):
         after = {}
         for (a, b), n in links.items():
             if a in step:
@@ -70,7 +70,7 @@ def spread(seeds, links):
         for k, v in after.items():
             total[k] = total.get(k, 0) + v
         step = after
-        if not step or max(step.values()) < u.TOLERANCE:
+        if not step:
             break
     return total
 
@@ -114,6 +114,22 @@ def test_trust_and_distrust_follow_the_links(spark, web, monkeypatch):
     assert (True, "allow") in seen and (True, "block") in seen
 
 
+def test_a_host_with_many_links_is_dealt_out(spark, monkeypatch):
+    """A hub, and a chain that is longer than any number of rounds one would set."""
+    monkeypatch.setattr(u, "BLOCK_LINKS", 3)
+    hosts = [f"h{i}.net" for i in range(20)]
+    chain = [f"c{i}.net" for i in range(6)]
+    judged = [("hub.org", "".join(f'<a href="//{h}/">x</a>' for h in [*hosts, chain[0]]), "allow")]
+    judged += [(a, f'<a href="//{b}/">x</a>', None) for a, b in zip(chain, [*chain[1:], "bad.net"], strict=True)]
+    judged += [(h, None, None) for h in hosts] + [("bad.net", "", "block")]
+    frame = spark.createDataFrame(judged, "host string, html string, ruled string")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in u.host_scores(frame).collect()}
+    assert got["h7.net"][0] == pytest.approx(u.DAMPING / 21)
+    assert got["bad.net"][0] == pytest.approx(u.DAMPING**7 / 21)
+    # the hub passes distrust on to nobody; a chain of single links loses only the damping
+    assert got["c0.net"][1] == pytest.approx(u.DAMPING**6) and got["hub.org"][1] == pytest.approx(u.DAMPING**7)
+
+
 def test_columns_repeated_rows_and_empty_tables(spark):
     row = (1, "http://x.com/de/", None, "mine", 5)
     pages = spark.createDataFrame([row, row], "page_id long, url string, html string, verdict string, `a.b` int")
