@@ -485,9 +485,10 @@ def _models() -> dict[str, str]:
         f"skin_temp_celsius, {out('skin_temp_deviation:r')}, days_of_history from percentiles"
     )
     q["inc_recovery_percentiles"] = q["int_recovery_percentiles"]
-    # Exact sums, as in the state: a mean of floating-point numbers can fall below a tie that is one.
+    # Exact sums, as in the state, and whole-number arithmetic: a floating-point mean can fall below a tie.
     means = ", ".join(
-        f"round(cast(sum(cast({c} as decimal(12,4))) as double) / count({c}), 6) as {name}"
+        f"(2 * cast(sum(cast({c} as decimal(12,4)) * 10000) as bigint) * 100 + count({c})) "
+        f"// (2 * count({c})) / 1e6 as {name}"
         for c, name in (
             ("recovery_score", "avg_recovery"),
             ("hrv_rmssd", "avg_hrv"),
@@ -960,6 +961,12 @@ def _sources() -> dict[str, str]:
         union all
         select m.*, '2025-01-01', null, true from m left join k on k.user_id = m.user_id
         where k.user_id is null or k.last_name <> m.last_name"""
+    q["join_user_version"] = f"""
+        with versions as ({q["doc_scd2_user"]})
+        select f.user_sk, cast(f.cycle_date as varchar) as cycle_date, f.day_strain, v.last_name, v.effective_date
+        from fact_strain_plain f left join versions v on v.user_sk = f.user_sk
+            and cast(v.effective_date as date) <= f.cycle_date
+            and f.cycle_date < coalesce(cast(v.expiry_date as date), date '9999-12-31')"""
     q["doc_ops_metrics"] = f"""
         select source, count(*) as runs,
             round(avg(case when month < 202101 then 0e0 else 1e0 end), 6) as success_rate,

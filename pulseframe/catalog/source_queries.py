@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulseframe.catalog import inputs
 from pulseframe.catalog.registry import Registry
 from pulseframe.functions.compat import is_bad_timestamp, parse_timestamp
-from pulseframe.operators import incremental
+from pulseframe.operators import history, incremental
 from pulseframe.plans import dims, records, staging
 from pulseframe.session import scratch_path
 from pulseframe.sources import extract, landed, state, tables
@@ -359,9 +359,7 @@ def _(spark, sf_dir):
     return staging.stage(rows, "sleep").select("id", "user_id", "created_at", "updated_at")
 
 
-@query("doc_scd2_user")
-def _(spark, sf_dir):
-    """All profiles, next to the same profiles known under other ids."""
+def _user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     day_one, day_two = (F.lit(d).cast("date") for d in ("2024-01-01", "2025-01-01"))
     known = inputs.users(spark, sf_dir, moved=inputs.MOVED_USERS).select(
         "*",
@@ -374,6 +372,20 @@ def _(spark, sf_dir):
     )
 
 
+@query("doc_scd2_user")
+def _(spark, sf_dir):
+    """All profiles, next to the same profiles known under other ids."""
+    return _user_history(spark, sf_dir)
+
+
+@query("join_user_version")
+def _(spark, sf_dir):
+    """Strain of every user and day, with the profile that was valid on the day."""
+    days = inputs.fact_strain(spark, sf_dir).select("user_sk", "cycle_date", "day_strain")
+    versions = _user_history(spark, sf_dir)
+    return history.version_on(days, versions, "user_sk", "cycle_date", ["last_name", "effective_date"])
+
+
 @query("doc_ops_metrics")
 def _(spark, sf_dir):
     """Figures over a run log with one run per score state and month."""

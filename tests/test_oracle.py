@@ -8,6 +8,8 @@ from pulseframe.catalog import oracle as statements
 from test_plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
+# The smallest table of events is too small to tell whether late rows are taken.
+LARGER = {"stream_late_data": "/root/testdata/sf0.01", "stream_late_rows": "/root/testdata/sf0.01"}
 
 
 @pytest.fixture(scope="module")
@@ -32,5 +34,6 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, con, oracle, name):
-    df = QUERIES[name](spark, SF)
-    assert compare.difference(df, con, oracle[name]) is None
+    sf = LARGER.get(name, SF)
+    df = QUERIES[name](spark, sf)
+    assert compare.difference(df, con if sf == SF else compare.connect(sf), oracle[name]) is None
