@@ -16,6 +16,8 @@ RUN_SENTENCES = 2
 RUN_WORDS = 25
 # A sentence of so many words is a run by itself.
 LONG_SENTENCE = 50
+# Hashes that make up this part of all repeated places each are broadcast: at most as many as its inverse.
+FREQUENT = 1 / 10_000
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
@@ -143,13 +145,23 @@ def sentence_runs(
 def _occurrences(each: DataFrame) -> DataFrame:
     """The rows of ``each`` whose hash is at several places, with ``first``, the first of them.
 
-    Minimum and maximum are combined before the shuffle, so a run that a third of all documents
-    share costs one row per task.
+    Minimum, maximum and number are combined before the shuffle, so a run that a third of all
+    documents share costs one row per task. Hashes that make up a FREQUENT-th of all repeated places
+    each are broadcast, and their rows stay where they are; of the others, which are joined by
+    shuffle, none has more rows than that.
     """
+    spark = each.sparkSession
     known = each.groupBy("hash").agg(
-        *[f(F.struct("doc", "copy", "pos")).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))]
+        *[f(F.struct("doc", "copy", "pos")).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))],
+        F.count("*").alias("n"),
     )
-    return each.join(known.filter("first <> last").select("hash", "first"), "hash")
+    path = scratch_path(spark, "repeated-hashes")
+    known.filter("first <> last").select("hash", "first", "n").write.parquet(path)
+    known = spark.read.parquet(path)
+    least = (known.agg(F.sum("n")).first()[0] or 0) * FREQUENT
+    frequent = F.broadcast(known.filter(F.col("n") >= least).drop("n"))
+    others = each.join(frequent.select("hash"), "hash", "left_anti")
+    return each.join(frequent, "hash").unionByName(others.join(known.filter(F.col("n") < least).drop("n"), "hash"))
 
 
 def repeated_runs(runs: DataFrame) -> DataFrame:
@@ -190,16 +202,19 @@ def substring_dedup(
     and get the same result. No row is dropped: a text that loses everything becomes empty.
     """
     spark = docs.sparkSession
-    new = ("n_sentences", "n_removed", "__cuts")
+    new = ("n_sentences", "n_removed")
     names = [c for c in docs.columns if c not in new]
     docs = docs.select(*[F.col(f"`{c}`") for c in names])
     path = scratch_path(spark, "sentence-runs")
     sentence_runs(docs, text, doc_id, sentences, least, long).write.parquet(path)
     cuts = repeated_runs(spark.read.parquet(path))
-    cuts = cuts.select(F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), F.col("cuts").alias("__cuts"))
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__copy"))
+    # names that no column of the documents has
+    prefix = "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in names), default=0))
+    doc, copy, spans_of = (prefix + n for n in ("doc", "copy", "cuts"))
+    cuts = cuts.select(F.col("doc").alias(doc), F.col("copy").alias(copy), F.col("cuts").alias(spans_of))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(copy))
     counts = {"n_sentences": F.lit(0), "n_removed": F.lit(0)}
-    joined = docs.join(cuts, same, "left").drop("__doc", "__copy").withColumns(counts)
+    joined = docs.join(cuts, same, "left").drop(doc, copy).withColumns(counts)
 
     def cut(batches):
         for block in blocks(batches, text):
@@ -207,7 +222,7 @@ def substring_dedup(
             found = Sentences(column)
             number = np.diff(found.first)
             removed, fixed = np.zeros(len(number), np.int64), {}
-            for d, spans in enumerate(block.column("__cuts").to_pylist()):
+            for d, spans in enumerate(block.column(spans_of).to_pylist()):
                 if not spans:
                     continue
                 gone = np.zeros(int(number[d]), bool)
@@ -222,7 +237,7 @@ def substring_dedup(
             if fixed:
                 texts = pa.array([fixed.get(d, t) for d, t in enumerate(column.to_pylist())], column.type)
             more = {text: texts, "n_sentences": pa.array(number, pa.int32()), "n_removed": pa.array(removed, pa.int32())}
-            kept = [n for n in block.schema.names if n != "__cuts"]
+            kept = [n for n in block.schema.names if n != spans_of]
             yield pa.RecordBatch.from_arrays([more.get(n, block.column(n)) for n in kept], names=kept)
 
-    return map_rows(joined, cut, joined.drop("__cuts").schema)
+    return map_rows(joined, cut, joined.drop(spans_of).schema)

@@ -74,6 +74,15 @@ def test_against_a_plain_pass(spark, corpus):
     assert sum(len(g) for _, g in want.values()) > 150
 
 
+@pytest.mark.parametrize("frequent", [0, 0.005, 2])
+def test_frequent_hashes_give_the_same(spark, corpus, monkeypatch, frequent):
+    """All hashes broadcast, some of them, none of them."""
+    want = plain(corpus)
+    monkeypatch.setattr(sd, "FREQUENT", frequent)
+    got = {r["doc_id"]: r["n_removed"] for r in sd.substring_dedup(documents(spark, corpus)).collect()}
+    assert got == {d: len(gone) for d, (_, gone) in want.items()}
+
+
 def test_a_passage_stays_once(spark):
     rng = random.Random(10)
     passage = prose(rng, 6)
@@ -117,11 +126,12 @@ def test_a_passage_goes_to_its_last_sentence(spark):
 def test_repeated_rows_null_ids_clashes_and_empty_tables(spark):
     rng = random.Random(11)
     one = prose(rng, 5)
-    docs = documents(spark, [one, "x. " + one]).selectExpr("*", "1 as doc", "2 as copy", "3 as cuts", "4 as `a.b`")
+    docs = documents(spark, [one, "x. " + one]).selectExpr("*", "1 as doc", "2 as copy", "3 as cuts", "4 as `a.b`", "5 as __doc", "6 as __cuts")
     twice = sd.substring_dedup(docs.union(docs))
     assert [c for c in docs.columns if c not in twice.columns] == []
     got = sorted((r["doc_id"], r["n_removed"], r["doc"], r["a.b"]) for r in twice.collect())
     assert got == [(0, 0, 1, 4)] * 2 + [(1, 5, 1, 4)] * 2
+    assert {(r["__doc"], r["__cuts"]) for r in twice.collect()} == {(5, 6)}
     null = docs.filter("doc_id = 1").selectExpr("cast(null as long) as doc_id", *docs.columns[1:5])
     found = sd.substring_dedup(docs.select(*docs.columns[:5]).union(null)).collect()
     assert {r["doc_id"]: r["n_removed"] for r in found} == {None: 0, 0: 5, 1: 6}
