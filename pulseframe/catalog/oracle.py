@@ -950,6 +950,35 @@ def _sources() -> dict[str, str]:
         + ")"
     )
     profile = f"email, first_name, last_name, {out('created_at:t updated_at:t')}"
+    pages = """
+        linked as (select cast(o_custkey as varchar) as request_id, o_orderkey as k,
+                case when row_number() over w > 1 then cast(o_orderkey as varchar) end as token,
+                cast(case when o_orderkey % 29 = 0 and row_number() over w > 2 then lag(o_orderkey) over w
+                    else lead(o_orderkey) over w end as varchar) as next_token
+            from orders window w as (partition by o_custkey order by o_orderkey)),
+        pages as (select request_id, token, next_token from linked where k % 23 <> 0
+            union all select request_id, token, next_token from linked where k % 23 <> 0 and k % 31 = 0
+            union all select request_id, token, null from linked where k % 37 = 0),
+        nodes as (select request_id, token, min(next_token) as next_token, count(*) as copies,
+                count(distinct coalesce(next_token, '')) > 1 as differ from pages group by 1, 2),
+        walk as (select request_id, next_token as token, 1 as position, [next_token] as seen from nodes
+                where token is null and next_token is not null
+            union all select w.request_id, n.next_token, w.position + 1, list_append(w.seen, n.next_token)
+            from walk w join nodes n on n.request_id = w.request_id and n.token = w.token
+            where n.next_token is not null and not list_contains(w.seen, n.next_token)),
+        chain as (select n.*, case when n.token is null then 0 else w.position end as position
+            from nodes n left join walk w on w.request_id = n.request_id and w.token = n.token)"""
+    q["src_page_chain"] = f"with recursive {pages} select * from chain"
+    q["src_page_faults"] = f"""with recursive {pages}
+        select 'repeated page' as reason, request_id, token from chain where copies > 1
+        union all select 'differing pages', request_id, token from chain where differ
+        union all select distinct 'missing page', request_id, next_token from chain c where next_token is not null
+            and not exists (from chain d where d.request_id = c.request_id and d.token = c.next_token)
+        union all select 'no first page', request_id, null from chain
+            group by request_id having count(*) = count(token)
+        union all select 'page not reached', request_id, token from chain where position is null
+        union all select 'circle', c.request_id, c.token from chain c join chain d
+            on d.request_id = c.request_id and d.token = c.next_token and d.position <= c.position"""
     q["doc_scd2_user"] = f"""
         with m as (select user_sk, user_id, {profile} from dim_user),
         k as (select md5(i) as user_sk, i as user_id, {profile}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulseframe.catalog import inputs
@@ -13,7 +13,7 @@ from pulseframe.functions.compat import is_bad_timestamp, parse_timestamp
 from pulseframe.operators import history, incremental
 from pulseframe.plans import dims, records, staging
 from pulseframe.session import scratch_path
-from pulseframe.sources import extract, landed, state, tables
+from pulseframe.sources import chain, extract, landed, state, tables
 from pulseframe.sources.specs import SOURCES, STATE_SCHEMA
 
 query = Registry()
@@ -79,6 +79,32 @@ def _(spark, sf_dir):
     return _parsed(pages, "cycle").select("id", "user_id", "created_at", "strain")
 
 
+def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a page of its customer's request, with gaps, circles and repeats."""
+    by = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    key = F.col("o_orderkey")
+    place, before = F.row_number().over(by), F.lag(key).over(by)
+    pages = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_custkey").cast("string").alias("request_id"),
+        F.when(place > 1, key).cast("string").alias("token"),
+        F.when((key % 29 == 0) & (place > 2), before).otherwise(F.lead(key).over(by)).cast("string").alias("next_token"),
+        key.alias("k"),
+    )
+    kept = pages.filter("k % 23 <> 0")
+    lost_end = pages.filter("k % 37 = 0").withColumn("next_token", F.lit(None).cast("string"))
+    return kept.union(kept.filter("k % 31 = 0")).union(lost_end).drop("k")
+
+
+@query("src_page_chain")
+def _(spark, sf_dir):
+    return chain.follow(_order_pages(spark, sf_dir))
+
+
+@query("src_page_faults")
+def _(spark, sf_dir):
+    return chain.faults(_order_pages(spark, sf_dir))
+
+
 @query("src_ingested_at")
 def _(spark, sf_dir):
     stamped = landed.stamp_ingested(inputs.raw(spark, sf_dir, "cycle"), BATCH_TIME)

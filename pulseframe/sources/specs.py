@@ -178,12 +178,17 @@ class SourceSpec:
 
     @property
     def page_schema(self) -> T.StructType:
-        """Schema of one page; a payload that is one bare record fits as well."""
+        """Schema of one page; a payload that is one bare record fits as well.
+
+        ``request_id`` and ``token`` say which request and token brought the page, if that was landed.
+        """
         record = self.record_schema
         return T.StructType(
             [
                 T.StructField("records", T.ArrayType(record)),
                 T.StructField("next_token", T.StringType()),
+                T.StructField("request_id", T.StringType()),
+                T.StructField("token", T.StringType()),
                 *record.fields,
             ]
         )

@@ -1,0 +1,111 @@
+"""Chains of pages against a plain walk; faults in the quarantine of a run."""
+
+import datetime as dt
+import json
+import random
+from collections import defaultdict
+
+from pulseframe.sources import chain, extract
+
+PAGES = "request_id string, token string, next_token string, records int"
+
+
+def plain(rows):
+    """Faults by walking each request page by page."""
+    by = defaultdict(lambda: defaultdict(list))
+    for request, token, following, _ in rows:
+        if request is not None:
+            by[request][token or None].append(following or None)
+    out, positions = set(), {}
+    for request, pages in by.items():
+        go = {t: min((n for n in found if n), default=None) for t, found in pages.items()}
+        seen, at = [], None
+        while at in go and at not in seen:
+            seen.append(at)
+            at = go[at]
+            if at is None:
+                break
+        if seen and at is not None and at in seen:
+            out.add(("circle", request, seen[-1]))
+        positions |= {(request, t): i for i, t in enumerate(seen)}
+        if None not in go:
+            out.add(("no first page", request, None))
+        for t, found in pages.items():
+            if len(found) > 1:
+                out.add(("repeated page", request, t))
+            if len(set(found)) > 1:
+                out.add(("differing pages", request, t))
+            if t not in seen:
+                out.add(("page not reached", request, t))
+            if go[t] is not None and go[t] not in go:
+                out.add(("missing page", request, go[t]))
+    return out, positions
+
+
+def found(spark, rows):
+    pages = spark.createDataFrame(rows, PAGES)
+    got = [tuple(r) for r in chain.faults(pages).collect()]
+    assert len(got) == len(set(got))
+    positions = {(r.request_id, r.token): r.position for r in chain.follow(pages).collect()}
+    return set(got), {k: p for k, p in positions.items() if p is not None}
+
+
+def whole(request, n):
+    return [(request, str(i) if i else None, str(i + 1) if i < n - 1 else None, 1) for i in range(n)]
+
+
+def test_whole_chains_of_any_length_have_no_faults(spark):
+    rows = [r for n in (1, 2, 3, 4, 5, 300) for r in whole(f"r{n}", n)]
+    got, positions = found(spark, rows)
+    assert got == set() and len(positions) == 315
+    assert {r.differ for r in chain.follow(spark.createDataFrame(rows, PAGES)).collect()} == {False}
+    assert positions[("r300", "299")] == 299 and positions[("r1", None)] == 0
+
+
+def test_against_a_plain_walk(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(40):
+        pages = whole(f"r{k}", rng.randrange(1, 30))
+        for _ in range(rng.randrange(4)):
+            i = rng.randrange(len(pages))
+            change = rng.randrange(4)
+            if change == 0 and len(pages) > 1:
+                del pages[i]
+            elif change == 1:
+                pages.append(pages[i])
+            elif change == 2:
+                pages[i] = (*pages[i][:2], rng.choice(["1", "2", "17", "", None]), 1)
+            else:
+                pages.append((*pages[i][:2], "5", 2))
+        rows += pages
+    rows += [(None, None, "1", 1), ("self", None, "a", 1), ("self", "a", "a", 1), ("empty", "", "", 1)]
+    rng.shuffle(rows)
+    got, positions = found(spark, rows)
+    assert (got, positions) == plain(rows)
+    assert {r for r, _, _ in got} == {
+        "circle", "no first page", "repeated page", "differing pages", "page not reached", "missing page",
+    }
+
+
+def test_no_pages(spark):
+    assert found(spark, []) == (set(), {})
+
+
+def test_a_broken_chain_is_quarantined(spark, tmp_path):
+    def page(i, token, following):
+        record = {"id": f"c{i}", "user_id": 1, "created_at": "2024-05-01T00:00:00Z", "updated_at": "2024-05-01T00:00:00Z"}
+        return json.dumps({"request_id": "q", "token": token, "records": [record], "next_token": following})
+
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    (landed / "a.json").write_text("\n".join([page(0, None, "b"), page(1, "b", "c"), page(2, "d", None)]))
+    root, now = str(tmp_path / "root"), dt.datetime(2024, 6, 1)
+    log = extract.run_extract(spark, {"cycle": str(landed)}, root, now).first()
+    assert (log.status, log.records, log.rejected) == ("incomplete", 3, 2)
+    rows = spark.read.parquet(f"{root}/{extract.QUARANTINE_TABLE}").collect()
+    assert {(r.reason, json.loads(r.content).get("token")) for r in rows} == {("missing page", "c"), ("page not reached", "d")}
+    # the same pages in one piece, and pages that name no request
+    (landed / "a.json").write_text("\n".join([page(0, None, "b"), page(1, "b", "d"), page(2, "d", None)]))
+    log = extract.run_extract(spark, {"cycle": str(landed)}, str(tmp_path / "other"), now).first()
+    assert (log.status, log.records, log.rejected) == ("success", 3, 0)
