@@ -926,6 +926,19 @@ def _sources() -> dict[str, str]:
             q["mat_incremental_merge"] = (
                 f"{loads} select {out(_kinds(source, True))} from ({merged})"
             )
+            wrong = {
+                "not_null_cycle_id": "cycle_id is null",
+                "not_null_skin_temp_celsius": "skin_temp_celsius is null",
+                "accepted_range_recovery_score": "recovery_score < 20 or recovery_score > 80",
+            }
+            counts = " union all ".join(
+                f"select '{name}' as test, count(*) filter (where {rule}) as failures from merged"
+                for name, rule in wrong.items()
+            )
+            q["dq_while_writing"] = (
+                f"{loads}, merged as ({merged}) select test, failures, failures <> 0 as should_warn, "
+                f"failures <> 0 as should_error from ({counts})"
+            )
             continue
         q["join_merge_key"] = (
             f"{loads} select id, user_id, {out('updated_at:t')} from ({merged})"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulseframe.catalog import inputs
 from pulseframe.catalog.registry import Registry
 from pulseframe.functions.compat import is_bad_timestamp, parse_timestamp
-from pulseframe.operators import history, incremental
+from pulseframe.operators import history, incremental, quality
 from pulseframe.plans import dims, records, staging
 from pulseframe.session import scratch_path
 from pulseframe.sources import chain, extract, landed, state, tables
@@ -354,6 +354,22 @@ def _(spark, sf_dir):
     return incremental.merge_upsert(first, batch, ["id"]).select("id", "user_id", "updated_at")
 
 
+@query("dq_while_writing")
+def _(spark, sf_dir):
+    """Failures that were counted while a table was loaded and then merged into, per check."""
+    path = scratch_path(spark, "watched")
+    rules = [
+        quality.null_check("cycle_id"),
+        quality.null_check("skin_temp_celsius"),
+        quality.range_check("recovery_score", 20, 80),
+    ]
+    first, batch = _first_and_next(spark, sf_dir, "recovery")
+    for df in (first, batch):
+        laid_out = df.withColumn("month", tables.month_of("created_at"))
+        tables.upsert(laid_out, path, ["cycle_id"], "month", checks=rules)
+    return quality.counted(spark, tables.failures(spark, path, rules, "month"))
+
+
 @query("mat_merge_partial")
 def _(spark, sf_dir):
     first, batch = _first_and_next(spark, sf_dir, "cycle")

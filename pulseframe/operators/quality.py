@@ -1,20 +1,27 @@
 """Data-quality checks: failing rows of one check, or a summary of many.
 
 A suite reads its table once for all row checks (conditional counts) and once
-per uniqueness or relationship check; those reduce in the map tasks first.
+per uniqueness or relationship check; those reduce in the map tasks first. Row
+checks can be counted while a table is written instead (:func:`watch`), so that
+they need no reading at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Batch volume above which a source is reported.
 HIGH_VOLUME = 1000
+# Parts of a table (months, say) whose failures are told apart while it is written.
+MAX_PARTS = 10_000
+# Stands for rows without a part in :func:`watch`.
+_NO_PART = -1
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -201,3 +208,57 @@ def run_suite(
     parts = [with_flags(counts.select(F.inline(F.array(*entries))))] if row_checks else []
     parts += [summarize(c.failing, c.name, c.weight) for c in key_checks]
     return reduce(DataFrame.unionByName, parts)
+
+
+def watch(
+    df: DataFrame, row_checks: Sequence[RowCheck], part: Column | None = None
+) -> tuple[DataFrame, Observation]:
+    """Count failing rows per check and part while the rows pass to where they are written.
+
+    ``part`` is a whole number of zero or more, or null. The counts are a histogram with a bin per
+    part, which is exact up to ``MAX_PARTS`` parts; :func:`watched` returns none beyond. Call this
+    after the last shuffle before the write: Spark counts a task of the last stage once, however
+    often it is run, but tasks of earlier stages again when a lost executor makes it repeat them.
+    """
+    part = F.lit(0) if part is None else F.coalesce(part, F.lit(_NO_PART))
+    bins = [
+        F.to_json(F.histogram_numeric(F.when(c.fails, part), F.lit(MAX_PARTS))).alias(c.name)
+        for c in row_checks
+    ]
+    seen = Observation()
+    return df.observe(seen, F.count("*").alias("rows watched"), *bins), seen
+
+
+def watched(seen: Observation, row_checks: Sequence[RowCheck]) -> dict[str, dict[str, int]] | None:
+    """Failures per check and part of a finished write; parts without a failure are left out.
+
+    None if there were too many parts to tell, so that the table has to be read.
+    """
+    found = seen.get
+    if "rows watched" not in found:
+        return None
+    counts: dict[str, dict[str, int]] = {}
+    for check in row_checks:
+        parts: dict[str, int] = {}
+        for b in json.loads(found[check.name] or "[]"):
+            name = "null" if b["x"] == _NO_PART else str(int(b["x"]))
+            parts[name] = parts.get(name, 0) + round(b["y"])
+        if len(parts) >= MAX_PARTS:
+            return None
+        counts[check.name] = parts
+    return counts
+
+
+def failures_by_part(
+    df: DataFrame, row_checks: Sequence[RowCheck], part: Column | None = None
+) -> dict[str, dict[str, int]]:
+    """The same counts from a table that is read for them; a row per part comes to the driver."""
+    counts = [F.count_if(F.coalesce(c.fails, F.lit(False))).alias(c.name) for c in row_checks]
+    key = F.lit("0") if part is None else F.coalesce(part.cast("string"), F.lit("null"))
+    rows = df.groupBy(key.alias("part of table")).agg(*counts).collect()
+    return {c.name: {r[0]: r[c.name] for r in rows if r[c.name]} for c in row_checks}
+
+
+def counted(spark: SparkSession, failures: Mapping[str, int]) -> DataFrame:
+    """Summary rows of failures that are known."""
+    return with_flags(spark.createDataFrame(list(failures.items()), "test string, failures long"))

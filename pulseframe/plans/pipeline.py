@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial, reduce
 
 from pyspark import StorageLevel
@@ -98,16 +98,16 @@ def build_staging(
 
     A row that is not staged yet was ingested after the newest staged one, or on the same day.
     """
-    path = f"{root}/stg_{source}"
+    path, rows = f"{root}/stg_{source}", checks.staging_rows(SOURCES[source].key)
     if full_refresh or not tables.table_exists(spark, path):
         raw = _raw(spark, root, source)
-        tables.replace(_created_month(staging.stage(raw, source)), path, [MONTH])
+        tables.replace(_created_month(staging.stage(raw, source)), path, [MONTH], checks=rows)
         return
     created, ingested = _newest(spark, root, f"stg_{source}", "created_at", "ingested_at")
     raw = _raw(spark, root, source, since=ingested)
     if created is not None:
         raw = after_watermark(raw, "created_at", created)
-    tables.upsert(_created_month(staging.stage(raw, source)), path, [SOURCES[source].key], MONTH)
+    tables.upsert(_created_month(staging.stage(raw, source)), path, [SOURCES[source].key], MONTH, checks=rows)
 
 
 def build_dims(spark: SparkSession, root: str) -> None:
@@ -116,11 +116,17 @@ def build_dims(spark: SparkSession, root: str) -> None:
     tables.replace(dims.dim_date(spark), f"{root}/dim_date")
 
 
-def _write_fact(df: DataFrame, path: str, keys: list[str], full_refresh: bool) -> None:
+def _write_fact(
+    df: DataFrame,
+    path: str,
+    keys: list[str],
+    full_refresh: bool,
+    rows: Sequence[quality.RowCheck] = (),
+) -> None:
     """Facts lie by month of the day and sorted by user and day inside a file."""
     laid_out = _day_month(df)
     if full_refresh or not tables.table_exists(df.sparkSession, path):
-        tables.replace(laid_out, path, [MONTH], sort_by=["user_sk", "date_sk"])
+        tables.replace(laid_out, path, [MONTH], ["user_sk", "date_sk"], rows)
     else:
         tables.upsert(
             laid_out,
@@ -129,6 +135,7 @@ def _write_fact(df: DataFrame, path: str, keys: list[str], full_refresh: bool) -
             MONTH,
             partition_is_part_of_key=True,
             on_schema_change="append_new_columns",
+            checks=rows,
         )
 
 
@@ -181,6 +188,7 @@ def refresh_ranks(spark: SparkSession, root: str) -> None:
         partition_is_part_of_key=True,
         merge=partial(update_matched, update=ranks),
         on_schema_change="append_new_columns",
+        checks=checks.recovery_rows(),
     )
     tables.remove(spark, pending)
 
@@ -212,7 +220,7 @@ def build_fact_recovery(spark: SparkSession, root: str, full_refresh: bool = Fal
     )
     keys = ["user_sk", "date_sk"]
     if since is None:
-        _write_fact(fact, path, keys, True)
+        _write_fact(fact, path, keys, True, checks.recovery_rows())
         for name in (PENDING_RANKS, PENDING_DAYS, SEASON_STATE):
             tables.remove(spark, f"{root}/{name}")
         return
@@ -224,7 +232,7 @@ def build_fact_recovery(spark: SparkSession, root: str, full_refresh: bool = Fal
     fact = spark.read.parquet(come)
     gone = _read(spark, root, RECOVERY, month).select(*columns).join(fact.select(*keys), keys, "left_semi")
     tables.replace(gone, f"{part}/sign=-1")
-    _write_fact(fact, path, keys, False)
+    _write_fact(fact, path, keys, False, checks.recovery_rows())
     refresh_ranks(spark, root)
 
 
@@ -323,7 +331,7 @@ def build_fact_strain(
         since=since,
         late_workouts=late_workouts,
     )
-    _write_fact(fact, path, ["user_sk", "date_sk"], full_refresh)
+    _write_fact(fact, path, ["user_sk", "date_sk"], full_refresh, checks.strain_rows())
 
 
 # Metric tables: the function and the tables it reads.
@@ -364,23 +372,39 @@ def build_metrics(
     build_seasonal(spark, root, at, full_refresh)
 
 
+def _at_ends(spark: SparkSession, root: str, run_at: dt.datetime) -> DataFrame:
+    """Strain rows of the months that can hold days too old or in the future; others cannot fail."""
+    now = month_number(run_at)
+    month = F.col(MONTH)
+    ends = month.isNull() | (month <= now - 100 * checks.MAX_AGE_YEARS) | (month >= now)
+    return spark.read.parquet(f"{root}/{STRAIN}").filter(ends).drop(MONTH)
+
+
 def run_checks(spark: SparkSession, root: str, run_at: dt.datetime) -> DataFrame:
     """All checks of the written tables: staging, facts, batch volumes and freshness.
 
-    Appends one row per check to the table of results and returns these rows.
+    Row checks were counted as the tables were written, so no table is read for them. Appends one row per check to the table of results and returns these rows.
     """
     as_of = F.lit(run_at.date())
 
     def suite(name: str, results: DataFrame) -> DataFrame:
         return results.select(F.lit(name).alias("suite"), "test", "failures", "should_warn", "should_error")
 
-    parts = [
-        suite(f"stg_{s}", checks.staging_suite(_read(spark, root, f"stg_{s}"), SOURCES[s].key))
-        for s in STAGED
-    ]
+    def kept(name: str, rows: list[quality.RowCheck]) -> DataFrame:
+        failures = tables.failures(spark, f"{root}/{name}", rows, MONTH)
+        return suite(name, quality.counted(spark, failures))
+
+    parts = []
+    for name, key in ((f"stg_{s}", SOURCES[s].key) for s in STAGED):
+        parts.append(kept(name, checks.staging_rows(key)))
+        staged = _read(spark, root, name)
+        parts.append(suite(name, quality.run_suite(staged, [], checks.staging_keys(staged, key))))
     users, days = _read(spark, root, "dim_user"), _read(spark, root, DAYS)
-    parts.append(suite(STRAIN, checks.strain_suite(_read(spark, root, STRAIN), users, days, as_of)))
-    parts.append(suite(RECOVERY, checks.recovery_suite(_read(spark, root, RECOVERY))))
+    strain, recovery = _read(spark, root, STRAIN), _read(spark, root, RECOVERY)
+    parts += [kept(STRAIN, checks.strain_rows()), kept(RECOVERY, checks.recovery_rows())]
+    parts.append(suite(STRAIN, quality.run_suite(strain, [], checks.strain_keys(strain, users, days))))
+    parts.append(suite(STRAIN, quality.run_suite(_at_ends(spark, root, run_at), checks.date_checks(as_of))))
+    parts.append(suite(RECOVERY, quality.run_suite(recovery, [], checks.recovery_keys(recovery))))
     if tables.table_exists(spark, f"{root}/{extract.RUN_LOG_TABLE}"):
         log = spark.read.schema(extract.RUN_LOG_SCHEMA).parquet(f"{root}/{extract.RUN_LOG_TABLE}")
         last = log.filter(F.col("run_at") == log.agg(F.max("run_at")).scalar())
@@ -457,5 +481,5 @@ def backfill_range(
 ) -> None:
     """Stage again the records created in a date range, whatever the watermark says."""
     raw = records.created_between(_raw(spark, root, source), first, last)
-    batch = _created_month(staging.stage(raw, source))
-    tables.upsert(batch, f"{root}/stg_{source}", [SOURCES[source].key], MONTH)
+    batch, key = _created_month(staging.stage(raw, source)), SOURCES[source].key
+    tables.upsert(batch, f"{root}/stg_{source}", [key], MONTH, checks=checks.staging_rows(key))

@@ -7,6 +7,10 @@ behind: whoever opens the table next (:func:`read_table`, :func:`upsert`, :func:
 the replacement first. A copy without a plan was not complete, and the table is still whole.
 
 A partitioned table without rows holds one file without rows, so that its schema can be read.
+
+A write can count the failures of row checks as the rows pass. They are kept per partition in a file
+of the table, so after an upsert the counts of the other partitions still hold (:func:`failures`).
+Every write without checks removes that file.
 """
 
 from __future__ import annotations
@@ -19,10 +23,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulseframe.operators import quality
 from pulseframe.operators.incremental import align_schema, fill_missing, merge_upsert
 
 # Not read as data, because of the underscore.
 PLAN = "_rewrite_plan"
+COUNTS = "_check_counts"
 _STAGED = "__staged"
 # Fixed value: the folder of rows that have no partition value.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -92,39 +98,103 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def _laid_out(
-    df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()
-) -> DataFrame:
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a partition gathered into few files of even size.
 
     Without this every task would write a file into every partition it has rows
     of. Adaptive execution splits large partitions over several tasks again.
     """
-    if not partition_by:
-        return df.sortWithinPartitions(*sort_by) if sort_by else df
-    gathered = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    return gathered.sortWithinPartitions(*partition_by, *sort_by) if sort_by else gathered
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
+def _part(partition_by: Sequence[str]) -> Column | None:
+    """What checks are counted by: the partition, if there is one."""
+    if len(partition_by) > 1:
+        raise ValueError("checks are counted by one partition column")
+    return F.col(partition_by[0]) if partition_by else None
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     recover(df.sparkSession, path)
-    _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    _delete(df.sparkSession, f"{path}/{COUNTS}")
+    _gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    checks: Sequence[quality.RowCheck] = (),
 ) -> None:
     """Replace the whole table by a frame that does not read it.
 
     What an interrupted rewrite left to do is void then.
     """
-    if not path.endswith(_STAGED):
-        _delete(df.sparkSession, f"{_staged_path(path)}/{PLAN}")
-    writer = _laid_out(df, partition_by, sort_by).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
-    writer.parquet(path)
-    if not path.endswith(_STAGED):
-        _keep_schema(df.sparkSession, df.schema, path, partition_by)
+    spark = df.sparkSession
+    _delete(spark, f"{_staged_path(path)}/{PLAN}")
+    counts = _write(df, path, partition_by, sort_by, checks)
+    _keep_schema(spark, df.schema, path, partition_by)
+    _keep_counts(spark, path, counts)
+
+
+def _write(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    sort_by: Sequence[str] = (),
+    checks: Sequence[quality.RowCheck] = (),
+) -> dict | None:
+    """Write the files of a table; the failures of the checks, if they were counted."""
+    rows, seen = _gathered(df, partition_by), None
+    if checks:
+        rows, seen = quality.watch(rows, checks, _part(partition_by))
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
+    found = quality.watched(seen, checks) if seen else None
+    return None if found is None else _with_rules(found, checks)
+
+
+def _with_rules(found: dict, checks: Sequence[quality.RowCheck]) -> dict:
+    """Counts beside the rule that they are of, so that a changed rule is seen."""
+    return {c.name: {"rule": str(c.fails), "parts": found[c.name]} for c in checks}
+
+
+def _keep_counts(spark: SparkSession, path: str, counts: dict | None) -> None:
+    if counts is None:
+        _delete(spark, f"{path}/{COUNTS}")
+    else:
+        _write_json(spark, f"{path}/{COUNTS}", counts)
+
+
+def failures(
+    spark: SparkSession, path: str, checks: Sequence[quality.RowCheck], partition_by: str | None = None
+) -> dict[str, int]:
+    """Failing rows of each check in a table, as they were counted when it was written.
+
+    Where they were not, or a rule has changed since, the table is read once and the counts are kept.
+    """
+    recover(spark, path)
+    kept = _read_json(spark, f"{path}/{COUNTS}") or {}
+    if any(kept.get(c.name, {}).get("rule") != str(c.fails) for c in checks):
+        part = _part([partition_by] if partition_by else [])
+        kept = _with_rules(quality.failures_by_part(spark.read.parquet(path), checks, part), checks)
+        _keep_counts(spark, path, kept)
+    return {c.name: sum(kept[c.name]["parts"].values()) for c in checks}
+
+
+def _counts_after(spark: SparkSession, path: str, new: dict | None, parts: Sequence[str]) -> dict | None:
+    """Counts of a table of which some partitions are replaced; none unless all others were counted."""
+    old = _read_json(spark, f"{path}/{COUNTS}")
+    if new is None or old is None or any(old.get(n, {}).get("rule") != c["rule"] for n, c in new.items()):
+        return None
+    replaced = {n.split("=", 1)[1].replace(_NO_VALUE, "null") for n in parts}
+    for name, c in new.items():
+        left = {p: n for p, n in old[name]["parts"].items() if p not in replaced}
+        c["parts"] = left | c["parts"]
+    return new
 
 
 def _keep_schema(spark: SparkSession, schema: T.StructType, path: str, partition_by: Sequence[str]) -> None:
@@ -137,7 +207,11 @@ def _keep_schema(spark: SparkSession, schema: T.StructType, path: str, partition
 
 
 def rewrite(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), touched: DataFrame | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    touched: DataFrame | None = None,
+    checks: Sequence[quality.RowCheck] = (),
 ) -> None:
     """Overwrite a table by a frame that may read it, through a staged copy.
 
@@ -146,34 +220,48 @@ def rewrite(
     """
     spark = df.sparkSession
     staged = _staged_path(path)
-    replace(df, staged, partition_by)
+    counts = _write(df, staged, partition_by, checks=checks)
     gone = []
     if touched is not None:
         (column,) = partition_by
         written = spark.read.schema(df.schema).parquet(staged).select(column).distinct()
         gone = [r[0] for r in touched.select(column).distinct().exceptAll(written).collect()]
+    parts = entries(spark, staged)
+    if touched is not None:
+        replaced = parts + [_folder(partition_by[0], v) for v in gone]
+        counts = _counts_after(spark, path, counts, replaced)
     plan = {
         "partition_by": list(partition_by),
         "by_partition": touched is not None,
-        "parts": entries(spark, staged),
+        "parts": parts,
         "gone": gone,
         "schema": df.schema.jsonValue(),
+        "counts": counts,
     }
     _write_plan(spark, staged, plan)
     recover(spark, path)
 
 
 def _write_plan(spark: SparkSession, staged: str, plan: dict) -> None:
-    """Write the plan under another name and rename it, so it is there as a whole or not at all."""
-    fs, where = _files(spark, f"{staged}/{PLAN}.part")
+    _write_json(spark, f"{staged}/{PLAN}", plan)
+
+
+def _folder(column: str, value) -> str:
+    return f"{column}={_NO_VALUE if value is None else value}"
+
+
+def _write_json(spark: SparkSession, path: str, content: dict) -> None:
+    """Write a small file under another name and rename it, so it is there as a whole or not at all."""
+    fs, where = _files(spark, f"{path}.part")
     out = fs.create(where, True)
-    out.write(bytearray(json.dumps(plan).encode()))
+    out.write(bytearray(json.dumps(content).encode()))
     out.close()
-    fs.rename(where, _files(spark, f"{staged}/{PLAN}")[1])
+    fs.delete(_files(spark, path)[1], False)
+    fs.rename(where, _files(spark, path)[1])
 
 
-def _read_plan(spark: SparkSession, staged: str) -> dict | None:
-    fs, where = _files(spark, f"{staged}/{PLAN}")
+def _read_json(spark: SparkSession, path: str) -> dict | None:
+    fs, where = _files(spark, path)
     if not fs.exists(where):
         return None
     reader = fs.open(where)
@@ -189,12 +277,13 @@ def recover(spark: SparkSession, path: str) -> bool:
     that is not in the copy any more has been moved.
     """
     staged, path = _staged_path(path), path.rstrip("/")
-    plan = _read_plan(spark, staged)
+    plan = _read_json(spark, f"{staged}/{PLAN}")
     if plan is None:
         return False
     fs, where = _files(spark, path)
     fs.mkdirs(where)
-    old = [f"{plan['partition_by'][0]}={_NO_VALUE if v is None else v}" for v in plan["gone"]]
+    _delete(spark, f"{path}/{COUNTS}")
+    old = [_folder(plan["partition_by"][0], v) for v in plan["gone"]]
     if not plan["by_partition"]:
         old += [n for n in entries(spark, path) if n not in plan["parts"]]
     for name in old:
@@ -206,6 +295,7 @@ def recover(spark: SparkSession, path: str) -> bool:
             if not fs.rename(_files(spark, f"{staged}/{name}")[1], _files(spark, f"{path}/{name}")[1]):
                 raise OSError(f"cannot move {staged}/{name} into {path}")
     _keep_schema(spark, T.StructType.fromJson(plan["schema"]), path, plan["partition_by"])
+    _keep_counts(spark, path, plan.get("counts"))
     _delete(spark, f"{staged}/{PLAN}")
     _delete(spark, staged)
     return True
@@ -219,6 +309,7 @@ def upsert(
     partition_is_part_of_key: bool = False,
     merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = merge_upsert,
     on_schema_change: str = "fail",
+    checks: Sequence[quality.RowCheck] = (),
 ) -> int:
     """Merge ``source`` (unique on ``keys``) into a Parquet table.
 
@@ -245,9 +336,9 @@ def upsert(
             append(batch.filter(null_key), rejected_path(path))
             good = batch.filter(~null_key)
         if not table_exists(spark, path):
-            replace(good, path, columns)
+            replace(good, path, columns, checks=checks)
         else:
-            _merge_into(good, path, keys, partition_by, partition_is_part_of_key, merge, on_schema_change)
+            _merge_into(good, path, keys, partition_by, partition_is_part_of_key, merge, on_schema_change, checks)
     finally:
         batch.unpersist()
     return rejected
@@ -261,6 +352,7 @@ def _merge_into(
     partition_is_part_of_key: bool,
     merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame],
     on_schema_change: str,
+    checks: Sequence[quality.RowCheck] = (),
 ) -> None:
     spark = source.sparkSession
     widen = on_schema_change == "append_new_columns"
@@ -268,7 +360,7 @@ def _merge_into(
     target = align_schema(stored, source, on_schema_change)
     source = fill_missing(source, target)
     if partition_by is None:
-        rewrite(merge(target, source, keys), path)
+        rewrite(merge(target, source, keys), path, checks=checks)
         return
     columns = [partition_by]
     # of a table without rows the reader cannot tell the kind of the partition column
@@ -290,4 +382,4 @@ def _merge_into(
     if None in values:
         scope = scope | part.isNull()
     known = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(partition_by, kind)]))
-    rewrite(merge(target.filter(scope), source, keys), path, columns, known)
+    rewrite(merge(target.filter(scope), source, keys), path, columns, known, checks)
