@@ -83,3 +83,80 @@ def test_probabilities_of_short_texts_stay_below_one(spark):
     letters = [*string.ascii_lowercase]
     got = scored(spark, ["", *letters, *[a + b for a in letters for b in letters[:5]]], "doc_id < 20")
     assert sum(10 ** r["score"] for r in got.values()) < 1
+
+
+def segmentations(word, pieces):
+    """Every way to write a word in pieces; None is a character that is no piece."""
+    if not word:
+        yield []
+    for k in range(1, len(word) + 1):
+        piece = word[:k] if word[:k] in pieces else None
+        if piece or k == 1:
+            yield from ([piece, *rest] for rest in segmentations(word[k:], pieces))
+
+
+def piece_model(counts, pieces, add):
+    """Smoothed probabilities; the unknown piece's is shared out over all code points."""
+    total = sum(counts.values()) + add * (len(pieces) + 1)
+    p = {s: (counts.get(s, 0) + add) / total for s in (*pieces, None)}
+    return {**p, None: p[None] / 0x110000}
+
+
+def by_definition(rows, pieces):
+    """Probability of each text: all segmentations are listed, nothing is summed recursively."""
+    groups = sorted({g for _, g, train in rows if train}) + [None]
+    every = [*groups, "all"]
+    words = {g: Counter() for g in every}
+    ends = dict.fromkeys(every, 0)
+    for text, g, train in rows:
+        for name in (g, "all") if train else ():
+            words[name].update(tokens(text)[:-1])
+            ends[name] += 1
+    spelt = {w: list(segmentations("▁" + w, pieces)) for t, _, _ in rows for w in tokens(t)[:-1]}
+
+    def likely(word, p):
+        return [math.prod(p[s] for s in found) for found in spelt[word]]
+
+    def expected(seen, p):
+        total = Counter()
+        for w in seen:
+            shares = likely(w, p)
+            for found, share in zip(spelt[w], shares, strict=True):
+                for s in found:
+                    total[s] += share / sum(shares)
+        return total
+
+    start = piece_model(pieces, pieces, 1e-9)
+    once = piece_model(expected(words["all"], start), pieces, 0.1)
+    models = {g: piece_model(expected(words[g], once), pieces, 0.1) for g in every}
+    size = {g: words[g].total() + ends[g] + 2 for g in every}
+
+    def of_word(g, w):
+        left = (0.75 * (len(words[g]) + 1) + 1) / size[g]
+        return max(words[g][w] - 0.75, 0) / size[g] + left * sum(likely(w, models[g]))
+
+    def mixed(g, of):
+        return 0.9 * of(g) + 0.1 * of("all")
+
+    out = []
+    for text, _, _ in rows:
+        p = 0.0
+        for g in groups:
+            share = (ends[g] + 1) / sum(ends[x] + 1 for x in groups)
+            factors = [mixed(g, lambda x, w=w: of_word(x, w)) for w in tokens(text)[:-1]]
+            p += share * math.prod(factors) * mixed(g, lambda x: (ends[x] + 1 - 0.75) / size[x])
+        out.append(math.log10(p))
+    return out
+
+
+def test_scores_are_sums_over_all_listed_segmentations(spark):
+    rows = [
+        ("the cat sat", "en", True), ("The cats  sat", "en", True), ("der kater sass", "de", True), (None, "de", True),
+        ("le chat 中", "fr", True), ("the kater", "en", False), ("unheard \U00010428x", "de", False), ("", None, False),
+    ]
+    found, scores = lm_score.vocabulary()
+    pieces = dict(zip(found, map(math.exp, scores), strict=True))
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, text string, lang string, train boolean")
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(docs).collect()}
+    for i, want in enumerate(by_definition(rows, pieces)):
+        assert got[i] == pytest.approx(want, rel=1e-9)
