@@ -23,12 +23,16 @@ BLOCKS = frozenset(
     "tfoot thead tr ul".split()
 )
 # What these hold is never main text.
-DROPPED = frozenset("nav footer aside form button dialog menu head fieldset label".split())
+DROPPED = frozenset("nav footer aside form button dialog menu head fieldset".split())
+# Dropped only outside of an article or main element: within one they can belong to it.
+DROPPED_OUTSIDE = frozenset(("header", "label"))
 CONTENT = frozenset(("article", "main"))
 # What a head can hold; anything else ends it.
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 # A marked element or form with more than this part of the page's words holds the page.
 MOST_WORDS = 0.75
+# A link belongs to the sentence around it if its block has this many other words, and so few linked ones for each.
+LEAST_PLAIN, MOST_LINKED = 2, 4
 # Parts of a class, id or role that mark the same.
 MARKS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar widget ad ads adv advert adverts "
@@ -49,12 +53,15 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop|style|aria-hidden|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_SENTENCE_END = re.compile(r"[.!?…。！？।؟]")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Weights of words and tags where no page is labelled.
 DEFAULT: Mapping[str, float] = {"word": 1.0, "link word": -0.5, "outside word": -1.0, "dropped": -4.0, "tag": -0.1}
 # Labelled pages: weights are kept within these, so that words stay positive and tags negative.
 LEAST, MOST = 0.05, 6.0
+# Weight of a tag or dropped element within an article or main element, which is content by itself.
+INNER = -LEAST
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -68,7 +75,7 @@ def _is_hidden(attributes: Mapping[str, str]) -> bool:
 
 
 def _is_dropped(name: str, attributes: Mapping[str, str], in_content: bool) -> bool:
-    if name in DROPPED or name == "header" and not in_content:
+    if name in DROPPED or name in DROPPED_OUTSIDE and not in_content:
         return True
     if not attributes:
         return False
@@ -86,9 +93,11 @@ def _is_dropped(name: str, attributes: Mapping[str, str], in_content: bool) -> b
 def tokens(html: str) -> Iterator[tuple[str, str]]:
     """(kind, value) of a page: ``word`` kinds with a run of text, ``tag`` kinds with a name.
 
+    A tag within an article or main element is an ``inner tag``.
+
     Kinds of text are ``word``, ``link word`` (in a link), ``content word`` (in an article or main
-    element). A dropped element is one ``dropped`` token, whatever it holds; comments, scripts and
-    the like are none. Unclosed elements end with what holds them, or with the page. A form or an
+    element). A dropped element is one ``dropped`` token, whatever it holds, or an ``inner dropped`` one
+    within an article or main element; comments, scripts and the like are none. Unclosed elements end with what holds them, or with the page. A form or an
     element with a mark that holds the page (its only article or main elements, or MOST_WORDS) is a
     ``dropped`` token too, but what it holds is not dropped.
     """
@@ -122,6 +131,12 @@ def _scan(html: str, spared: frozenset[int], held: list[dict]) -> Iterator[tuple
             record["end"], record["end_words"] = at, words
         return open_.pop()
 
+    def tag() -> str:
+        return "inner tag" if content else "tag"
+
+    def drop() -> str:
+        return "inner dropped" if content else "dropped"
+
     open_: list[tuple[str, bool]] = []  # name, and whether what it holds is dropped
     links = dropped = content = at = 0
     size = len(html)
@@ -159,8 +174,10 @@ def _scan(html: str, spared: frozenset[int], held: list[dict]) -> Iterator[tuple
                     if n == name:
                         break
                 links = 0
+                if gone:
+                    continue
             if not dropped and name != "option":
-                yield "tag", "/" + name
+                yield tag(), "/" + name
             continue
         if open_ and (
             open_[-1] == ("head", True) and name not in IN_HEAD or open_[-1] == ("option", True) and name not in INLINE
@@ -171,16 +188,16 @@ def _scan(html: str, spared: frozenset[int], held: list[dict]) -> Iterator[tuple
             if not m["rest"].endswith("/") or name not in ("svg", "iframe", "object"):
                 at = end.end() if end else size
             if not dropped:
-                yield "tag", name
+                yield tag(), name
             continue
         if name in VOID or name in INLINE and name != "a":
             if not dropped:
-                yield "tag", name
+                yield tag(), name
             continue
         if name == "a":
             links += 1
             if not dropped:
-                yield "tag", name
+                yield tag(), name
             continue
         attributes = _attributes(m["rest"])
         gone = name == "option" or _is_dropped(name, attributes, content > 0)
@@ -191,17 +208,17 @@ def _scan(html: str, spared: frozenset[int], held: list[dict]) -> Iterator[tuple
                     dropped -= pop()[1]
                 if gone:
                     if not dropped:
-                        yield ("tag" if name == "option" else "dropped"), name
+                        yield (tag() if name == "option" else drop()), name
                     open_.append((name, True))
                     records.append(None)
                     dropped += 1
                     continue
             if not dropped:
-                yield "tag", name
+                yield tag(), name
             continue
         if not dropped:
-            yield ("dropped" if gone else "tag"), name
-        marked = gone and name not in CONTENT and (name == "form" or name not in DROPPED and name != "header")
+            yield (drop() if gone else tag()), name
+        marked = gone and name not in CONTENT and (name == "form" or name not in DROPPED | DROPPED_OUTSIDE)
         marked = marked and not _is_hidden(attributes)
         gone = gone and lt not in spared
         open_.append((name, gone))
@@ -217,30 +234,66 @@ def _scan(html: str, spared: frozenset[int], held: list[dict]) -> Iterator[tuple
         record["page"] = words
 
 
+def _by_sentence(found: list[tuple[str, str]]) -> dict[int, str]:
+    """Keys of runs of text that their block decides on.
+
+    Link words of a sentence, which ends with a mark and has enough other words, are words. Without
+    a sentence, bars and the like between links belong to the links.
+    """
+    keys: dict[int, str] = {}
+    block: list[int] = []
+    for i, (kind, value) in enumerate([*found, ("tag", "p")]):
+        if kind.endswith("word"):
+            block.append(i)
+        elif value.lstrip("/") in BLOCKS:
+            links = [j for j in block if found[j][0] == "link word"]
+            if links:
+                plain = {j: _n_words(found[j][1]) for j in block if found[j][0] == "word"}
+                n, linked = sum(plain.values()), sum(_n_words(found[j][1]) for j in links)
+                ends = any(_SENTENCE_END.search(found[j][1]) for j in plain)
+                if ends and n >= LEAST_PLAIN and n * MOST_LINKED >= linked:
+                    keys.update(dict.fromkeys(links, "word"))
+                else:
+                    keys.update({j: "link word" for j, k in plain.items() if not k})
+            block = []
+    return keys
+
+
+def _n_words(text: str) -> int:
+    return sum(any(map(str.isalnum, w)) for w in text.split())
+
+
 def _kinds(html: str) -> list[tuple[str, str, str, int]]:
     """(weight's key, kind, value, words) of each token. Where a page has an article, other text is outside."""
     found = list(tokens(html))
     has = any(k == "content word" and v.strip() for k, v in found)
+    keys = {} if has else _by_sentence(found)
     out = []
-    for kind, value in found:
+    for i, (kind, value) in enumerate(found):
         if kind.endswith("word"):
             n = len(value.split())
-            key = "word" if kind == "content word" else "outside word" if has else kind
+            key = "word" if kind == "content word" else "outside word" if has else keys.get(i, kind)
             out.append((key, kind, value, n))
         else:
             known = value.lstrip("/") in BLOCKS | VOID | INLINE | RAW
-            out.append(("dropped" if kind == "dropped" else f"tag {value}" if known else "tag", kind, value, 1))
+            out.append((kind if kind.endswith("dropped") else f"tag {value}" if known else "tag", kind, value, 1))
     return out
 
 
 def count_labelled(html: str) -> Counter:
-    """(key, inside) -> number of words and tags, of a page whose article or main element labels it."""
+    """(key, inside) -> number of words and tags, of a page whose article or main element labels it.
+
+    Inside is what stands between the tags around its first and its last word.
+    """
     counts: Counter = Counter()
     found = _kinds(html)
     where = [i for i, (_, kind, value, n) in enumerate(found) if kind == "content word" and n]
     if where:
+        begins = [i for i, (_, kind, value, _) in enumerate(found[: where[0]]) if kind == "tag" and value in CONTENT]
+        rest = enumerate(found[where[-1] :], where[-1])
+        end = next((i for i, (_, _, value, _) in rest if value in ("/article", "/main")), len(found))
         for i, (key, _, _, n) in enumerate(found):
-            inside = where[0] <= i <= where[-1]
+            inside = begins[-1] < i < end
             counts[key, inside] += n
             if key == "outside word":
                 counts["word", False] += n
@@ -270,10 +323,10 @@ def main_text(html: str | None, weights: Mapping[str, float] = DEFAULT) -> str:
         return ""
     found = _kinds(html)
     best, part, total, begin = 0.0, (0, 0), 0.0, 0
-    for i, (key, _, _, n) in enumerate(found):
+    for i, (key, kind, _, n) in enumerate(found):
         if total <= 0:
             total, begin = 0.0, i
-        total += n * weights.get(key, weights["tag"])
+        total += INNER if kind.startswith("inner") else n * weights.get(key, weights["tag"])
         if total > best:
             best, part = total, (begin, i + 1)
     lines: list[list[str]] = [[]]

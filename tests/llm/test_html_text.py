@@ -116,3 +116,39 @@ def test_odd_pages_end(page):
 
 def test_long_page():
     assert h.main_text("<p>word</p>" * 50_000).count("\n") == 49_999
+
+
+LEARNT = {**h.DEFAULT, "word": 6.0, "dropped": -6.0, "tag /div": -6.0, "tag /p": -0.05, "tag div": -6.0}
+
+
+@pytest.mark.parametrize("weights", [h.DEFAULT, LEARNT])
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ("<p>First part.</p><aside>pull quote</aside><p>Thanks.</p>", "First part.\nThanks."),
+        ("<p>Some text.</p><form>x</form><p>Bye.</p>", "Some text.\nBye."),
+        ("<p>Some text.</p><div class='ad'>x y</div><p>Ende.</p>", "Some text.\nEnde."),
+        ("<p>A b.</p><div class=ad>x</div><p>Mid.</p><div class=ad>x</div><p>Last words.</p>", "A b.\nMid.\nLast words."),
+        ("<div><p>Long text of it.</p></div><div><div><p>Ende.</p></div></div>", "Long text of it.\nEnde."),
+        ("<p>Type your <label>name</label> here.</p>", "Type your name here."),
+        ("<p>Some text.</p><form><label>name</label><input></form>", "Some text."),
+    ],
+)
+def test_dropped_parts_of_an_article_take_nothing_with_them(weights, inner, text):
+    assert h.main_text(f"<body><nav>Home</nav><article>{inner}</article><p>foot</p></body>", weights) == text
+
+
+@pytest.mark.parametrize("weights", [h.DEFAULT, LEARNT])
+def test_a_link_within_a_sentence_is_part_of_it(weights):
+    link = "<a href='x'>the long linked phrase that is in the text of this page</a>"
+    whole = "Before it. Read the long linked phrase that is in the text of this page now."
+    assert h.main_text(f"<body><p>Before it. Read {link} now.</p></body>", weights) == whole
+    menu = "<div><a>Home</a> | <a>News of today</a> | <a>About us</a></div>"
+    assert h.main_text(f"<body>{menu}<p>Before it. Read {link} now.</p>{menu}</body>", weights) == whole
+
+
+def test_the_heading_of_an_article_counts_as_inside():
+    page = "<body><p>Out.</p><article><h1>Head</h1><p>Text of it.</p></article><h1>Out</h1></body>"
+    counts = h.count_labelled(page)
+    assert counts["tag h1", True] == counts["tag /h1", True] == counts["tag h1", False] == 1
+    assert counts["tag article", True] == counts["tag /article", True] == 0
