@@ -201,11 +201,13 @@ def run_suite(
     df: DataFrame, row_checks: Sequence[RowCheck], key_checks: Sequence[KeyCheck] = ()
 ) -> DataFrame:
     """One row per check: failures and flags."""
-    counts = df.agg(
-        *[F.count_if(F.coalesce(c.fails, F.lit(False))).alias(c.name) for c in row_checks]
-    )
-    entries = [F.struct(F.lit(c.name).alias("test"), F.col(c.name).alias("failures")) for c in row_checks]
-    parts = [with_flags(counts.select(F.inline(F.array(*entries))))] if row_checks else []
+    parts = []
+    if row_checks:
+        counts = df.agg(
+            *[F.count_if(F.coalesce(c.fails, F.lit(False))).alias(c.name) for c in row_checks]
+        )
+        entries = [F.struct(F.lit(c.name).alias("test"), F.col(c.name).alias("failures")) for c in row_checks]
+        parts.append(with_flags(counts.select(F.inline(F.array(*entries)))))
     parts += [summarize(c.failing, c.name, c.weight) for c in key_checks]
     return reduce(DataFrame.unionByName, parts)
 

@@ -6,8 +6,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from pulseframe.plans import pipeline, records
-from pulseframe.sources import extract
+from pulseframe.operators import quality
+from pulseframe.plans import checks, pipeline, records
+from pulseframe.sources import extract, tables
 from pulseframe.sources.specs import SOURCES
 from pulseframe.streaming import jobs
 
@@ -101,6 +102,17 @@ def check_plans(spark, root):
         assert any("202404" in f for f in scans(report))
 
 
+def check_counts(spark, root):
+    """Row checks were counted by every write, in increments too, and equal those of a reading."""
+    suites = {f"stg_{s}": checks.staging_rows(SOURCES[s].key) for s in pipeline.STAGED}
+    suites |= {pipeline.STRAIN: checks.strain_rows(), pipeline.RECOVERY: checks.recovery_rows()}
+    for name, rows in suites.items():
+        kept = tables._read_json(spark, f"{root}/{name}/{tables.COUNTS}")
+        assert set(kept) == {c.name for c in rows}
+        found = quality.run_suite(spark.read.parquet(f"{root}/{name}"), rows).collect()
+        assert tables.failures(spark, f"{root}/{name}", rows, "month") == {r["test"]: r["failures"] for r in found}
+
+
 def check_reports(spark, root, as_of):
     everything = pipeline.build_reports(spark, root, as_of)
     some = pipeline.build_reports(spark, root, as_of, 20)
@@ -142,6 +154,7 @@ def test_incremental_runs_equal_a_full_refresh(spark, tmp_path):
     fact = spark.read.parquet(f"{step}/fact_daily_recovery")
     assert fact.count() == fact.select("user_sk", "date_sk").distinct().count() == 2 * N_DAYS
     check_plans(spark, step)
+    check_counts(spark, step)
     check_reports(spark, step, now.date())
 
     suite = pipeline.backfill_recovery(spark, step)
