@@ -61,26 +61,32 @@ def beside(
     """Left join of two daily series on user and day, laid out by user.
 
     Adds ``columns`` of the right side and ``_matched`` (true or null). Both sides
-    hold at most one row per user and day, so the join is a union that is grouped
-    by user and day: every row is shuffled once, by user, and the per-user frames
-    that follow reuse this layout. A join on both keys would shuffle by both, and
-    its result again by user. A second row for a user and day, on either side,
-    is an error; right rows with a null key match nothing.
+    hold at most one row per user and day, so the join is a union in which a row's
+    partner is the next row of its user: every row is shuffled once, by user, and
+    sorted once, and the per-user frames that follow reuse this layout. A join on both
+    keys would shuffle by both, and its result again by user; a grouping would hold
+    the rows in two hash tables before they are sorted. A second row for a user and
+    day, on either side, is an error; right rows with a null key match nothing.
     """
     own = [c for c in left.columns if c not in (user, day)]
     known = right.filter(F.col(user).isNotNull() & F.col(day).isNotNull())
-    both = left.withColumn("_own", F.lit(True)).unionByName(
-        known.select(user, day, *columns, F.lit(True).alias("_matched")), allowMissingColumns=True
+    both = left.withColumn("_other", F.lit(False)).unionByName(
+        known.select(user, day, *columns, F.lit(True).alias("_other")), allowMissingColumns=True
     )
-    merged = (
-        both.repartition(user)
-        .groupBy(user, day)
-        .agg(
-            *[F.max(c).alias(c) for c in (*own, *columns, "_matched")],
-            F.count("_own").alias("_own"),
-            F.count("_matched").alias("_others"),
-        )
+    # The order of by_day, so that its frames need no other sort.
+    along = Window.partitionBy(user).orderBy(F.asc_nulls_last(day), "_other")
+    same_day = F.lead(day).over(along).eqNullSafe(F.col(day))
+    # After the last row of a user there is no side, so a null day there is not taken for its own.
+    partner = same_day & F.lead("_other").over(along)
+    merged = both.repartition(user).select(
+        user,
+        day,
+        *own,
+        *[F.when(partner, F.lead(c).over(along)).alias(c) for c in columns],
+        F.when(partner, True).alias("_matched"),
+        "_other",
+        (same_day & (F.lead("_other").over(along) == F.col("_other"))).alias("_repeated"),
     )
     repeated = F.raise_error(F.lit("more than one row for a user and day")).cast("boolean")
-    single = F.when((F.col("_own") > 1) | (F.col("_others") > 1), repeated)
-    return merged.filter(F.coalesce(single, F.col("_own") == 1)).drop("_own", "_others")
+    single = F.when(F.col("_repeated"), repeated)
+    return merged.filter(F.coalesce(single, ~F.col("_other"))).drop("_other", "_repeated")

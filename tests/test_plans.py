@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.catalog import inputs, model_queries, operator_queries, source_queries
-from pulseframe.operators import incremental, quality
+from pulseframe.operators import incremental, quality, series
 from pulseframe.plans import dims, metrics, staging
 
 SF = "/root/testdata/sf0.001"
@@ -70,6 +70,14 @@ def test_seasonal_metric_shuffles_and_sorts_once(spark, tables, tmp_path):
     assert len(re.findall(r"\bSort \[", text)) == 1
 
 
+def test_two_facts_are_put_side_by_side_by_one_sort_and_no_hash_tables(tables):
+    recovery, strain = tables
+    pairs = series.beside(strain.select("user_sk", "date_sk", "day_strain"), recovery, ["recovery_score"])
+    text = plan(pairs.select("*", F.lag("recovery_score").over(series.by_day()).alias("before")))
+    assert "Aggregate" not in text
+    assert len(re.findall(r"\bSort \[", text)) == 1
+
+
 def test_matched_rows_need_no_null_partition(tables):
     recovery, strain = tables
     text = plan(metrics.strain_recovery_efficiency(strain, recovery))
