@@ -91,19 +91,26 @@ def _(spark, sf_dir):
     return inputs.percentiles(spark, sf_dir)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a temporary table, so that its plan runs once however often it is read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @query("inc_recovery_percentiles")
 def _(spark, sf_dir):
     """Percentiles of all days but those of the last records, written; then those that the rest changes, merged."""
-    staged = inputs.staged(spark, sf_dir, "recovery")
+    # Each is read more than once below, so each is written, as the pipeline's tables are.
+    staged = _written(inputs.staged(spark, sf_dir, "recovery").select(*facts.RECOVERY_COLUMNS), "staged-recovery")
     dimensions = inputs.users(spark, sf_dir), dims.dim_date(spark)
-    path = scratch_path(spark, "percentiles")
     first = facts.recovery_days(staged.filter(F.col("created_at") < INCREMENT_FROM), *dimensions)
-    facts.rank_days(first, keep=facts.MEASURES).write.parquet(path)
-    stored = spark.read.parquet(path)
+    stored = _written(facts.rank_days(first, keep=facts.MEASURES), "percentiles")
     days = staged.withColumn("day", F.to_date("created_at"))
     fresh = days.filter(F.col("created_at") >= INCREMENT_FROM).select("user_id", "day").distinct()
-    new = facts.recovery_days(days.join(fresh, ["user_id", "day"], "left_semi"), *dimensions)
-    changed = facts.renew_percentiles(stored, new)
+    recent = days.filter(F.col("day") >= F.to_date(F.lit(INCREMENT_FROM)))
+    new = facts.recovery_days(recent.join(fresh, ["user_id", "day"], "left_semi"), *dimensions)
+    changed = _written(facts.renew_percentiles(stored, _written(new, "new-days")), "changed-percentiles")
     return incremental.merge_upsert(stored, changed, ["user_sk", "date_sk"]).drop(*facts.MEASURES)
 
 

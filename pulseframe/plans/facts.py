@@ -42,6 +42,19 @@ def _with_keys(df: DataFrame, day: str, dim_user: DataFrame, dim_date: DataFrame
     return df.join(days, day).join(users, "user_id")
 
 
+# Columns of a staged recovery that its daily measures come from.
+RECOVERY_COLUMNS = (
+    "cycle_id",
+    "user_id",
+    "created_at",
+    "updated_at",
+    "recovery_score",
+    "hrv_rmssd_milli",
+    "resting_heart_rate",
+    "skin_temp_celsius",
+)
+
+
 def recovery_days(stg_recovery: DataFrame, dim_user: DataFrame, dim_date: DataFrame) -> DataFrame:
     """The measures of each user and day: what is ranked. Rows without a score or a skin temperature take no part."""
     rows = stg_recovery.filter(

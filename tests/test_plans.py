@@ -147,3 +147,10 @@ WRITES = {
     "stream_late_data",
     "stream_late_rows",
 }
+
+
+def test_increment_of_percentiles_reads_what_it_wrote(spark):
+    """The staged rows, the new days and the changed ranks are computed once, not wherever they are read."""
+    text = plan(model_queries.query.queries["inc_recovery_percentiles"](spark, SF))
+    assert "WindowGroupLimit" not in text
+    assert "lineitem" not in text
