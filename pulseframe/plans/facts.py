@@ -37,9 +37,15 @@ def _with_keys(df: DataFrame, day: str, dim_user: DataFrame, dim_date: DataFrame
 
     Profiles may repeat (they are not deduplicated), hence one row per user here.
     """
-    users = dim_user.select("user_id", "user_sk").dropDuplicates(["user_id"])
-    days = dim_date.select(F.col("date_day").alias(day), "date_sk")
-    return df.join(days, day).join(users, "user_id")
+    return _with_date_key(df, day, dim_date).join(_user_keys(dim_user), "user_id")
+
+
+def _with_date_key(df: DataFrame, day: str, dim_date: DataFrame) -> DataFrame:
+    return df.join(dim_date.select(F.col("date_day").alias(day), "date_sk"), day)
+
+
+def _user_keys(dim_user: DataFrame) -> DataFrame:
+    return dim_user.select("user_id", "user_sk").dropDuplicates(["user_id"])
 
 
 # Columns of a staged recovery that its daily measures come from.
@@ -57,6 +63,12 @@ RECOVERY_COLUMNS = (
 
 def recovery_days(stg_recovery: DataFrame, dim_user: DataFrame, dim_date: DataFrame) -> DataFrame:
     """The measures of each user and day: what is ranked. Rows without a score or a skin temperature take no part."""
+    keyed = _measured_days(stg_recovery, dim_date).join(_user_keys(dim_user), "user_id")
+    return keyed.select("user_id", "user_sk", "date_sk", *MEASURES, "skin_temp_celsius")
+
+
+def _measured_days(stg_recovery: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The same by ``user_id`` alone."""
     rows = stg_recovery.filter(
         F.col("recovery_score").isNotNull() & F.col("skin_temp_celsius").isNotNull()
     ).select(
@@ -73,8 +85,8 @@ def recovery_days(stg_recovery: DataFrame, dim_user: DataFrame, dim_date: DataFr
     daily = latest_per_key(
         rows, ["user_id", "recovery_date"], ["updated_at", "created_at", "cycle_id"]
     )
-    keyed = _with_keys(daily, "recovery_date", dim_user, dim_date)
-    return keyed.select("user_id", "user_sk", "date_sk", *MEASURES, "skin_temp_celsius")
+    dated = _with_date_key(daily, "recovery_date", dim_date)
+    return dated.select("user_id", "date_sk", *MEASURES, "skin_temp_celsius")
 
 
 # What is ranked, with the name of its rank and whether the greatest value has rank 0.
@@ -91,12 +103,12 @@ PERCENTILES = ["user_sk", "date_sk", *RANKED, "skin_temp_celsius", "skin_temp_de
 def rank_days(days: DataFrame, user: str = "user_sk", keep: Sequence[str] = ()) -> DataFrame:
     """Percentiles and skin-temperature baseline of one row per user and day, over each user's full series.
 
-    ``keep`` names further columns.
+    ``user`` names the column that tells users apart, ``keep`` further columns.
     """
     before = series.previous_rows(BASELINE_ROWS, user)
     temp = F.col("skin_temp_celsius").cast("double")
     measured = days.select(
-        "user_sk",
+        user,
         "date_sk",
         "skin_temp_celsius",
         *keep,
@@ -107,7 +119,7 @@ def rank_days(days: DataFrame, user: str = "user_sk", keep: Sequence[str] = ())
     )
     ranked = F.col("days_of_history") >= HISTORY_MIN_ROWS
     return measured.select(
-        "user_sk",
+        user,
         "date_sk",
         *[F.when(ranked, F.col(c)).alias(c) for c in RANKED],
         "skin_temp_celsius",
@@ -133,9 +145,10 @@ def recovery_percentiles(
     Ranks and frames always see the full history; with ``as_of`` only the last
     ``horizon_days`` are returned.
     """
-    # Frames by user_id, as the join left the rows partitioned; it is one to one
-    # with user_sk, so no further shuffle is needed.
-    ranked = rank_days(recovery_days(stg_recovery, dim_user, dim_date), "user_id", keep)
+    # Frames by user_id, which is one to one with user_sk: the long key is joined behind them, so no
+    # sort carries it, and the join finds the rows laid out and sorted by user_id.
+    ranked = rank_days(_measured_days(stg_recovery, dim_date), "user_id", keep)
+    ranked = ranked.join(_user_keys(dim_user), "user_id").select(*PERCENTILES, *keep)
     if as_of is None:
         return ranked
     day = F.to_date(F.col("date_sk").cast("string"), "yyyyMMdd")

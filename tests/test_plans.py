@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.catalog import inputs, model_queries, operator_queries, source_queries
 from pulseframe.operators import incremental, quality, series
-from pulseframe.plans import dims, metrics, staging
+from pulseframe.plans import dims, facts, metrics, staging
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = (
@@ -78,6 +78,16 @@ def test_two_facts_are_put_side_by_side_by_one_sort_and_no_hash_tables(tables):
     assert len(re.findall(r"\bSort \[", text)) == 1
 
 
+def test_ranks_sort_short_rows_and_not_once_more_for_the_users(spark, tables):
+    staged, users = inputs.staged(spark, SF, "recovery"), inputs.users(spark, SF)
+    text = plan(facts.recovery_percentiles(staged, users, F.broadcast(dims.dim_date(spark))))
+    join = text.index("SortMergeJoin [user_id")
+    ranks = text.index("percent_rank")
+    assert join < ranks
+    # between the join and the ranks its rows are neither shuffled nor sorted again
+    assert not re.search(r"Exchange|\bSort \[", text[join:ranks])
+
+
 def test_matched_rows_need_no_null_partition(tables):
     recovery, strain = tables
     text = plan(metrics.strain_recovery_efficiency(strain, recovery))
