@@ -14,6 +14,8 @@ from pulseframe.sources.specs import SourceSpec
 
 # Text of a page that the reader could not take as a whole.
 CORRUPT = "_corrupt_page"
+# Parsed times of a record, in the order of its fields.
+_TIMES = "_parsed_times"
 # One rejected page or record: why, and its text.
 REJECTED_SCHEMA = "reason string, content string"
 
@@ -92,8 +94,6 @@ def explode_records(pages: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def _raw_column(path: str, type: str) -> Column:
-    if type == "timestamp":
-        return parse_timestamp(path)
     if type == "long":
         return round_to_long(path)
     return F.col(path)
@@ -110,13 +110,15 @@ def flatten_records(
     A missing nested object gives nulls. ``ingested_at`` stamps one time on the
     whole batch; without it the record's own value is kept. ``keep`` names further columns.
     """
-    cols = []
-    for name, path, type in spec.fields:
-        if name == "ingested_at" and ingested_at is not None:
-            cols.append(ingested_at.cast("timestamp_ntz").alias(name))
-        else:
-            cols.append(_raw_column(path, type).alias(name))
-    return records.select(*cols, *keep)
+    stamped = {} if ingested_at is None else {"ingested_at": ingested_at.cast("timestamp_ntz")}
+    # All times are read by one expression. One for each, beside the numbers, makes a generated method
+    # that is too long for the JVM to compile.
+    times = [(name, path) for name, path, type in spec.fields if type == "timestamp" and name not in stamped]
+    texts = F.array(*[F.col(path) for _, path in times])
+    records = records.withColumn(_TIMES, F.transform(texts, parse_timestamp))
+    read = stamped | {name: F.col(_TIMES)[i] for i, (name, _) in enumerate(times)}
+    cols = [read[name] if name in read else _raw_column(path, type) for name, path, type in spec.fields]
+    return records.select(*[c.alias(name) for c, (name, _, _) in zip(cols, spec.fields, strict=True)], *keep)
 
 
 def stamp_ingested(df: DataFrame, batch_time: str) -> DataFrame:

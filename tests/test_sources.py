@@ -59,6 +59,20 @@ def test_pages_are_flattened(spark, tmp_path, ts):
     assert {r.ingested_at for r in rows.values()} == {NOW}
 
 
+def test_times_are_read_by_one_expression(spark, tmp_path, ts):
+    """One for each time, beside the numbers, makes a generated method too long to be compiled."""
+    folder = write_pages(
+        tmp_path / "c", {"records": [cycle(1), cycle(2, start="soon", updated_at=None, ingested_at="2024-02-21")]}
+    )
+    flat = landed.flatten_records(load(spark, folder), SOURCES["cycle"])
+    assert flat._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
+    rows = {r.id: r for r in flat.collect()}
+    assert flat.schema == SOURCES["cycle"].raw_schema
+    assert rows["1"].created_at == ts("2024-02-19 08:00:00.123") and rows["1"].ingested_at is None
+    assert rows["2"].start_time is None and rows["2"].updated_at is None
+    assert rows["2"].ingested_at == ts("2024-02-21 00:00:00")
+
+
 def test_pretty_printed_page_files(spark, tmp_path):
     folder = tmp_path / "p"
     folder.mkdir()
