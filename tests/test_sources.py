@@ -73,6 +73,16 @@ def test_times_are_read_by_one_expression(spark, tmp_path, ts):
     assert rows["2"].ingested_at == ts("2024-02-21 00:00:00")
 
 
+def test_a_built_text_is_not_worked_out_within_the_parser(spark):
+    built = F.when(F.col("id") < 2, F.to_json(F.struct(F.col("id").cast("string").alias("id"))))
+    pages = landed.parse_pages(spark.range(3).select(built.alias("value")), "value", SOURCES["cycle"])
+    lines = pages._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    (parser,) = [line for line in lines if "from_json(" in line]
+    assert "StructsToJsonEvaluator" not in parser
+    assert any("StructsToJsonEvaluator" in line for line in lines)
+    assert sorted((r.id or "") for r in pages.select("id").collect()) == ["", "0", "1"]
+
+
 def test_pretty_printed_page_files(spark, tmp_path):
     folder = tmp_path / "p"
     folder.mkdir()
