@@ -165,8 +165,8 @@ def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return read(spark, sf_dir, RAW_TABLE[source]).selectExpr(*exprs)
 
 
-def staged(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return staging.stage(raw(spark, sf_dir, source), source)
+def staged(spark: SparkSession, sf_dir: str, source: str, whole: bool = False) -> DataFrame:
+    return staging.stage(raw(spark, sf_dir, source), source, whole=whole)
 
 
 def users(spark: SparkSession, sf_dir: str, moved: int = 0) -> DataFrame:

@@ -38,9 +38,12 @@ def _as_of() -> Column:
 
 # Whole tables
 
+# Sources whose records are so wide that a map task cannot sort its part in memory.
+WIDE = ("sleep", "workout")
+
 
 def _staging_query(source: str) -> None:
-    query.add(f"stg_{source}", lambda s, d: inputs.staged(s, d, source))
+    query.add(f"stg_{source}", lambda s, d: inputs.staged(s, d, source, whole=source in WIDE))
 
 
 for _source in pipeline.STAGED:
@@ -470,7 +473,7 @@ def _(spark, sf_dir):
 
 @query("doc_fact_sleep")
 def _(spark, sf_dir):
-    return records.fact_sleep(inputs.staged(spark, sf_dir, "sleep"))
+    return records.fact_sleep(inputs.staged(spark, sf_dir, "sleep", whole=True))
 
 
 @query("doc_fact_cycles")

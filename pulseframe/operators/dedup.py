@@ -13,7 +13,10 @@ def _newest_first(order: Sequence[Column | str]) -> list[Column]:
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    cut_in_maps: bool = True,
 ) -> DataFrame:
     """First row of each key in ``order``; plain names sort newest first, nulls first.
 
@@ -22,11 +25,16 @@ def latest_per_key(
 
     The rank filter directly above the window lets Spark keep one row per key in
     every map task before the shuffle (window group limit), so a key that holds a
-    third of all rows still sends at most one row per task.
+    third of all rows still sends at most one row per task. For that a map task
+    sorts its rows, and wide ones do not fit its memory: it writes nearly all it
+    reads to disk. Without ``cut_in_maps`` rows are dealt by key first and sorted
+    only there; that is for whole records of keys with few versions, since all
+    versions of a key meet in one task.
     """
     content = F.xxhash64(*df.columns)
     by_key = Window.partitionBy(*keys).orderBy(*_newest_first(order), content)
-    ranked = df.withColumn("_rank", F.row_number().over(by_key))
+    dealt = df if cut_in_maps else df.repartition(*keys)
+    ranked = dealt.withColumn("_rank", F.row_number().over(by_key))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 

@@ -89,18 +89,22 @@ def stage(
     target: DataFrame | None = None,
     order: Sequence[str] = NEWEST_UPDATE,
     keep_fractions: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """Staging rows of ``cycle``, ``recovery``, ``sleep`` or ``workout``.
 
     With a ``target`` only rows created after its newest row are taken; without
     one this is the full refresh. Ties in the update time go to the row created,
     then ingested last. Conversions come after the reduction to one row per record:
-    they leave the key and the times as they are.
+    they leave the key and the times as they are. ``whole`` says that all columns are
+    wanted: such wide rows are not sorted in the map tasks (see
+    :func:`pulseframe.operators.dedup.latest_per_key`).
     """
     spec = staging_spec(SOURCES[source], keep_fractions)
     if target is not None:
         raw = after_target(raw, target, "created_at")
-    return project(latest_per_key(raw, [spec.key], order), spec.casts, spec.overrides)
+    newest = latest_per_key(raw, [spec.key], order, cut_in_maps=not whole)
+    return project(newest, spec.casts, spec.overrides)
 
 
 def stage_user(raw_user: DataFrame) -> DataFrame:

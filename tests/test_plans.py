@@ -47,6 +47,22 @@ def test_dedup_cuts_in_the_map_tasks(spark):
     assert final < text.index("Exchange hashpartitioning(id") < partial
 
 
+@pytest.mark.parametrize("name", ["stg_sleep", "stg_workout", "doc_fact_sleep"])
+def test_whole_wide_records_are_not_sorted_in_the_map_tasks(spark, name):
+    text = plan(model_queries.query.queries[name](spark, SF))
+    in_maps = text[text.index("Exchange hashpartitioning(id") :]
+    assert "Sort [" not in in_maps and "WindowGroupLimit" not in in_maps
+    assert exchanges(model_queries.query.queries[name](spark, SF)) == 1
+
+
+def test_whole_records_are_the_same_rows(spark):
+    rows = inputs.raw(spark, SF, "sleep")
+    missing = F.when(F.col("id").substr(-1, 1) != "1", F.col("id"))
+    rows = rows.unionByName(rows).unionByName(rows.withColumn("id", missing)).withColumn("nap", F.lit(None).cast("boolean"))
+    whole, cut = staging.stage(rows, "sleep", whole=True), staging.stage(rows, "sleep")
+    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty() and not cut.isEmpty()
+
+
 def test_one_shuffle_per_single_fact_metric(tables):
     recovery, strain = tables
     assert exchanges(metrics.recovery_momentum(recovery)) == 1
