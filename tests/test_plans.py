@@ -104,6 +104,30 @@ def test_ranks_sort_short_rows_and_not_once_more_for_the_users(spark, tables):
     assert not re.search(r"Exchange|\bSort \[", text[join:ranks])
 
 
+def test_ranks_meet_the_records_of_a_day_where_these_lie(spark):
+    text = plan(inputs.fact_recovery(spark, SF))
+    assert not re.search(r"Exchange hashpartitioning\(user_sk", text)
+
+
+def test_ranks_come_by_either_key(spark):
+    args = inputs.staged(spark, SF, "recovery"), inputs.users(spark, SF), dims.dim_date(spark)
+    by_record, by_key = (
+        facts.fact_daily_recovery(*args, inputs.percentiles(spark, SF, keep), inputs.staged(spark, SF, "sleep"))
+        for keep in (facts.RECORD_KEYS, ())
+    )
+    assert by_record.columns == by_key.columns
+    rows = sorted(map(str, by_record.collect()))
+    assert rows == sorted(map(str, by_key.collect()))
+    assert any("hrv_percentile=None" not in r for r in rows)
+
+
+def test_days_of_unique_records_carry_no_hash(spark):
+    sleeps = facts.daily_sleep(inputs.staged(spark, SF, "sleep")).select("user_id", "day")
+    text = plan(sleeps)
+    # one hash for the newest version of a record, none for the sleep of a day
+    assert len(re.findall(r"xxhash64\(", text)) == 1
+
+
 def test_matched_rows_need_no_null_partition(tables):
     recovery, strain = tables
     text = plan(metrics.strain_recovery_efficiency(strain, recovery))
