@@ -192,3 +192,13 @@ def test_a_partitioned_table_without_rows(spark, tmp_path):
     # a rewrite that leaves nothing
     tables.rewrite(spark.read.parquet(path).filter("k > 9"), path, ["month"])
     assert content(spark, path) == [] and spark.read.parquet(path).columns == ["k", "v", "month"]
+
+
+def test_every_way_of_writing_compresses_by_the_same_codec(spark, tmp_path):
+    path = tmp_path / "t"
+    tables.append(rows(spark, *START), str(path), ["month"])
+    tables.upsert(rows(spark, *BATCH), str(path), ["k"], "month")
+    tables.append(rows(spark, (9, "i", 202409)), str(path), ["month"])
+    tables.replace(rows(spark, *START), str(tmp_path / "plain"))
+    files = [f.name for f in tmp_path.rglob("*.parquet")]
+    assert files and all(f.endswith(f".{tables.CODEC}.parquet") for f in files)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulseframe.catalog import inputs, model_queries, operator_queries, source_queries
 from pulseframe.operators import incremental, quality, series
 from pulseframe.plans import dims, facts, metrics, staging
+from pulseframe.sources.specs import SOURCES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = (
@@ -109,6 +110,25 @@ def test_ranks_meet_the_records_of_a_day_where_these_lie(spark):
     assert not re.search(r"Exchange hashpartitioning\(user_sk", text)
 
 
+def test_stored_ranks_meet_the_records_where_these_lie(spark):
+    """Percentiles as a backfill stores them, without the keys of the records; nothing is small enough to broadcast."""
+    recovery, sleep = (
+        staging.stage(spark.createDataFrame([], SOURCES[s].raw_schema), s) for s in ("recovery", "sleep")
+    )
+    users = dims.dim_user(staging.stage_user(spark.createDataFrame([], SOURCES["user"].raw_schema)))
+    ranks = spark.createDataFrame(
+        [], "user_sk string, date_sk int, recovery_score_percentile int, hrv_percentile int, rhr_percentile int, skin_temp_deviation double"
+    )
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(facts.fact_daily_recovery(recovery, users, dims.dim_date(spark), ranks, sleep))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert re.search(r"Exchange hashpartitioning\(user_sk#\d+, \d+\)", text)  # the short ranks, to meet the users
+    assert not re.search(r"Exchange hashpartitioning\(user_sk#\d+, date_sk", text)
+
+
 def test_ranks_come_by_either_key(spark):
     args = inputs.staged(spark, SF, "recovery"), inputs.users(spark, SF), dims.dim_date(spark)
     by_record, by_key = (
