@@ -32,14 +32,23 @@ MONTH = "month"
 
 
 def landed_stream(
-    spark: SparkSession, path: str, spec: SourceSpec, files_per_batch: int = 1000
+    spark: SparkSession, path: str, spec: SourceSpec, files_per_batch: int = 1000, deal_lines: bool = False
 ) -> DataFrame:
     """Records of page files as they land, flattened and stamped per batch.
 
     What cannot be loaded is in :func:`rejected_stream`.
+
+    A file in gzip cannot be split, so one task reads all of it, and a batch of few files keeps few
+    cores busy. With ``deal_lines`` these tasks only unpack the lines, one page each, and deal them to
+    as many tasks as there are cores, which parse them; that is most of the work.
     """
-    reader = spark.readStream.schema(spec.page_schema)
-    pages = reader.option("maxFilesPerTrigger", files_per_batch).json(path)
+    if deal_lines:
+        lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+        dealt = lines.repartition(max(2, spark.sparkContext.defaultParallelism), "value")
+        pages = landed.parse_pages(dealt, "value", spec)
+    else:
+        reader = spark.readStream.schema(spec.page_schema)
+        pages = reader.option("maxFilesPerTrigger", files_per_batch).json(path)
     records = landed.explode_records(pages, spec).filter(landed.why_rejected(spec).isNull())
     return landed.flatten_records(records, spec, F.current_timestamp())
 
@@ -122,6 +131,7 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     writer = stream.writeStream.format("parquet").outputMode("append")
     return (
         writer.option("checkpointLocation", checkpoint)
+        .option("compression", tables.CODEC)
         .option("path", path)
         .trigger(availableNow=True)
         .start()

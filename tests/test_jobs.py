@@ -1,13 +1,17 @@
 """Written tables: incremental runs against a full refresh, backfill, streams, run figures."""
 
 import datetime as dt
+import gzip
 import json
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from pulseframe.catalog import inputs, model_queries
 from pulseframe.operators import quality
 from pulseframe.plans import checks, pipeline, records
+from pulseframe.session import shared_dir
 from pulseframe.sources import extract, tables
 from pulseframe.sources.specs import SOURCES
 from pulseframe.streaming import jobs
@@ -194,6 +198,45 @@ def test_stream_ingest_and_staging_upsert(spark, tmp_path):
     assert [r.strain for r in rows] == [5]
 
 
+def test_packed_pages_are_parsed_by_all_tasks(spark, tmp_path):
+    """Lines of gzip files, good and bad, give the records that plain files give."""
+    folder, spec = tmp_path / "in", SOURCES["cycle"]
+    land(folder, range(6))
+    lines = [line for f in sorted((folder / "cycle").glob("*.json")) for line in f.read_text().splitlines()]
+    lines += ["", "null", '{"records": [{"id": "x"', '{"records": [{"id": "y", "updated_at": "soon"}]}', lines[0]]
+    lines += [json.dumps({"records": [r]}) for r in pages_of_days([7, 8])["cycle"]]
+    for name, opened in (("plain", open), ("packed", gzip.open)):
+        (tmp_path / name).mkdir()
+        with opened(tmp_path / name / f"pages.txt{'.gz' if name == 'packed' else ''}", "wt") as f:
+            f.write("\n".join(lines))
+    found = {}
+    for name in ("plain", "packed"):
+        out = str(tmp_path / f"raw-{name}")
+        stream = jobs.landed_stream(spark, str(tmp_path / name), spec, deal_lines=name == "packed")
+        jobs.append_stream(stream, out, str(tmp_path / f"c-{name}")).awaitTermination()
+        found[name] = sorted(map(str, spark.read.parquet(out).drop("ingested_at").collect()))
+    assert found["packed"] == found["plain"] and len(found["plain"]) == 28
+    parts = {r[0] for r in spark.read.parquet(out).select(F.input_file_name()).distinct().collect()}
+    assert len(parts) > 1  # one file, but several tasks
+
+
+def test_ingest_query_lands_packed_pages(spark, tmp_path, ts):
+    rows = [(k // 5, k, k % 7, k % 5, 5.0 + k, 900.5 * k, 0.01, 0.02, "A", "O", ts(f"1999-01-{1 + k % 28:02d}")) for k in range(60)]
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = set(Path(shared_dir(spark)).glob("pulseframe/landed-*"))
+    got = model_queries.query.queries["stream_ingest"](spark, str(tmp_path))
+    kept = ["id", "user_id", "score_state", "strain", "kilojoule", "max_heart_rate"]
+    want = inputs.raw(spark, str(tmp_path), "cycle").select(kept)
+    assert sorted(map(str, got.select(kept).collect())) == sorted(map(str, want.collect()))
+    (pages,) = set(Path(shared_dir(spark)).glob("pulseframe/landed-*")) - before
+    files = list(pages.glob("part-*"))
+    assert files and all(f.suffix == ".gz" for f in files)
+
+
 def events(spark, path, rows):
     schema = "user string, t timestamp_ntz, v double"
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
