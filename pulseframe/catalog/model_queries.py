@@ -380,7 +380,7 @@ def _in_batches(
     """Run a stream whose batches are the given frames: each lands, and the stream goes on where it was."""
     path = scratch_path(spark, "batches")
     for part in parts:
-        part.write.mode("append").parquet(path)
+        tables.append(part, path)
         start(spark.readStream.schema(part.schema).parquet(path)).awaitTermination()
 
 

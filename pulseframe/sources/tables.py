@@ -319,8 +319,8 @@ def upsert(
     ``on_schema_change`` is ``fail`` or ``append_new_columns``.
     With ``partition_by`` only touched partitions are read and rewritten: those
     of the source rows and those that hold an older version of their keys. The
-    second set is looked up by a key-only scan, which is skipped where the
-    partition value is a function of the key.
+    second set is looked up by a key-only scan of the partitions that the first one
+    lacks, which is skipped where the partition value is a function of the key.
 
     Rows with a null in their key never match, and would be added again by every repeated batch.
     They are not merged, but appended to the table at :func:`rejected_path`; returns their number.
@@ -370,17 +370,19 @@ def _merge_into(
     kind = source.schema[partition_by].dataType
     target = target.withColumn(partition_by, F.col(partition_by).cast(kind))
 
-    touched = source.select(partition_by)
+    # As many values as there are partition folders, which the driver lists to read the table.
+    values = [row[0] for row in source.select(partition_by).distinct().collect()]
+    part = F.col(partition_by)
     if not partition_is_part_of_key:
-        older = target.select(*keys, partition_by).join(
+        rest = part.isNotNull() & ~part.isin([v for v in values if v is not None])
+        if None not in values:
+            rest = rest | part.isNull()
+        older = target.filter(rest).select(*keys, partition_by).join(
             source.select(*keys), list(keys), "left_semi"
         )
-        touched = touched.union(older.select(partition_by))
-    # As many values as there are partition folders, which the driver lists to read the table.
-    values = [row[0] for row in touched.distinct().collect()]
+        values += [row[0] for row in older.select(partition_by).distinct().collect()]
     if not values:
         return
-    part = F.col(partition_by)
     scope = part.isin([v for v in values if v is not None])
     if None in values:
         scope = scope | part.isNull()

@@ -216,3 +216,34 @@ def test_two_rows_of_a_user_and_day_are_an_error(spark):
     for one, two in ((left.union(left.limit(1)), right), (left, right.union(right.limit(1)))):
         with pytest.raises(Exception, match="more than one row for a user and day"):
             series.beside(one, two, ["w"]).collect()
+
+
+def test_older_versions_are_looked_up_outside_the_months_of_the_batch(spark, tmp_path):
+    """The months of the batch are read anyway; records move out of, into and between a month and no month."""
+    path = str(tmp_path / "t")
+    start = [("a", 1, 202401), ("b", 1, 202402), ("c", 1, None), ("d", 1, 202403), ("e", 1, 202401)]
+    tables.upsert(month_frame(spark, start), path, ["id"], "month")
+    batch = [("a", 2, 202402), ("b", 2, 202401), ("c", 2, 202401), ("f", 2, 202402)]
+    with_null = [("d", 3, None), ("c", 3, None), ("e", 3, 202404)]
+    for rows_ in (batch, with_null):
+        tables.upsert(month_frame(spark, rows_), path, ["id"], "month")
+    got = sorted((r.id, r.v, r.month) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 2, 202402), ("b", 2, 202401), ("c", 3, None), ("d", 3, None), ("e", 3, 202404), ("f", 2, 202402)]
+
+
+def test_a_batch_of_all_months_reads_no_keys_to_find_older_ones(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.upsert(month_frame(spark, [("a", 1, 202401), ("b", 1, 202402)]), path, ["id"], "month")
+    frame, read = type(spark.range(0)), []
+    join = frame.join
+
+    def seen(self, other, on=None, how=None):
+        if how == "left_semi":
+            read.append(self.count())
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(frame, "join", seen)
+    tables.upsert(month_frame(spark, [("a", 2, 202402), ("c", 2, 202401)]), path, ["id"], "month")
+    assert read == [0]
+    got = sorted((r.id, r.v, r.month) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 2, 202402), ("b", 1, 202402), ("c", 2, 202401)]
