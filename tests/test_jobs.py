@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from pulseframe.catalog import inputs, model_queries
+from pulseframe.catalog import inputs, model_queries, source_queries
 from pulseframe.operators import quality
 from pulseframe.plans import checks, pipeline, records
 from pulseframe.session import shared_dir
@@ -237,6 +237,25 @@ def test_ingest_query_lands_packed_pages(spark, tmp_path, ts):
     assert files and all(f.suffix == ".gz" for f in files)
 
 
+def test_extract_query_lands_packed_pages(spark, tmp_path, ts):
+    """Records of which some lie between the watermark and the day of the run, in a few packed files."""
+    rows = [(k // 5, k, k % 7, k % 5, 5.0 + k, 900.5 * k, 0.01, 0.02, "A", "O", ts(f"2001-10-{1 + k % 28:02d}")) for k in range(60)]
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = set(Path(shared_dir(spark)).glob("pulseframe/landed-*"))
+    got = source_queries.query.queries["extract_incremental"](spark, str(tmp_path))
+    raw = inputs.raw(spark, str(tmp_path), "cycle")
+    want = raw.filter(F.col("updated_at") >= source_queries.EXTRACT_FROM).select("id", "user_id")
+    assert 0 < want.count() < 60
+    assert sorted(map(str, got.select("id", "user_id").collect())) == sorted(map(str, want.collect()))
+    (pages,) = set(Path(shared_dir(spark)).glob("pulseframe/landed-*")) - before
+    files = list(pages.glob("part-*"))
+    assert files and all(f.suffix == ".lz4" for f in files)
+
+
 def events(spark, path, rows):
     schema = "user string, t timestamp_ntz, v double"
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
