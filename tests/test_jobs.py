@@ -261,6 +261,27 @@ def events(spark, path, rows):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
 
+def test_stream_writes_a_month_of_totals_by_one_task(spark, tmp_path, ts):
+    """A batch has its totals in several tasks, each with rows of all months; the second batch is merged."""
+    path, out = str(tmp_path / "events"), tmp_path / "out"
+    setting = spark.conf.get("spark.sql.adaptive.enabled")
+
+    def run(year):
+        events(spark, path, [(f"u{k}", ts(f"{year}-{m:02d}-01 10:00"), 1.0) for k in range(40) for m in (1, 2, 3)])
+        stream = spark.readStream.schema("user string, t timestamp_ntz, v double").parquet(path)
+        totals = jobs.daily_totals(stream, "user", "t", [F.sum("v").alias("total")])
+        jobs.totals_stream(totals, str(out), str(tmp_path / "check"), "user").awaitTermination()
+
+    run(2024)
+    run(2025)
+    months = {p.name: len(list(p.glob("*.parquet"))) for p in out.glob("month=*")}
+    assert months == {f"month={y}{m:02d}": 1 for y in (2024, 2025) for m in (1, 2, 3)}
+    got = spark.read.parquet(str(out))
+    assert got.count() == 240 and got.select("user", "day").distinct().count() == 240
+    assert {r[0] for r in got.select("total").distinct().collect()} == {1.0}
+    assert spark.conf.get("spark.sql.adaptive.enabled") == setting
+
+
 def test_stream_daily_totals_over_several_batches(spark, tmp_path, ts):
     source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     batches = [
