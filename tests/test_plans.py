@@ -219,6 +219,20 @@ WRITES = {
 }
 
 
+@pytest.mark.parametrize("name", ["report_readiness", "report_efficiency"])
+def test_scores_are_shuffled_without_tie_hashes(spark, name):
+    """Both reductions of the staged recoveries need the same columns of them, so one shuffle serves both."""
+    text = plan(model_queries.query.queries[name](spark, SF))
+    hashes = re.findall(r"xxhash64\((\w+)#", text)
+    assert "user_id" not in hashes and hashes.count("cycle_id") == 2  # of the versions of a record only
+    cuts = re.findall(r"WindowGroupLimit \[cycle_id#\d+\].*Partial\n.*\n.*Project \[(.*), xxhash64", text)
+    needed = [re.findall(r"(\w+)#\d+", c.split(", xxhash64")[0]) for c in cuts]
+    assert len(needed) == 2 and needed[0] == needed[1]
+    assert set(needed[0]) == {
+        "cycle_id", "user_id", "created_at", "updated_at", "recovery_score", "skin_temp_celsius", "ingested_at"
+    }
+
+
 def test_increment_of_percentiles_reads_what_it_wrote(spark):
     """The staged rows, the new days and the changed ranks are computed once, not wherever they are read."""
     text = plan(model_queries.query.queries["inc_recovery_percentiles"](spark, SF))

@@ -184,6 +184,28 @@ def test_recovery_fact(spark):
     assert [r.date_sk for r in later.collect()] == [20240102]
 
 
+@pytest.mark.parametrize("unique", [(), ("skin_temp_celsius",), ("recovery_score", "resting_heart_rate")])
+def test_days_of_unique_recoveries_need_no_hash(spark, unique):
+    """Records of a day with the same times, null ids and times, and versions of a record."""
+    records = [{**recovery(d, 50.0 + k, temp=None if k == 3 else 33.0 + k), "cycle_id": f"{d}-{k}"} for d in range(70) for k in range(4)]
+    records += [
+        {**recovery(0, 90.0), "cycle_id": None, "updated_at": at(0, 1)},
+        {**recovery(1, 91.0), "cycle_id": "none", "updated_at": None},
+        {**recovery(2, 92.0, temp=None), "cycle_id": "2-0", "updated_at": at(2, 9)},
+        recovery(3, 93.0, user=None),
+        {**recovery(4, 94.0), "cycle_id": "zz"},
+    ]
+    records += records[:8]
+    stg, dim_user, dim_date = staged(spark, "recovery", records), users(spark, "u"), dims.dim_date(spark)
+    sleeps = staged(spark, "sleep", [])
+    found = []
+    for u in (None, unique):
+        ranks = facts.recovery_percentiles(stg, dim_user, dim_date, keep=facts.RECORD_KEYS, unique=u)
+        fact = facts.fact_daily_recovery(stg, dim_user, dim_date, ranks, sleeps, unique=u)
+        found.append([sorted(map(str, t.collect())) for t in (ranks, fact)])
+    assert found[0] == found[1] and len(found[0][1]) == 70
+
+
 def cycle(day, strain, user="u", updated=None, **more):
     return {
         "id": f"c{user}{day}",
