@@ -233,6 +233,12 @@ def test_scores_are_shuffled_without_tie_hashes(spark, name):
     }
 
 
+def test_strain_suite_reads_written_keys(spark):
+    """The fact is worked out once; its checks of keys read a table of keys."""
+    text = plan(model_queries.query.queries["dq_suite"](spark, SF))
+    assert "strain_sk" in text and not re.search(r"Window(GroupLimit)? \[", text)
+
+
 def test_increment_of_percentiles_reads_what_it_wrote(spark):
     """The staged rows, the new days and the changed ranks are computed once, not wherever they are read."""
     text = plan(model_queries.query.queries["inc_recovery_percentiles"](spark, SF))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators import quality
+from pulseframe.plans import checks, dims
 from pulseframe.sources import tables
 
 SCHEMA = "k int, v double, month int"
@@ -139,3 +140,29 @@ def test_counts_are_taken_after_the_last_shuffle(spark, rules):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert text.index("CollectMetrics") < text.index("Exchange")
     assert "Exchange" not in text[: text.index("CollectMetrics")]
+
+
+@pytest.mark.parametrize("n", [0, 40])
+def test_strain_suite_counts_while_its_keys_are_written(spark, tmp_path, n):
+    """One run of the fact gives what reading it for every check gives; repeated and unknown keys are among its rows."""
+    names = [*checks.STRAIN_RANGES, "calories_burned"]
+    rows = [
+        (f"s{k % 37}", f"u{k % 5}", 20240100 + k % 33, *[None if k % 7 == 0 else float(100 * (k % 3)) for _ in names], k)
+        for k in range(n)
+    ]
+    schema = "strain_sk string, user_sk string, date_sk int, " + ", ".join(f"{c} double" for c in names) + ", k int"
+    day = F.date_add(F.lit("2019-06-01").cast("date"), F.col("k") * 100)
+    times = {c: F.when(F.col("k") % 4 > 0, F.current_timestamp()) for c in checks.STRAIN_NOT_NULL if c.endswith(("_at", "timestamp"))}
+    fact = spark.createDataFrame(rows, schema).withColumns({**times, "cycle_date": day})
+    users = spark.createDataFrame([(f"u{k}",) for k in range(3)], "user_sk string")
+    args = fact, users, dims.dim_date(spark), F.lit("2026-11-04").cast("date")
+
+    def written(df):
+        df.write.parquet(str(tmp_path / "keys"))
+        return spark.read.parquet(str(tmp_path / "keys"))
+
+    got, want = checks.strain_suite(*args, written=written), checks.strain_suite(*args)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert spark.read.parquet(str(tmp_path / "keys")).columns == list(checks.STRAIN_KEYS)
+    if n:
+        assert got.filter("failures > 0").count() > 10
